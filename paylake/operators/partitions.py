@@ -17,17 +17,27 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[dt.date]) -> dict[str, int]:
+def by_partition(df: DataFrame, column: str, *sort: str) -> DataFrame:
+    """Rows gathered per partition value, so a write makes few files.
+
+    Rebalancing lets AQE cut a large value into several tasks and join small ones, which a
+    plain ``repartition`` by the column would not.
+    """
+    return df.hint("rebalance", column).sortWithinPartitions(column, *sort)
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[dt.date], *sort: str) -> dict[str, int]:
     """Make ``df`` the whole content of the given partitions; other partitions stay.
 
     Dynamic overwrite leaves a partition alone when no row falls in it, so those are
     written as empty. Running again gives the same table. Returns rows per partition.
+    ``sort`` orders rows inside each file.
     """
     values = sorted(set(values))
     rows = df.where(F.col(column).isin(values))
     found = {r[0]: r[1] for r in rows.groupBy(column).count().collect()}  # one row per partition
     if found:
-        (rows.write.partitionBy(column).mode("overwrite")
+        (by_partition(rows, column, *sort).write.partitionBy(column).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(path))
     nothing = df.drop(column).limit(0)
     for value in values:

@@ -56,8 +56,7 @@ def load(landing: DataFrame, raw_path: str, rejects_path: str, dates: Sequence[d
     Rows are sorted by time inside each file, so scans by time skip row groups.
     """
     wanted = landing.where(F.col("date").isin(list(dates)))
-    good = accepted(wanted).sortWithinPartitions("_source_date", "txn_timestamp")
-    loaded = replace_partitions(good, raw_path, "_source_date", dates)
+    loaded = replace_partitions(accepted(wanted), raw_path, "_source_date", dates, "txn_timestamp")
     replace_partitions(rejects(wanted), rejects_path, "_source_date", dates)
     return loaded
 
