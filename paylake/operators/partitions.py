@@ -26,16 +26,19 @@ def by_partition(df: DataFrame, column: str, *sort: str) -> DataFrame:
     return df.hint("rebalance", column).sortWithinPartitions(column, *sort)
 
 
-def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[dt.date], *sort: str) -> dict[str, int]:
+def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[dt.date], *sort: str) -> None:
     """Make ``df`` the whole content of the given partitions; other partitions stay.
 
-    Dynamic overwrite leaves a partition alone when no row falls in it, so those are
-    written as empty. Running again gives the same table. Returns rows per partition.
-    ``sort`` orders rows inside each file.
+    Dynamic overwrite keeps the old files until the job has succeeded, but leaves a
+    partition alone when no row falls in it, so those are written as empty. Running again
+    gives the same table. ``sort`` orders rows inside each file.
     """
     values = sorted(set(values))
     rows = df.where(F.col(column).isin(values))
-    found = {r[0]: r[1] for r in rows.groupBy(column).count().collect()}  # one row per partition
+    if len(values) == 1:
+        found = set() if rows.isEmpty() else set(values)
+    else:
+        found = {r[0] for r in rows.select(column).distinct().collect()}  # one row per partition
     if found:
         (by_partition(rows, column, *sort).write.partitionBy(column).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(path))
@@ -43,4 +46,10 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[d
     for value in values:
         if value not in found:
             nothing.write.mode("overwrite").parquet(f"{path}/{column}={value}")
-    return {str(v): found.get(v, 0) for v in values}
+
+
+def partition_rows(spark: SparkSession, path: str, column: str, values: Sequence[dt.date]) -> dict[str, int]:
+    """Stored rows per partition, from file footers, so task retries cannot distort them."""
+    stored = spark.read.parquet(path).where(F.col(column).isin(list(values)))
+    counts = {str(r[0]): r[1] for r in stored.groupBy(column).count().collect()}
+    return {str(v): counts.get(str(v), 0) for v in values}

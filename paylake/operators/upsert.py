@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paylake.operators.partitions import replace_partitions, table_exists
+from paylake.operators.partitions import by_partition, replace_partitions, table_exists
 from paylake.operators.scratch import stored
 
 
@@ -13,19 +13,18 @@ def merged(existing: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return existing.join(changes.select(key), key, "left_anti").select(existing.columns).unionByName(changes)
 
 
-def upsert(changes: DataFrame, path: str, key: str, day: str) -> dict[str, int]:
+def upsert(changes: DataFrame, path: str, key: str, day: str) -> None:
     """Merge into the table at ``path``, rewriting only the days that change.
 
     These are the days of the new rows and the days the replaced rows are stored under,
     since a row may move. ``changes`` must have one row per key.
     """
     spark = changes.sparkSession
-    changes = stored(changes, "changes")
-    days = {r[0] for r in changes.select(day).distinct().collect()}
-    if table_exists(spark, path):
-        table = spark.read.parquet(path)
-        replaced = table.select(key, day).join(changes.select(key), key, "left_semi")
-        days |= {r[0] for r in replaced.select(day).distinct().collect()}
-        touched = table.where(F.col(day).isin(sorted(days)))
-        changes = stored(merged(touched, changes, key).select(table.columns), "merged")
-    return replace_partitions(changes, path, day, sorted(days))
+    if not table_exists(spark, path):
+        by_partition(changes, day).write.partitionBy(day).mode("overwrite").parquet(path)
+        return
+    changes, table = stored(changes, "changes"), spark.read.parquet(path)
+    replaced = table.select(key, day).join(changes.select(key), key, "left_semi")
+    days = sorted(r[0] for r in changes.select(day).union(replaced.select(day)).distinct().collect())
+    rows = merged(table.where(F.col(day).isin(days)), changes, key).select(table.columns)
+    replace_partitions(stored(rows, "merged"), path, day, days)

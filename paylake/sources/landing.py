@@ -43,9 +43,9 @@ def land(df: DataFrame, root: str, source: str, date: dt.date) -> str:
     return path
 
 
-def land_dates(df: DataFrame, root: str, source: str, dates: Sequence[dt.date]) -> dict[str, int]:
+def land_dates(df: DataFrame, root: str, source: str, dates: Sequence[dt.date]) -> None:
     """Replace several dates of a source in one job; a ``date`` column tells each row's date."""
-    return replace_partitions(coerced(df, "date"), f"{root}/source={source}", "date", dates)
+    replace_partitions(coerced(df, "date"), f"{root}/source={source}", "date", dates)
 
 
 def read_landing(spark: SparkSession, root: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paylake.fixed import CANONICAL_COLUMNS, DEFAULT_CURRENCY, RAW_TEXT_LIMITS
-from paylake.operators.partitions import replace_partitions
+from paylake.operators.partitions import partition_rows, replace_partitions
 
 RAW_TYPES = {c: "string" for c in CANONICAL_COLUMNS} | {
     "amount": "decimal(15,2)", "txn_timestamp": "timestamp_ntz", "ingested_at": "timestamp_ntz",
@@ -56,9 +56,9 @@ def load(landing: DataFrame, raw_path: str, rejects_path: str, dates: Sequence[d
     Rows are sorted by time inside each file, so scans by time skip row groups.
     """
     wanted = landing.where(F.col("date").isin(list(dates)))
-    loaded = replace_partitions(accepted(wanted), raw_path, "_source_date", dates, "txn_timestamp")
+    replace_partitions(accepted(wanted), raw_path, "_source_date", dates, "txn_timestamp")
     replace_partitions(rejects(wanted), rejects_path, "_source_date", dates)
-    return loaded
+    return partition_rows(landing.sparkSession, raw_path, "_source_date", dates)
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:

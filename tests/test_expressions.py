@@ -17,6 +17,7 @@ def values(spark, rows, schema, column):
 @pytest.mark.parametrize("vpa,bank,valid", [
     ("a@b", "b", True), ("a@", None, False), ("plain", "plain", False), ("a@b@c", "c", False),
     (" A@B ", "b", False), (None, None, None), ("a.b_c-1@OkAxis", "okaxis", True), ("a@b1", "b1", False),
+    ("a@ ", "", False), ("", None, False), ("@", None, False),
 ])
 def test_vpa(spark, vpa, bank, valid):
     row = spark.createDataFrame([(vpa,)], "v string").select(text.bank_handle(F.col("v")), text.is_valid_vpa(F.col("v"))).first()
@@ -24,9 +25,9 @@ def test_vpa(spark, vpa, bank, valid):
 
 
 def test_proper_case(spark):
-    words = ["new-delhi", "navi mumbai", "ST. john's", "a(b)c", "", None, "o_p/q"]
+    words = ["new-delhi", "navi mumbai", "ST. john's", "a(b)c", "", None, "o_p/q", "UPPER  twice", "tab\tbed", "x&y [z]"]
     got = values(spark, [(w,) for w in words], "v string", text.proper_case(F.col("v")))
-    assert got == ["New-Delhi", "Navi Mumbai", "St. John's", "A(B)C", "", None, "O_P/Q"]
+    assert got == ["New-Delhi", "Navi Mumbai", "St. John's", "A(B)C", "", None, "O_P/Q", "Upper  Twice", "Tab\tBed", "X&Y [Z]"]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])

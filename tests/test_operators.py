@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paylake.config import Run, Settings, SkewPolicy
 from paylake.operators.median import median_by
-from paylake.operators.partitions import replace_partitions
+from paylake.operators.partitions import partition_rows, replace_partitions
 from paylake.operators.skew import hot_keys
 from paylake.operators.timeline import with_sender_timeline
 from paylake.operators.upsert import upsert
@@ -68,8 +68,11 @@ def test_median_against_brute_force(spark, min_rows):
 def test_replace_partitions_clears_dates_without_rows(spark, tmp_path):
     path, days = str(tmp_path / "t"), [dt.date(2024, 1, d) for d in (1, 2, 3)]
     df = spark.createDataFrame([(i, days[i % 3]) for i in range(9)], "v int, d date")
-    assert replace_partitions(df, path, "d", days) == {str(d): 3 for d in days}
-    assert replace_partitions(df.where("v = 1"), path, "d", days[:2]) == {"2024-01-01": 0, "2024-01-02": 1}
+    replace_partitions(df, path, "d", days)
+    assert partition_rows(spark, path, "d", days) == {str(d): 3 for d in days}
+    replace_partitions(df.where("v = 1"), path, "d", days[:2])
+    replace_partitions(df.where("v = 1"), path, "d", days[:1])
+    assert partition_rows(spark, path, "d", days) == {"2024-01-01": 0, "2024-01-02": 1, "2024-01-03": 3}
     assert {(r.v, r.d) for r in spark.read.parquet(path).collect()} == {(1, days[1]), (2, days[2]), (5, days[2]), (8, days[2])}
 
 
