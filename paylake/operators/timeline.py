@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paylake.functions.calendar import second_number
+from paylake.operators.scratch import stored
 from paylake.operators.skew import flag_hot, same_key
 
 RANKS = ("sender_lifetime_rank", "sender_daily_rank")
@@ -67,9 +68,10 @@ def _ranked_in_slices(txns: DataFrame) -> DataFrame:
 
 def _slice_offsets(rows: DataFrame) -> DataFrame:
     hour_keys = ["_owner", "txn_date", "txn_hour"]
-    slices = rows.groupBy(*hour_keys, "_slice").agg(
+    # Stored, since the plan reads them twice and they are far smaller than the rows.
+    slices = stored(rows.groupBy(*hour_keys, "_slice").agg(
         F.count("*").alias("_n"), F.count_if(_is_failed()).alias("_failed"),
-    )
+    ), "slices")
     hours = slices.groupBy(*hour_keys).agg(F.sum("_n").alias("_hour_n"), F.sum("_failed").alias("_hour_failed"))
 
     before = (Window.unboundedPreceding, -1)

@@ -69,8 +69,14 @@ def _flagged_table(spark: SparkSession, sf: str) -> DataFrame:
     return enriched.with_flags(_staged_table(spark, sf))
 
 
+def _staged_and_hot(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame | None]:
+    """Staging and hot senders; the plan for hot senders reads staging twice, so it gets a table."""
+    hot = _hot(spark, sf)
+    return (_staged(spark, sf) if hot is None else _staged_table(spark, sf)), hot
+
+
 def _features(spark: SparkSession, sf: str) -> DataFrame:
-    return enriched.features(_staged(spark, sf), _hot(spark, sf))
+    return enriched.features(*_staged_and_hot(spark, sf))
 
 
 def _signals(spark: SparkSession, sf: str, only: str | None = None) -> DataFrame:
@@ -231,7 +237,7 @@ def queries() -> dict[str, Query]:
         "raw_reload_counts": raw_reload_counts,
         "stg_upi_transactions": lambda s, d: shown(_staged(s, d)),
         "stg_incremental_upsert": stg_incremental_upsert,
-        "int_transactions_enriched": lambda s, d: shown(enriched.enrich(_staged(s, d), _hot(s, d))),
+        "int_transactions_enriched": lambda s, d: shown(enriched.enrich(*_staged_and_hot(s, d))),
         "home_city_mode": lambda s, d: customers.sender_modes(_staged(s, d)).where("home_city is not null").drop("primary_device_type"),
         "primary_device_mode": lambda s, d: customers.sender_modes(_staged(s, d)).drop("home_city"),
         "int_customers_current": lambda s, d: shown(customers.customers_current(_flagged_table(s, d))),
