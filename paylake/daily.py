@@ -98,7 +98,7 @@ def build_marts(tables: Tables, only: Iterable[str] = MARTS) -> None:
     """Rebuild the chosen marts. Enriched rows are written once and read by all of them."""
     run, only = tables.run, set(only)
     stg = _staged(tables)
-    rows = stored(enriched.features(stg, enriched.hot_senders(stg, run)), "enriched")
+    rows = stored(enriched.features(stg, run, enriched.hot_senders(stg, run)), "enriched")
     if "fct_transactions" in only:
         tables.replace(transactions.fct_transactions(rows, dim_customers(tables)), "fct_transactions", "txn_date")
     if "fct_daily_summary" in only:

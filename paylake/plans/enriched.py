@@ -31,10 +31,10 @@ def hot_senders(rows: DataFrame, run: Run, sender: Column | None = None) -> Data
     return hot_keys(rows, {"sender_vpa": key}, run.settings.skew)
 
 
-def features(stg: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def features(stg: DataFrame, run: Run, hot: DataFrame | None = None) -> DataFrame:
     """Enriched rows plus the sender counts the fraud rules read."""
-    return with_sender_timeline(with_flags(stg), hot)
+    return with_sender_timeline(with_flags(stg), hot, run.settings.skew)
 
 
-def enrich(stg: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    return features(stg, hot).drop(*COUNTS)
+def enrich(stg: DataFrame, run: Run, hot: DataFrame | None = None) -> DataFrame:
+    return features(stg, run, hot).drop(*COUNTS)

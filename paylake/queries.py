@@ -14,6 +14,7 @@ from paylake.functions import numbers, text
 from paylake.functions.audit import AUDIT_COLUMNS
 from paylake.operators import versions
 from paylake.operators.scratch import new_path, stored
+from paylake.operators.timeline import COUNTS
 from paylake.operators.upsert import upsert
 from paylake.plans import customers, enriched, fraud, staging, transactions
 from paylake.quality.evaluate import evaluate
@@ -76,7 +77,8 @@ def _staged_and_hot(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
 
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
-    return enriched.features(*_staged_and_hot(spark, sf))
+    stg, hot = _staged_and_hot(spark, sf)
+    return enriched.features(stg, RUN, hot)
 
 
 def _signals(spark: SparkSession, sf: str, only: str | None = None) -> DataFrame:
@@ -181,7 +183,7 @@ def fct_transactions(spark: SparkSession, sf: str, all_versions: bool = False) -
     stg = _staged_table(spark, sf)
     hot = enriched.hot_senders(stg, RUN)
     dim = customers.dim_customers(_history(enriched.with_flags(stg)))
-    return shown(transactions.fct_transactions(enriched.enrich(stg, hot), dim, all_versions))
+    return shown(transactions.fct_transactions(enriched.enrich(stg, RUN, hot), dim, all_versions))
 
 
 def fct_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,14 +193,14 @@ def fct_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def fct_fraud_summary(spark: SparkSession, sf: str) -> DataFrame:
     stg = _staged_table(spark, sf)
-    signals = fraud.fct_fraud_signals(enriched.features(stg, enriched.hot_senders(stg, RUN)), RUN)
+    signals = fraud.fct_fraud_signals(enriched.features(stg, RUN, enriched.hot_senders(stg, RUN)), RUN)
     return shown(fraud.fct_fraud_summary(signals, stg))
 
 
 def dq_results(spark: SparkSession, sf: str) -> DataFrame:
     raw = adapter.raw_transactions(spark, sf)
     stg = _staged_table(spark, sf)
-    features = stored(enriched.features(stg, enriched.hot_senders(stg, RUN)), "features")
+    features = stored(enriched.features(stg, RUN, enriched.hot_senders(stg, RUN)), "features")
     dim = customers.dim_customers(versions.first_versions(customers.customers_current(features), "sender_vpa", RUN.run_ts))
     signals = stored(fraud.fct_fraud_signals(features, RUN), "signals")
     return evaluate({
@@ -237,7 +239,7 @@ def queries() -> dict[str, Query]:
         "raw_reload_counts": raw_reload_counts,
         "stg_upi_transactions": lambda s, d: shown(_staged(s, d)),
         "stg_incremental_upsert": stg_incremental_upsert,
-        "int_transactions_enriched": lambda s, d: shown(enriched.enrich(*_staged_and_hot(s, d))),
+        "int_transactions_enriched": lambda s, d: shown(_features(s, d).drop(*COUNTS)),
         "home_city_mode": lambda s, d: customers.sender_modes(_staged(s, d)).where("home_city is not null").drop("primary_device_type"),
         "primary_device_mode": lambda s, d: customers.sender_modes(_staged(s, d)).drop("home_city"),
         "int_customers_current": lambda s, d: shown(customers.customers_current(_flagged_table(s, d))),

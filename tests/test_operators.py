@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import statistics
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from paylake.config import Run, Settings, SkewPolicy
 from paylake.operators.median import median_by
 from paylake.operators.partitions import partition_rows, replace_partitions
-from paylake.operators.skew import hot_keys
+from paylake.operators.scratch import shared_dir
+from paylake.operators.skew import flag_hot, hot_keys
 from paylake.operators.timeline import with_sender_timeline
 from paylake.operators.upsert import upsert
 from paylake.operators.versions import read_versions, snapshot
@@ -30,7 +32,7 @@ def test_hot_keys_are_bounded(spark):
     assert {r.k for r in hot.collect()} == {"a", None}
 
 
-@pytest.mark.parametrize("min_rows", [None, 20, 0])
+@pytest.mark.parametrize("min_rows", [None, 400, 20, 0])
 def test_timeline_against_brute_force(spark, min_rows):
     """One sender holds most rows, many of them in the same second; another sender is null."""
     rng = random.Random(7)
@@ -43,7 +45,8 @@ def test_timeline_against_brute_force(spark, min_rows):
     df = spark.createDataFrame(
         rows, "txn_id string, sender_vpa string, txn_timestamp timestamp_ntz, txn_date date, txn_hour bigint, status string")
     hot = None if min_rows is None else hot_keys(df, {"sender_vpa": F.col("sender_vpa")}, SkewPolicy(min_rows, 1000))
-    got = {r.txn_id: tuple(r)[6:] for r in with_sender_timeline(df, hot).select(
+    policy = SkewPolicy(min_rows or 0, 1000)
+    got = {r.txn_id: tuple(r)[6:] for r in with_sender_timeline(df, hot, policy).select(
         *df.columns, "sender_lifetime_rank", "sender_daily_rank", "sender_hour_txns", "sender_day_txns", "sender_day_failures").collect()}
     want = {}
     for r in rows:
@@ -171,3 +174,40 @@ def test_modes_break_ties_and_let_missing_devices_win(spark):
     got = {r.sender_vpa: (r.home_city, r.primary_device_type) for r in customers.sender_modes(
         spark.createDataFrame(rows, "sender_vpa string, city string, device_type string")).collect()}
     assert got == {"a": ("Agra", "WEB"), "b": ("Pune", None), "c": (None, "IOS")}
+
+
+def fake_session(setting, master):
+    made = []
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: setting), sparkContext=context), made
+
+
+def test_shared_dir_comes_from_the_session():
+    session, made = fake_session("hdfs://shared/tmp/", "yarn")
+    assert shared_dir(session) == "hdfs://shared/tmp" and made == ["hdfs://shared/tmp/"]
+    session, _ = fake_session(None, "yarn")
+    with pytest.raises(ValueError):
+        shared_dir(session)
+    session, made = fake_session(None, "local[2]")
+    assert shared_dir(session) == made[0]
+
+
+def test_hot_key_plans_broadcast_only_the_key_list(spark):
+    df = spark.range(100).select((F.col("id") % 2).cast("string").alias("k"), F.lit(None).cast("date").alias("d"))
+    hot = hot_keys(df, {"k": F.col("k"), "d": F.col("d")}, SkewPolicy(10, 10))
+    flagged = flag_hot(df, hot, "is_hot")
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Exchange hashpartitioning" not in plan
+    assert flagged.where("is_hot").count() == 100
+
+
+def test_deduplication_limits_copies_before_the_shuffle(spark):
+    plan = staging.stage(raw_rows(spark, {"txn_id": "1"}), RUN)._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan[plan.index("Exchange hashpartitioning(txn_id"):]
+    assert "WindowGroupLimit" in before_shuffle and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_sender_columns_need_one_shuffle_and_one_sort(spark):
+    stg = spark.createDataFrame([], "txn_id string, sender_vpa string, txn_timestamp timestamp_ntz, txn_date date, txn_hour bigint, status string")
+    plan = with_sender_timeline(stg)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
