@@ -18,7 +18,7 @@ from paylake.functions.audit import AUDIT_COLUMNS, with_audit
 from paylake.operators import versions
 from paylake.operators.latest import first_per_key
 from paylake.operators.partitions import table_exists
-from paylake.operators.scratch import stored
+from paylake.operators.scratch import stored_for
 from paylake.operators.upsert import upsert
 from paylake.plans import customers, enriched, fraud, staging, transactions
 from paylake.quality.evaluate import enforce, evaluate
@@ -98,15 +98,16 @@ def build_marts(tables: Tables, only: Iterable[str] = MARTS) -> None:
     """Rebuild the chosen marts. Enriched rows are written once and read by all of them."""
     run, only = tables.run, set(only)
     stg = _staged(tables)
-    rows = stored(enriched.features(stg, run, enriched.hot_senders(stg, run)), "enriched")
-    if "fct_transactions" in only:
-        tables.replace(transactions.fct_transactions(rows, dim_customers(tables)), "fct_transactions", "txn_date")
-    if "fct_daily_summary" in only:
-        tables.replace(transactions.fct_daily_summary(rows, transactions.hot_daily_groups(rows, run)), "fct_daily_summary")
-    if "fct_customer_activity" in only:
-        tables.replace(transactions.fct_customer_activity(rows), "fct_customer_activity")
-    if "fct_fraud_signals" in only:
-        tables.replace(fraud.fct_fraud_signals(rows, run), "fct_fraud_signals", "txn_date")
+    with stored_for(enriched.features(stg, run, enriched.hot_senders(stg, run)), "enriched") as rows:
+        if "fct_transactions" in only:
+            tables.replace(transactions.fct_transactions(rows, dim_customers(tables)), "fct_transactions", "txn_date")
+        if "fct_daily_summary" in only:
+            hot = transactions.hot_daily_groups(rows, run)
+            tables.replace(transactions.fct_daily_summary(rows, hot), "fct_daily_summary")
+        if "fct_customer_activity" in only:
+            tables.replace(transactions.fct_customer_activity(rows), "fct_customer_activity")
+        if "fct_fraud_signals" in only:
+            tables.replace(fraud.fct_fraud_signals(rows, run), "fct_fraud_signals", "txn_date")
     if only & {"fct_fraud_scores", "fct_fraud_summary"}:
         signals = tables.read("fct_fraud_signals").drop(*AUDIT_COLUMNS)
         if "fct_fraud_scores" in only:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,13 +23,38 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop file system and path object; Spark has no call of its own to delete a path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under one folder per application, which may go when the application ends."""
-    return f"{shared_dir(spark)}/paylake-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under one folder per application, deleted when the application ends."""
+    folder = f"{shared_dir(spark)}/paylake-{spark.sparkContext.applicationId}"
+    fs, where = _file_system(spark, folder)
+    if fs.mkdirs(where):
+        fs.deleteOnExit(where)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once, read many: cuts lineage and, unlike a checkpoint, keeps column pruning."""
-    path = new_path(df.sparkSession, name)
+    return _write(df, new_path(df.sparkSession, name))
+
+
+@contextmanager
+def stored_for(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stored`` for the length of a block; nothing that reads it may outlive the block."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    try:
+        yield _write(df, path)
+    finally:
+        fs, where = _file_system(spark, path)
+        fs.delete(where, True)
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paylake.operators.partitions import by_partition, replace_partitions, table_exists
-from paylake.operators.scratch import stored
+from paylake.operators.scratch import stored_for
 
 
 def merged(existing: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -23,8 +23,10 @@ def upsert(changes: DataFrame, path: str, key: str, day: str) -> None:
     if not table_exists(spark, path):
         by_partition(changes, day).write.partitionBy(day).mode("overwrite").parquet(path)
         return
-    changes, table = stored(changes, "changes"), spark.read.parquet(path)
-    replaced = table.select(key, day).join(changes.select(key), key, "left_semi")
-    days = sorted(r[0] for r in changes.select(day).union(replaced.select(day)).distinct().collect())
-    rows = merged(table.where(F.col(day).isin(days)), changes, key).select(table.columns)
-    replace_partitions(stored(rows, "merged"), path, day, days)
+    table = spark.read.parquet(path)
+    with stored_for(changes, "changes") as changes:
+        replaced = table.select(key, day).join(changes.select(key), key, "left_semi")
+        days = sorted(r[0] for r in changes.select(day).union(replaced.select(day)).distinct().collect())
+        rows = merged(table.where(F.col(day).isin(days)), changes, key).select(table.columns)
+        with stored_for(rows, "merged") as rows:
+            replace_partitions(rows, path, day, days)

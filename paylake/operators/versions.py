@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paylake.functions.calendar import ntz
 from paylake.operators.partitions import replace_partitions, table_exists
-from paylake.operators.scratch import stored
+from paylake.operators.scratch import stored_for
 
 OPEN_DAY = dt.date(9999, 12, 31)
 CLOSED_ON = "closed_on"
@@ -67,13 +67,13 @@ def snapshot(current: DataFrame, path: str, key: str, tracked: Sequence[str], at
         rows.select("*", ended_on).write.partitionBy(CLOSED_ON).mode("overwrite").parquet(path)
         return
     day = at.date()
-    stored_rows = spark.read.parquet(path)
+    table = spark.read.parquet(path)
     is_open = F.col(CLOSED_ON) == OPEN_DAY
-    open_rows = stored_rows.where(is_open).drop(CLOSED_ON)
+    open_rows = table.where(is_open).drop(CLOSED_ON)
     # Left behind by a run that stopped between the two writes below: ended, yet still open.
-    ended_today = stored_rows.where(F.col(CLOSED_ON) == day).drop(CLOSED_ON).join(
+    ended_today = table.where(F.col(CLOSED_ON) == day).drop(CLOSED_ON).join(
         open_rows.select("dbt_scd_id"), "dbt_scd_id", "left_anti").select(open_rows.columns)
     rows = next_versions(open_rows, current, key, tracked, at).unionByName(ended_today)
-    rows = stored(rows.select("*", ended_on), "versions")
-    replace_partitions(rows, path, CLOSED_ON, [day])
-    replace_partitions(rows, path, CLOSED_ON, [OPEN_DAY])
+    with stored_for(rows.select("*", ended_on), "versions") as rows:
+        replace_partitions(rows, path, CLOSED_ON, [day])
+        replace_partitions(rows, path, CLOSED_ON, [OPEN_DAY])

@@ -1,6 +1,7 @@
 """Operators against brute force and over repeated runs."""
 
 import datetime as dt
+import os
 import random
 import statistics
 from decimal import Decimal
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from paylake.config import Run, Settings, SkewPolicy
 from paylake.operators.median import median_by
 from paylake.operators.partitions import partition_rows, replace_partitions
-from paylake.operators.scratch import shared_dir
+from paylake.operators.scratch import shared_dir, stored, stored_for
 from paylake.operators.skew import flag_hot, hot_keys
 from paylake.operators.timeline import with_sender_timeline
 from paylake.operators.upsert import upsert
@@ -176,6 +177,15 @@ def test_modes_break_ties_and_let_missing_devices_win(spark):
     assert got == {"a": ("Agra", "WEB"), "b": ("Pune", None), "c": (None, "IOS")}
 
 
+def test_scratch_tables_go_away(spark):
+    df = spark.range(5)
+    with stored_for(df, "few") as rows:
+        assert rows.count() == 5
+        files = rows.inputFiles()
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert stored(df, "few").count() == 5
+
+
 def fake_session(setting, master):
     made = []
     context = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append)
