@@ -10,6 +10,7 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake.config import Run
@@ -29,6 +30,7 @@ from paylake.sources.statements import land_statements
 from paylake.tables import Tables
 
 STAGES = ("ingest", "load", "prep", "snapshot", "marts", "quality")
+SESSION = {"spark.sql.session.timeZone": "UTC", "spark.ui.enabled": SparkConf().get("spark.ui.enabled", "false")}
 MARTS = ("fct_transactions", "fct_daily_summary", "fct_customer_activity", "fct_fraud_signals", "fct_fraud_scores", "fct_fraud_summary")
 
 
@@ -102,8 +104,7 @@ def build_marts(tables: Tables, only: Iterable[str] = MARTS) -> None:
         if "fct_transactions" in only:
             tables.replace(transactions.fct_transactions(rows, dim_customers(tables)), "fct_transactions", "txn_date")
         if "fct_daily_summary" in only:
-            hot = transactions.hot_daily_groups(rows, run)
-            tables.replace(transactions.fct_daily_summary(rows, hot), "fct_daily_summary")
+            tables.replace(transactions.fct_daily_summary(rows, run), "fct_daily_summary")
         if "fct_customer_activity" in only:
             tables.replace(transactions.fct_customer_activity(rows), "fct_customer_activity")
         if "fct_fraud_signals" in only:
@@ -185,7 +186,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--strict", action="store_true")
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName("paylake-daily").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.appName("paylake-daily").config(map=SESSION).getOrCreate()
     done = run_range(spark, a.root, Inputs(a.statements, a.feed), Run.for_date(a.date, target=a.target), a.to or a.date,
                      stages=a.stages, marts=a.marts, full_refresh=a.full_refresh, strict=a.strict)
     for day, counts in done.items():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paylake.config import SkewPolicy
@@ -17,13 +19,25 @@ def hot_keys(df: DataFrame, keys: dict[str, Column], policy: SkewPolicy) -> Data
     rows = df.count()
     if rows <= policy.min_rows:
         return None
-    least = max(policy.min_rows, rows // policy.max_keys)
     shared_dir(df.sparkSession)
     counts = df.select(*[c.alias(n) for n, c in keys.items()]).groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = counts.where(F.col("_n") > least).drop("_n").checkpoint()
+    hot = _above(counts, "_n", rows, policy).checkpoint()
+    return None if hot.isEmpty() else hot
+
+
+def hot_groups(counts: DataFrame, keys: Sequence[str], count: str, policy: SkewPolicy) -> DataFrame | None:
+    """The same from a stored table that already has the row count of every key."""
+    rows = counts.agg(F.sum(count)).first()[0] or 0
+    if rows <= policy.min_rows:
+        return None
+    hot = _above(counts.select(*keys, count), count, rows, policy)
     return None if hot.isEmpty() else hot
 
 
+def _above(counts: DataFrame, count: str, rows: int, policy: SkewPolicy) -> DataFrame:
+    return counts.where(F.col(count) > max(policy.min_rows, rows // policy.max_keys)).drop(count)
+
+
 def flag_hot(df: DataFrame, hot: DataFrame, flag: str) -> DataFrame:
     """``df`` with a boolean telling whether the row's key is hot; nulls match nulls."""
     names = hot.columns

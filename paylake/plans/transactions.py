@@ -9,7 +9,8 @@ from paylake.fixed import SIZE_BUCKETS, TOP_SIZE_BUCKET
 from paylake.functions.calendar import minute_boundaries
 from paylake.functions.numbers import mean, safe_divide, total
 from paylake.operators.median import median_by
-from paylake.operators.skew import hot_keys
+from paylake.operators.scratch import stored
+from paylake.operators.skew import hot_groups
 
 _FACT_COLUMNS = (
     "txn_id", "upi_ref",
@@ -60,14 +61,14 @@ def _bucket_counts() -> list[Column]:
     return [F.count_if(F.col("txn_size_bucket") == b).alias(c) for b, c in names.items()]
 
 
-def hot_daily_groups(txns: DataFrame, run: Run) -> DataFrame | None:
-    return hot_keys(txns, {k: F.col(k) for k in DAILY_KEYS}, run.settings.skew)
+def fct_daily_summary(txns: DataFrame, run: Run) -> DataFrame:
+    """Daily figures per bank pair, status, device and part of the day, over flagged transactions.
 
-
-def fct_daily_summary(txns: DataFrame, hot_groups: DataFrame | None = None) -> DataFrame:
-    """Daily figures per bank pair, status, device and part of the day, over flagged transactions."""
+    The median is computed apart: next to distinct counts it would run on the expanded rows
+    and lose hash aggregation for all figures. The stored figures also tell the hot groups.
+    """
     amount = F.col("amount_inr")
-    figures = txns.groupBy(*DAILY_KEYS).agg(
+    figures = stored(txns.groupBy(*DAILY_KEYS).agg(
         F.count("txn_id").alias("txn_count"),
         total(amount).alias("total_amount_inr"),
         mean(amount).alias("avg_amount_inr"),
@@ -79,8 +80,9 @@ def fct_daily_summary(txns: DataFrame, hot_groups: DataFrame | None = None) -> D
         F.count_distinct("receiver_vpa").alias("unique_receivers"),
         F.count_distinct("city").alias("cities_active"),
         *_bucket_counts(),
-    )
-    medians = median_by(txns, DAILY_KEYS, "amount_inr", "median_amount_inr", hot_groups)
+    ), "daily-figures")
+    hot = hot_groups(figures, DAILY_KEYS, "txn_count", run.settings.skew)
+    medians = median_by(txns, DAILY_KEYS, "amount_inr", "median_amount_inr", hot)
     medians = medians.select(*[F.col(k).alias(f"_{k}") for k in DAILY_KEYS], "median_amount_inr")
     same_group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in DAILY_KEYS]
     count = F.col("txn_count")

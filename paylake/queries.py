@@ -187,8 +187,7 @@ def fct_transactions(spark: SparkSession, sf: str, all_versions: bool = False) -
 
 
 def fct_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = _flagged_table(spark, sf)
-    return shown(transactions.fct_daily_summary(flagged, transactions.hot_daily_groups(flagged, RUN)))
+    return shown(transactions.fct_daily_summary(_flagged_table(spark, sf), RUN))
 
 
 def fct_fraud_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,7 +206,7 @@ def dq_results(spark: SparkSession, sf: str) -> DataFrame:
         "raw_upi_transactions": raw,
         "stg_upi_transactions": stg,
         "fct_transactions": transactions.fct_transactions(features, dim),
-        "fct_daily_summary": transactions.fct_daily_summary(features, transactions.hot_daily_groups(features, RUN)),
+        "fct_daily_summary": transactions.fct_daily_summary(features, RUN),
         "dim_customers": dim.where("is_current"),
         "fct_customer_activity": transactions.fct_customer_activity(features),
         "fct_fraud_signals": signals,

@@ -173,6 +173,14 @@ def test_daily_run(spark, tmp_path, inputs):
     assert counts["stg_upi_transactions"] == 44
 
 
+def test_command_line(spark, tmp_path, inputs, capsys):
+    args = ["--root", str(tmp_path / "lake"), "--statements", inputs.statements, "--feed", inputs.feed, "--date", "2024-01-05"]
+    daily.main([*args, "--to", "2024-01-06", "--stages", "ingest", "load"])
+    lines = capsys.readouterr().out.splitlines()
+    assert [line.split()[0] for line in lines] == ["2024-01-05", "2024-01-06"]
+    assert "'loaded_rows': 21" in lines[0] and "'raw_upi_transactions': 43" in lines[1]
+
+
 def test_missing_source_stops_the_run(spark, tmp_path, inputs):
     write_pages(tmp_path / "feed" / "2024-01-07", [record(1, dt.date(2024, 1, 7))])
     run = dataclasses.replace(RUN, run_date=dt.date(2024, 1, 7))
