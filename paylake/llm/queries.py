@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import bpe, exact, mixing, oracle, token_files
+from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +32,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_and_read(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.held_out_identification(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), jaccard.Similarity(words=4, percent=85))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_exact_dedup, op5_mixing, op8_token_files)}
+    return {f.__name__: f for f in (op1_byte_bpe, op4_exact_dedup, op5_mixing, op8_token_files, op9_language_id, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,10 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from paylake.llm import pretokens
+from paylake.llm.batches import parts
 from paylake.llm.workers import ship
 from paylake.operators.scratch import new_path
 
-CACHE = 400_000  # pre-tokens a worker keeps
+CACHE = 250_000  # pre-tokens a worker keeps
 LONGEST = 200  # bytes of a pre-token that is kept
 SCHEMA = "doc_id bigint, part int, begin bigint, n_tokens bigint, tokens array<int>"
 
@@ -100,12 +101,12 @@ def write(df: DataFrame, folder: str, path: str, end_id: int | None = 2, id_colu
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, begin = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            made = [np.frombuffer(x, "<i4") for x in encode_texts(batch.column("text").to_pylist(), path, end_id)]
+        for some, texts in parts(batches):
+            made = [np.frombuffer(x, "<i4") for x in encode_texts(texts, path, end_id)]
             n = np.fromiter(map(len, made), np.int64, len(made))
             stops = np.concatenate([[0], np.cumsum(n)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(begin + stops[:-1]), pa.array(n),
+                [some.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(begin + stops[:-1]), pa.array(n),
                  pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *made])))],
                 ["doc_id", "part", "begin", "n_tokens", "tokens"])
             begin += int(stops[-1])
