@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, token_files
+from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_toxicity(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_and_read(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -41,7 +45,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_exact_dedup, op5_mixing, op8_token_files, op9_language_id, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_byte_bpe, op4_exact_dedup, op5_mixing, op6_toxicity, op8_token_files, op9_language_id, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
