@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import functools
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from paylake.llm import pretokens
+from paylake.llm.batches import parts
 from paylake.llm.workers import ship
 
-CACHE = 400_000  # merged pre-tokens a worker keeps; a full cache starts anew
+CACHE = 250_000  # merged pre-tokens a worker keeps; a full cache starts anew
 SHORT = 200  # bytes up to which the lowest pair is looked for in a list, not a heap
 WIDTHS = (6, 10, 16, 32, 64, SHORT)  # merged together: pre-tokens of about the same length
 _WIDTH = [next(w for w in WIDTHS if n <= w) for n in range(SHORT + 1)]
@@ -239,43 +241,50 @@ def decode_tokens(ids: bytes, starts: bytes, path: str) -> bytes:
     return flat[np.arange(size) + np.repeat(begin[i] - at, length[i])].tobytes()
 
 
-ENCODED = "struct<n_tokens: bigint, ids: binary, starts: binary>"
+ENCODED = "doc_id bigint, n_tokens bigint, ids binary, starts binary"
 
 
-def encode(df: DataFrame, path: str, text: str = "text", into: str = "encoded") -> DataFrame:
-    """Adds ``into``: number of tokens, id bytes and token offsets of each whole text.
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    for some, texts in parts(batches):
+        ids = encode_texts(texts, path)
+        yield pa.RecordBatch.from_arrays(
+            [some.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+             pa.array([token_starts(x, path) for x in ids], pa.binary())], ["doc_id", "n_tokens", "ids", "starts"])
 
-    A null or empty text has no tokens and empty values. Repeated rows stay as they are, and an
-    empty table gives an empty one; other columns pass through untouched, and a column that is
-    already called ``into`` is replaced.
-    """
-    ship(df.sparkSession)
 
-    @F.arrow_udf(ENCODED)
-    def udf(column: pa.Array) -> pa.Array:
-        ids = encode_texts([t or "" for t in column.to_pylist()], path)
-        return pa.StructArray.from_arrays(
-            [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
-             pa.array([token_starts(x, path) for x in ids], pa.binary())], ["n_tokens", "ids", "starts"])
+def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = zip(batch.column("ids").to_pylist(), batch.column("starts").to_pylist())
+        text = [None if a is None or b is None else decode_tokens(a, b, path) for a, b in pairs]
+        yield batch.append_column("decoded", pa.array(text, pa.binary()))
+
 
-    return df.withColumn(into, udf(F.col(text).cast("string")))
+def _texts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
-def decode(ids: Column, starts: Column, path: str) -> Column:
-    """Bytes of the text that ids and their offsets stand for; null if either is null."""
+def encode(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_tokens, id bytes and token offsets of each whole text.
 
-    @F.arrow_udf("binary")
-    def udf(i: pa.Array, s: pa.Array) -> pa.Array:
-        pairs = zip(i.to_pylist(), s.to_pylist())
-        return pa.array([None if a is None or b is None else decode_tokens(a, b, path) for a, b in pairs], pa.binary())
+    A null or empty text has no tokens and empty values. Repeated rows stay and a null id passes
+    through; other columns are not carried along, whatever they are called, and an empty table
+    gives an empty one.
+    """
+    ship(df.sparkSession)
+    return _texts(df, doc_id, text).mapInArrow(lambda it: _encoded(it, path), ENCODED)
 
-    return udf(ids, starts)
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """Adds ``decoded``, the bytes that ids and their offsets stand for; null if either is null."""
+    ship(encoded.sparkSession)
+    return encoded.select("doc_id", "n_tokens", "ids", "starts").mapInArrow(lambda it: _decoded(it, path), f"{ENCODED}, decoded binary")
 
 
 def round_trip(df: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the id bytes and of the bytes decoded from them."""
-    encoded = encode(df.select("doc_id", "text"), path)
-    e = F.col("encoded")
-    return encoded.select(
-        "doc_id", e.n_tokens.alias("n_tokens"), F.sha2(e.ids, 256).alias("ids_sha256"),
-        F.sha2(decode(e.ids, e.starts, path), 256).alias("decoded_sha256"))
+    """doc_id, n_tokens and the digests of the id bytes and of the bytes decoded from them.
+
+    One worker encodes and decodes, so a task holds one vocabulary.
+    """
+    ship(df.sparkSession)
+    both = _texts(df, "doc_id", "text").mapInArrow(lambda it: _decoded(_encoded(it, path), path), f"{ENCODED}, decoded binary")
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
