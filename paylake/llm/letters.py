@@ -25,6 +25,21 @@ def _numbers() -> np.ndarray:
 _powers = _scrambled(1)
 
 
+def running(cps: np.ndarray) -> np.ndarray:
+    """Running sums from which every stretch of code points has its hash."""
+    global _powers
+    if len(_powers[0]) <= len(cps):
+        _powers = _scrambled(2 * len(cps))
+    total = np.zeros(len(cps) + 1, np.uint64)
+    np.cumsum(_numbers()[cps] * _powers[0][:len(cps)], out=total[1:])
+    return total
+
+
+def between(total: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of each stretch; equal stretches have equal hashes wherever they lie."""
+    return (total[stop] - total[begin]) * _powers[1][begin] + (stop - begin).astype(np.uint64)
+
+
 @dataclass
 class Words:
     """Runs of letters of a group of texts; ``ends``: how many there are up to each text's end."""
@@ -37,8 +52,7 @@ class Words:
     stops: np.ndarray  # positions of the texts' ends
 
     def hashes(self, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """Hash of each stretch; equal stretches have equal hashes wherever they lie."""
-        return (self.total[stop] - self.total[begin]) * _powers[1][begin] + (stop - begin).astype(np.uint64)
+        return between(self.total, begin, stop)
 
     def owner(self) -> np.ndarray:
         """Number of the text of each word."""
@@ -52,13 +66,9 @@ def hash_of(word: str) -> int:
 
 def words(texts: list[str], longest: int = 0):
     """The words of the texts, group by group; a longer run than ``longest`` is taken in parts."""
-    global _powers
     for run in groups(texts, GROUP):
         lower = [t.lower() for t in run]
         cps = np.frombuffer((" ".join(lower) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-        n = len(cps)
-        if len(_powers[0]) <= n:
-            _powers = _scrambled(2 * n)
         letter = classes()[cps] == L
         edge = np.flatnonzero(letter[1:] != letter[:-1]) + 1
         if letter[0]:
@@ -70,7 +80,5 @@ def words(texts: list[str], longest: int = 0):
             limit = np.repeat(stop, parts)
             begin = np.repeat(begin, parts) + nth * longest
             stop = np.minimum(begin + longest, limit)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_numbers()[cps] * _powers[0][:n], out=total[1:])
         stops = np.cumsum(np.fromiter(map(len, lower), np.int64, len(lower)) + 1) - 1
-        yield Words(cps, total, begin, stop, np.searchsorted(begin, stops), stops)
+        yield Words(cps, running(cps), begin, stop, np.searchsorted(begin, stops), stops)

@@ -48,3 +48,45 @@ select s.doc_id, s.size, b.source_size, b.target,
        cast(s.size * (b.whole + case when b.rest > 0 and s.place <= e.last_place then 1 else 0 end) as bigint) as taken
 from sized s join budget b on s.source is not distinct from b.source left join edge e on s.source is not distinct from e.source
 """
+
+EMBEDDINGS = """
+with recursive clean as (
+    select vec_id, label, list_transform(embedding, lambda v: cast(v as double)) as e from embeddings
+    where vec_id is not null and label is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda v: v is null or isnan(v) or isinf(v))) = 0
+      and len(list_filter(embedding, lambda v: v <> 0)) > 0),
+links as (
+    select a.vec_id as a, b.vec_id as b from clean a join clean b
+    on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+    where list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.98),
+reach(v, r) as (
+    select distinct a, a from links
+    union
+    select r.v, l.b from reach r join links l on l.a = r.r),
+first as (select v, min(r) as component_id from reach group by v),
+degree as (select a, count(*) as n_links from links group by a)
+select e.vec_id, coalesce(d.n_links, 0) as n_links, coalesce(f.component_id, e.vec_id) as component_id,
+       e.vec_id is not distinct from coalesce(f.component_id, e.vec_id) as kept
+from embeddings e left join degree d on d.a = e.vec_id left join first f on f.v = e.vec_id
+"""
+
+JACCARD = r"""
+with recursive words as (
+    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+shingles as (
+    select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as s from words),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+    select x.doc_id as a, y.doc_id as b from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id
+    join sizes p on p.doc_id = x.doc_id join sizes q on q.doc_id = y.doc_id
+    group by x.doc_id, y.doc_id, p.n, q.n having 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+reach(v, r) as (
+    select distinct a, a from links
+    union
+    select r.v, l.b from reach r join links l on l.a = r.r),
+first as (select v, min(r) as component_id from reach group by v)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(f.component_id, d.doc_id) as component_id
+from documents d left join sizes s on s.doc_id = d.doc_id left join first f on f.v = d.doc_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, token_files, toxicity
+from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, quality, token_files, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.held_out_quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.held_out_toxicity(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_and_read(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -45,8 +53,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_exact_dedup, op5_mixing, op6_toxicity, op8_token_files, op9_language_id, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_byte_bpe, op3_quality, op4_exact_dedup, op5_mixing, op6_toxicity, op7_embedding_dedup, op8_token_files, op9_language_id, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": oracle.EXACT, "op5_mixing": oracle.MIXING}
+    return {"op4_exact_dedup": oracle.EXACT, "op5_mixing": oracle.MIXING, "op7_embedding_dedup": oracle.EMBEDDINGS, "op10_jaccard_join": oracle.JACCARD}
