@@ -60,14 +60,10 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     return first.select("source", "source_size", F.when(F.col("at") >= F.col("first.at"), F.least(shared, limit)).otherwise(limit).alias("target"))
 
 
-def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """Adds source_size, target and ``times``, how often a document is taken, to rows with doc_id,
-    source, size.
+def budgets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """One row per source of rows with doc_id, source, size: source_size, target and how to reach it.
 
-    A source is taken as often in full as its target allows; what is left of the target is taken
-    from the documents below a threshold on the hash line, the one whose sum is nearest. Equal ids
-    of one source share a place and are taken alike; null is a source and an id like any other, and
-    a source without words has target 0. An empty table gives an empty one.
+    A document is taken ``full`` times, and once more where its place is under ``below``.
     """
     rows = stored(sized.select("doc_id", "source", "size", place(F.col("doc_id")).alias("place")), "sized")
     top = BITS * LEVELS
@@ -99,15 +95,31 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST)
             nearer = F.col("over").isNotNull() & (F.col("over.until") - F.col("rest") < F.col("rest") - taken)
             below = F.when(nearer, edge + F.lit(1 << (top - BITS * level))).otherwise(below)
         reached = stored(found.select(F.col("s").alias("source"), below.alias("below"), taken.alias("taken")), "threshold")
-    edges = reached.select(F.col("source").alias("edge_of"), "below")
-    decided = goal.join(edges, F.col("source").eqNullSafe(F.col("edge_of")), "left").select(
-        F.col("source").alias("s"), "source_size", "target", "full", "below", "rest")
-    extra = F.when((F.col("rest") > 0) & (F.col("place") < F.col("below")), 1).otherwise(0)
-    return rows.join(decided, F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("full") + extra).alias("times"))
+    edges = reached.select(F.col("source").alias("s"), "below")
+    extra = F.when(F.col("rest") > 0, F.col("below")).otherwise(0)
+    return goal.join(edges, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        F.col("source").alias("budget_of"), "source_size", "target", "full", F.coalesce(extra, F.lit(0)).alias("below"))
+
+
+def mix(documents: DataFrame, known: DataFrame) -> DataFrame:
+    """Adds source_size, target and ``times``, how often a document is taken, to rows with doc_id
+    and source, by the budgets of their sources.
+
+    A source is taken as often in full as its target allows; what is left of the target is taken
+    from the documents below a threshold on the hash line, the one whose sum is nearest. Equal ids
+    share a place and are taken alike; null is a source and an id like any other, and a source
+    without words has target 0. An empty table gives an empty one.
+    """
+    extra = F.when(place(F.col("doc_id")) < F.col("below"), 1).otherwise(0)
+    joined = documents.join(known, F.col("source").cast("string").eqNullSafe(F.col("budget_of")))
+    return joined.withColumn("times", F.col("full") + extra).drop("budget_of", "full", "below")
+
+
+def sizes(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"))
 
 
 def mixture(documents: DataFrame) -> DataFrame:
     """Sizes, targets and words taken of all documents."""
-    sized = documents.select("doc_id", F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"))
-    return mix(sized).select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+    sized = stored(sizes(documents), "sizes")
+    return mix(sized, budgets(sized)).select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
