@@ -90,3 +90,63 @@ first as (select v, min(r) as component_id from reach group by v)
 select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(f.component_id, d.doc_id) as component_id
 from documents d left join sizes s on s.doc_id = d.doc_id left join first f on f.v = d.doc_id
 """
+
+
+def _either_case(words: str) -> str:
+    """A pattern whose letters stand for themselves in either case, ASCII alone."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+_VALUE = r"""["']?\x20*[:=]\x20*["']?"""
+_PATTERNS = {
+    "assign": "(" + _either_case("password|passwd|secret|token|api_?key") + ")" + _VALUE + "([A-Za-z0-9+/_.=-]+)",
+    "access": "AKIA[A-Z0-9]+",
+    "hex": "[0-9a-f]+",
+    "user": "(" + _either_case("username|user|login|account|client_id|access_key_id") + ")" + _VALUE + "[A-Za-z0-9@._-]{3,}",
+    "mixed": "[A-Za-z0-9+/]{32,}={0,2}",
+    "endpoint": "(" + _either_case("http") + "[sS]?|" + _either_case("jdbc") + ":[A-Za-z0-9]+|" + _either_case("postgresql|postgres|mysql|mongodb|redis|amqp|ftp") + ")"
+                + r"""://[^\x09-\x0D\x20"'<>]+""",
+    "break": r"\n[ \t]*\n",
+}
+_KEPT = {
+    "assign": "length(regexp_extract(m, p, 2)) >= 6", "access": "length(m) >= 20", "hex": "length(m) >= 24",
+    "mixed": "regexp_matches(m, '[a-z]') and regexp_matches(m, '[A-Z]') and regexp_matches(m, '[0-9]')",
+}
+
+
+def _found(kind: str) -> str:
+    pattern = _PATTERNS[kind].replace("'", "''")
+    return f"""
+    select r, '{kind}' as kind, list_sum(list_transform(gaps[:i], lambda g: length(g))) + coalesce(list_sum(list_transform(ms[:i - 1], lambda g: length(g))), 0) as s, length(m) as n
+    from (select r, gaps, ms, unnest(ms) as m, unnest(range(1, len(ms) + 1)) as i, p from
+          (select r, string_split_regex(text, '{pattern}') as gaps, regexp_extract_all(text, '{pattern}') as ms, '{pattern}' as p from docs))
+    where {_KEPT.get(kind, 'true')}"""
+
+
+# Parts of the weak kinds that lie in a strong one are left out; a section ends at a blank line.
+SECRETS = f"""
+with docs as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+parts as (select r, kind, cast(s as bigint) as s, cast(s + n as bigint) as e from ({' union all '.join(map(_found, _PATTERNS))})),
+strong as (select * from parts where kind in ('assign', 'access', 'hex')),
+known as (
+    select p.*, (select count(*) from parts b where b.r = p.r and b.kind = 'break' and b.s <= p.s) as section,
+           case when kind in ('access', 'user') then 'identifier' when kind = 'endpoint' then 'endpoint' else 'secret' end as role
+    from parts p where kind <> 'break' and (kind in ('assign', 'access', 'hex')
+        or not exists (select 1 from strong x where x.r = p.r and x.e > p.s and (x.s < p.s or (x.s = p.s and x.kind < p.kind))))),
+near as (
+    select w.r, w.kind, w.s, w.e, list(distinct o.role) as roles from known w join known o
+    on o.r = w.r and o.section = w.section and o.role <> w.role and abs(o.s - w.s) <= 300
+    where w.kind in ('user', 'mixed', 'endpoint') group by w.r, w.kind, w.s, w.e),
+shown as (
+    select r, kind, s, e from strong
+    union all
+    select r, kind, s, e from near where (kind = 'user' and list_contains(roles, 'secret')) or (kind = 'mixed' and list_contains(roles, 'identifier'))
+        or (kind = 'endpoint' and list_contains(roles, 'identifier') and list_contains(roles, 'secret'))),
+told as (
+    select r, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+           string_agg(kind || ':' || s || ':' || e, ',' order by s, o) filter (o <= 3) as base, string_agg(kind || ':' || s || ':' || e, ',' order by s, o) as spans
+    from (select *, list_position(['assign', 'access', 'hex', 'user', 'mixed', 'endpoint'], kind) as o from shown) group by r)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from docs left join told using (r)
+"""

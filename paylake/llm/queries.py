@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, quality, token_files, toxicity, vectors
+from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, quality, secrets, token_files, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.held_out_quality(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -55,10 +59,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     operators = (
-        op1_byte_bpe, op3_quality, op4_exact_dedup, op5_mixing, op6_toxicity, op7_embedding_dedup, op8_token_files, op9_language_id,
+        op1_byte_bpe, op2_secret_scan, op3_quality, op4_exact_dedup, op5_mixing, op6_toxicity, op7_embedding_dedup, op8_token_files, op9_language_id,
         op10_jaccard_join)
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": oracle.EXACT, "op5_mixing": oracle.MIXING, "op7_embedding_dedup": oracle.EMBEDDINGS, "op10_jaccard_join": oracle.JACCARD}
+    return {
+        "op2_secret_scan": oracle.SECRETS, "op4_exact_dedup": oracle.EXACT, "op5_mixing": oracle.MIXING,
+        "op7_embedding_dedup": oracle.EMBEDDINGS, "op10_jaccard_join": oracle.JACCARD}
