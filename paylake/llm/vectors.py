@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window, functions as F
 
 from paylake.llm.components import components
@@ -80,20 +81,21 @@ def _assign(overlap: int):
             shards = batch.column("shard").to_numpy()
             edges = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(shards)]
             for a, b in zip(edges, edges[1:]):
-                some = batch.slice(a, b - a).to_pandas()
-                heads = some[some["kind"] == 0]
+                some = batch.slice(a, b - a)
+                heads = some.filter(pa.compute.equal(some.column("kind"), 0))
                 if len(heads):
-                    now, centres = heads["shard"].iloc[0], np.asarray(heads["centres"].iloc[0])
-                rows = some[some["kind"] == 1]
+                    now, centres = shards[a], np.asarray(heads.column("centres")[0].as_py())
+                rows = some.filter(pa.compute.equal(some.column("kind"), 1))
                 if not len(rows):
                     continue
-                assert now == rows["shard"].iloc[0]
-                x = units(rows["embedding"])
+                assert now == shards[a]
+                nodes = rows.column("node").to_numpy()
+                x = units(rows.column("embedding").to_pylist())
                 near = x @ centres.reshape(-1, x.shape[1]).T
                 k = min(overlap, near.shape[1])
                 part = np.argsort(-near, 1, kind="stable")[:, :k]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(rows["node"].to_numpy(), k)), pa.array(np.repeat(rows["shard"].to_numpy(), k)), pa.array(part.ravel())],
+                    [pa.array(np.repeat(nodes, k)), pa.array(np.full(part.size, shards[a])), pa.array(part.ravel())],
                     ["node", "parent", "part"])
 
     return run
