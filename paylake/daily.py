@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 
 from pyspark import SparkConf
@@ -17,14 +17,13 @@ from paylake.config import Run
 from paylake.fixed import TRACKED_CUSTOMER_COLUMNS
 from paylake.functions.audit import AUDIT_COLUMNS, with_audit
 from paylake.operators import versions
-from paylake.operators.latest import first_per_key
 from paylake.operators.partitions import table_exists
 from paylake.operators.scratch import stored_for
 from paylake.operators.upsert import upsert
 from paylake.plans import customers, enriched, fraud, staging, transactions
 from paylake.quality.evaluate import enforce, evaluate
 from paylake.sources import manifest, raw as raw_table
-from paylake.sources.landing import read_landing
+from paylake.sources.landing import read_landing_date, rejects_root
 from paylake.sources.pages import land_feed
 from paylake.sources.statements import land_statements
 from paylake.tables import Tables
@@ -36,25 +35,30 @@ MARTS = ("fct_transactions", "fct_daily_summary", "fct_customer_activity", "fct_
 
 @dataclass(frozen=True)
 class Inputs:
-    """Folder of statement files, and folder with one folder of pages per date."""
+    """Folder of statement files, and folder with one folder of pages per date.
+
+    ``whole_pages``: a page envelope is a whole file, not a line.
+    """
 
     statements: str
     feed: str
+    whole_pages: bool = False
 
 
 def ingest(tables: Tables, inputs: Inputs) -> dict:
     """Land both sources of the run date; raises if something is missing."""
     spark, run, landing = tables.spark, tables.run, f"{tables.root}/landing"
     land_statements(spark, inputs.statements, landing, run)
-    land_feed(spark, f"{inputs.feed}/{run.run_date}", landing, run)
+    land_feed(spark, f"{inputs.feed}/{run.run_date}", landing, run, inputs.whole_pages)
     return manifest.save_manifest(spark, landing, f"{tables.root}/manifest", run.run_date)
 
 
 def load(tables: Tables) -> int:
     """Replace the run date in the raw table with what landed."""
-    day = tables.run.run_date
-    rows = read_landing(tables.spark, f"{tables.root}/landing")
-    loaded = raw_table.load(rows, tables.path("raw_upi_transactions"), tables.path("raw_rejects"), [day])
+    day, root = tables.run.run_date, f"{tables.root}/landing"
+    rows = read_landing_date(tables.spark, root, day)
+    rejected = read_landing_date(tables.spark, rejects_root(root), day) if table_exists(tables.spark, rejects_root(root)) else None
+    loaded = raw_table.load(rows, tables.path("raw_upi_transactions"), tables.path("raw_rejects"), [day], rejected)
     return loaded[str(day)]
 
 
@@ -72,9 +76,7 @@ def build_staging(tables: Tables, full_refresh: bool = False) -> None:
         return
     high_water = tables.read(table).agg(F.max("txn_date")).first()[0]
     rows = staging.stage(staging.new_rows(raw, high_water), run)
-    # Ids that differ only in padding are one key after trimming; the merge needs one row each.
-    latest = [F.col("txn_timestamp").desc(), *[F.col(c).asc_nulls_last() for c in ("ingested_at", "upi_ref", "amount_inr", "status")]]
-    upsert(with_audit(first_per_key(rows, ["txn_id"], latest), run, table), path, "txn_id", "txn_date")
+    upsert(with_audit(rows, run, table), path, "txn_id", "txn_date")
 
 
 def _staged(tables: Tables) -> DataFrame:
@@ -100,15 +102,16 @@ def build_marts(tables: Tables, only: Iterable[str] = MARTS) -> None:
     """Rebuild the chosen marts. Enriched rows are written once and read by all of them."""
     run, only = tables.run, set(only)
     stg = _staged(tables)
-    with stored_for(enriched.features(stg, run, enriched.hot_senders(stg, run)), "enriched") as rows:
-        if "fct_transactions" in only:
-            tables.replace(transactions.fct_transactions(rows, dim_customers(tables)), "fct_transactions", "txn_date")
-        if "fct_daily_summary" in only:
-            tables.replace(transactions.fct_daily_summary(rows, run), "fct_daily_summary")
-        if "fct_customer_activity" in only:
-            tables.replace(transactions.fct_customer_activity(rows), "fct_customer_activity")
-        if "fct_fraud_signals" in only:
-            tables.replace(fraud.fct_fraud_signals(rows, run), "fct_fraud_signals", "txn_date")
+    if only & {"fct_transactions", "fct_daily_summary", "fct_customer_activity", "fct_fraud_signals"}:
+        with stored_for(enriched.features(stg, run, enriched.hot_senders(stg, run)), "enriched") as rows:
+            if "fct_transactions" in only:
+                tables.replace(transactions.fct_transactions(rows, dim_customers(tables)), "fct_transactions", "txn_date")
+            if "fct_daily_summary" in only:
+                tables.replace(transactions.fct_daily_summary(rows, run), "fct_daily_summary")
+            if "fct_customer_activity" in only:
+                tables.replace(transactions.fct_customer_activity(rows), "fct_customer_activity")
+            if "fct_fraud_signals" in only:
+                tables.replace(fraud.fct_fraud_signals(rows, run), "fct_fraud_signals", "txn_date")
     if only & {"fct_fraud_scores", "fct_fraud_summary"}:
         signals = tables.read("fct_fraud_signals").drop(*AUDIT_COLUMNS)
         if "fct_fraud_scores" in only:
@@ -163,13 +166,23 @@ def run_date(
     return write_metrics(tables, loaded)
 
 
-def run_range(spark: SparkSession, root: str, inputs: Inputs, first: Run, last: dt.date, **kw) -> dict[str, dict[str, int]]:
-    """One run per date in order; history and high-water mark depend on that order."""
-    results, day, step = {}, first.run_date, 0
+def now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def run_range(
+    spark: SparkSession, root: str, inputs: Inputs, first: Run, last: dt.date, clock: Callable[[], dt.datetime] = now, **kw,
+) -> dict[str, dict[str, int]]:
+    """One run per date in order; history and high-water mark depend on that order.
+
+    The first run has the time of ``first``, every later one the time at which it starts, so no
+    stamp lies in the future. The history counts in seconds: each run starts a second after the
+    one before at least.
+    """
+    results, day, at = {}, first.run_date, first.run_ts
     while day <= last:
-        run = replace(first, run_date=day, run_ts=first.run_ts + dt.timedelta(days=step))
-        results[str(day)] = run_date(spark, root, inputs, run, **kw)
-        day, step = day + dt.timedelta(days=1), step + 1
+        results[str(day)] = run_date(spark, root, inputs, replace(first, run_date=day, run_ts=at), **kw)
+        day, at = day + dt.timedelta(days=1), max(clock(), at + dt.timedelta(seconds=1))
     return results
 
 
@@ -183,11 +196,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", default="dev")
     p.add_argument("--stages", nargs="+", default=STAGES, choices=STAGES)
     p.add_argument("--marts", nargs="+", default=MARTS, choices=MARTS)
+    p.add_argument("--whole-pages", action="store_true", help="a page of the feed is a whole file, not a line")
     p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--strict", action="store_true")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("paylake-daily").config(map=SESSION).getOrCreate()
-    done = run_range(spark, a.root, Inputs(a.statements, a.feed), Run.for_date(a.date, target=a.target), a.to or a.date,
+    done = run_range(spark, a.root, Inputs(a.statements, a.feed, a.whole_pages), Run.for_date(a.date, target=a.target), a.to or a.date,
                      stages=a.stages, marts=a.marts, full_refresh=a.full_refresh, strict=a.strict)
     for day, counts in done.items():
         print(day, counts)

@@ -2,7 +2,7 @@
 
 The built-in ``percentile`` holds every distinct value of a group in one buffer. That is
 right for ordinary groups; hot groups go through a digit-by-digit selection instead, in
-which no task sees more than 100,000 counters of a group.
+which no task sees more than 200,000 counters of a group.
 """
 
 from __future__ import annotations

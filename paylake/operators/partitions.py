@@ -5,16 +5,22 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paylake.operators.scratch import file_system
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
+    """Whether the folder holds anything but markers. A table that cannot be read still exists."""
+    fs, where = file_system(spark, path)
+    if not fs.exists(where):
         return False
-    return True
+    return any(_visible(f.getPath().getName()) for f in fs.listStatus(where))
+
+
+def _visible(name: str) -> bool:
+    """Whether readers see a file or folder; a partition's folder may begin with an underscore."""
+    return not name.startswith(".") and (not name.startswith("_") or "=" in name)
 
 
 def by_partition(df: DataFrame, column: str, *sort: str) -> DataFrame:
@@ -29,23 +35,34 @@ def by_partition(df: DataFrame, column: str, *sort: str) -> DataFrame:
 def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[dt.date], *sort: str) -> None:
     """Make ``df`` the whole content of the given partitions; other partitions stay.
 
-    Dynamic overwrite keeps the old files until the job has succeeded, but leaves a
-    partition alone when no row falls in it, so those are written as empty. Running again
-    gives the same table. ``sort`` orders rows inside each file.
+    Dynamic overwrite keeps the old files until the job has succeeded, but leaves a partition
+    alone when no row falls in it. Which ones those are shows in the folders afterwards: a folder
+    whose files all are older than the job is replaced by an empty file. So ``df`` runs once, and
+    no job runs for an empty partition that was not there. Running again gives the same table.
+    ``sort`` orders rows inside each file.
     """
-    values = sorted(set(values))
+    spark, values = df.sparkSession, sorted(set(values))
     rows = df.where(F.col(column).isin(values))
-    if len(values) == 1:
-        found = set() if rows.isEmpty() else set(values)
-    else:
-        found = {r[0] for r in rows.select(column).distinct().collect()}  # one row per partition
-    if found:
-        (by_partition(rows, column, *sort).write.partitionBy(column).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").parquet(path))
+    before = _files(spark, path, column, values)
+    (by_partition(rows, column, *sort).write.partitionBy(column).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    after = _files(spark, path, column, values)
+    stale = [v for v in values if before[v] and after[v] == before[v]]
     nothing = df.drop(column).limit(0)
+    if not any(after.values()) and values:  # a table without a row keeps its columns
+        stale = values[:1]
+    for value in stale:
+        nothing.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+
+
+def _files(spark: SparkSession, path: str, column: str, values: Sequence[dt.date]) -> dict[dt.date, frozenset[str]]:
+    """Names of the data files of each partition; writers never use a name twice."""
+    found = {}
     for value in values:
-        if value not in found:
-            nothing.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+        fs, where = file_system(spark, f"{path}/{column}={value}")
+        names = [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+        found[value] = frozenset(filter(_visible, names))
+    return found
 
 
 def partition_rows(spark: SparkSession, path: str, column: str, values: Sequence[dt.date]) -> dict[str, int]:

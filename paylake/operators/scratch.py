@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """Hadoop file system and path object; Spark has no call of its own to delete a path."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
@@ -32,7 +32,7 @@ def _file_system(spark: SparkSession, path: str):
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path under one folder per application, deleted when the application ends."""
     folder = f"{shared_dir(spark)}/paylake-{spark.sparkContext.applicationId}"
-    fs, where = _file_system(spark, folder)
+    fs, where = file_system(spark, folder)
     if fs.mkdirs(where):
         fs.deleteOnExit(where)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
@@ -51,7 +51,7 @@ def stored_for(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield _write(df, path)
     finally:
-        fs, where = _file_system(spark, path)
+        fs, where = file_system(spark, path)
         fs.delete(where, True)
 
 

@@ -8,6 +8,10 @@ from paylake.operators.partitions import by_partition, replace_partitions, table
 from paylake.operators.scratch import stored_for
 
 
+class DuplicateKey(ValueError):
+    """A merge was given more than one row for a key."""
+
+
 def merged(existing: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """``existing`` with rows of the same key replaced by ``changes``, new keys added."""
     return existing.join(changes.select(key), key, "left_anti").select(existing.columns).unionByName(changes)
@@ -17,14 +21,17 @@ def upsert(changes: DataFrame, path: str, key: str, day: str) -> None:
     """Merge into the table at ``path``, rewriting only the days that change.
 
     These are the days of the new rows and the days the replaced rows are stored under,
-    since a row may move. ``changes`` must have one row per key.
+    since a row may move. Several rows of one key raise ``DuplicateKey`` before anything is written.
     """
     spark = changes.sparkSession
-    if not table_exists(spark, path):
-        by_partition(changes, day).write.partitionBy(day).mode("overwrite").parquet(path)
-        return
-    table = spark.read.parquet(path)
     with stored_for(changes, "changes") as changes:
+        again = changes.groupBy(key).count().where("count > 1").first()
+        if again:
+            raise DuplicateKey(f"{again['count']} rows of {key} {again[0]!r}")
+        if not table_exists(spark, path):
+            by_partition(changes, day).write.partitionBy(day).mode("errorifexists").parquet(path)
+            return
+        table = spark.read.parquet(path)
         replaced = table.select(key, day).join(changes.select(key), key, "left_semi")
         days = sorted(r[0] for r in changes.select(day).union(replaced.select(day)).distinct().collect())
         rows = merged(table.where(F.col(day).isin(days)), changes, key).select(table.columns)

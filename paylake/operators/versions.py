@@ -16,6 +16,10 @@ OPEN_DAY = dt.date(9999, 12, 31)
 CLOSED_ON = "closed_on"
 
 
+class ClockWentBack(ValueError):
+    """A snapshot was asked for an instant before the newest version."""
+
+
 def first_versions(current: DataFrame, key: str, at: dt.datetime) -> DataFrame:
     """Every row of ``current`` as an open version that starts at ``at``."""
     started = F.lit(at.strftime("%Y-%m-%d %H:%M:%S"))
@@ -36,7 +40,7 @@ def next_versions(open_rows: DataFrame, current: DataFrame, key: str, tracked: S
     names = open_rows.columns
     old = open_rows.select(F.struct(*names).alias("old"))
     new = first_versions(current, key, at).select(F.struct(*names).alias("new"))
-    pairs = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+    pairs = old.join(new, F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}")), "full_outer")
 
     differs = reduce(lambda a, b: a | b, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in tracked])
     has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
@@ -58,18 +62,23 @@ def snapshot(current: DataFrame, path: str, key: str, tracked: Sequence[str], at
 
     The table is partitioned by the day a version ended, open ones in a partition of their
     own: a run rewrites the open partition and adds one for the versions it ends, whatever
-    the length of the history. Running again for the same instant changes nothing.
+    the length of the history. Running again for the same instant changes nothing; an instant
+    before the start of the newest version raises ``ClockWentBack``, since versions would end
+    before they began.
     """
     spark = current.sparkSession
     ended_on = F.coalesce(F.to_date("dbt_valid_to"), F.lit(OPEN_DAY)).alias(CLOSED_ON)
     if not table_exists(spark, path):
         rows = first_versions(current, key, at)
-        rows.select("*", ended_on).write.partitionBy(CLOSED_ON).mode("overwrite").parquet(path)
+        rows.select("*", ended_on).write.partitionBy(CLOSED_ON).mode("errorifexists").parquet(path)
         return
     day = at.date()
     table = spark.read.parquet(path)
     is_open = F.col(CLOSED_ON) == OPEN_DAY
     open_rows = table.where(is_open).drop(CLOSED_ON)
+    newest = open_rows.agg(F.max("dbt_valid_from")).first()[0]
+    if newest is not None and at < newest:
+        raise ClockWentBack(f"snapshot at {at}, but a version begins at {newest}")
     # Left behind by a run that stopped between the two writes below: ended, yet still open.
     ended_today = table.where(F.col(CLOSED_ON) == day).drop(CLOSED_ON).join(
         open_rows.select("dbt_scd_id"), "dbt_scd_id", "left_anti").select(open_rows.columns)

@@ -297,6 +297,25 @@ def signal_queries() -> dict[str, str]:
 
 
 def oracle() -> dict[str, str]:
+    twins = _twins()
+    return twins | {
+        "int_transactions_enriched_hot": twins["int_transactions_enriched"],
+        "fct_daily_summary_hot": twins["fct_daily_summary"],
+        "paged_text_amounts": twins["paged_source_read"],
+        "statements_accounted": """
+          with lines as (
+            select *, event_id % 37 = 5 as long, event_id % 41 = 3 as odd, event_id % 50 = 7 as late,
+              case when event_id % 41 = 3 then 'x' else (event_id % 1000)::varchar end as said,
+              case when event_id % 50 = 7 then 'soon' when event_id % 3 = 0 then strftime(ts, '%d/%m/%Y %H:%M:%S')
+                   else strftime(ts, '%Y-%m-%d %H:%M:%S') end as seen from events)
+          select 'T' || event_id as txn_id, said as amount, case when long or odd or late then seen else strftime(ts, '%Y-%m-%d %H:%M:%S') end as txn_timestamp,
+            case when long then 'more than 5 fields' else nullif(concat_ws('; ', case when odd then 'amount cannot be read: x' end,
+              case when late then 'txn_timestamp cannot be read: soon' end), '') end as reject_reason
+          from lines""",
+    }
+
+
+def _twins() -> dict[str, str]:
     cut = "substr({c}::varchar, 1, 19)"
     landed = ("txn_id, upi_ref, sender_vpa, receiver_vpa, amount::double as amount, currency, status, "
               f"{cut.format(c='txn_timestamp')} as txn_timestamp, device_type, device_id, ip_address, city, remarks")

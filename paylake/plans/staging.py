@@ -25,13 +25,14 @@ def new_rows(raw: DataFrame, high_water: dt.date | None) -> DataFrame:
 
 
 def stage(raw: DataFrame, run: Run) -> DataFrame:
-    """Latest row of every id, cleaned.
+    """Latest row of every id, cleaned; ids that differ only in padding are one.
 
     A copy without a timestamp counts as the latest, so it takes its transaction out of
     the result. Ties fall to the other columns in order, which makes the pick repeatable.
     """
     order = [F.col("txn_timestamp").desc_nulls_first(), *[F.col(c).asc_nulls_last() for c in _TIE_BREAKS]]
-    latest = first_per_key(raw.where(F.col("txn_id").isNotNull()), ["txn_id"], order)
+    known = raw.where(F.col("txn_id").isNotNull()).withColumn("_key", F.trim("txn_id"))
+    latest = first_per_key(known, ["_key"], [*order, F.col("txn_id")]).drop("_key")
     latest = latest.where(F.col("txn_timestamp").isNotNull())
 
     hour = F.hour("txn_timestamp")

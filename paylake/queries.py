@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paylake import adapter
-from paylake.config import Run
+from paylake.config import Run, Settings, SkewPolicy
 from paylake.fixed import CANONICAL_COLUMNS, SIGNAL_TYPES, TRACKED_CUSTOMER_COLUMNS
 from paylake.functions import numbers, text
 from paylake.functions.audit import AUDIT_COLUMNS
@@ -24,6 +25,8 @@ from paylake.sources import landing, manifest, pages, raw as raw_table, statemen
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN = Run(dt.date(2024, 2, 1), dt.datetime(2024, 2, 1), "registered-query")
+# The plans for hot keys, on any data: a key is hot from 300 rows on.
+HOT_RUN = dataclasses.replace(RUN, settings=Settings(skew=SkewPolicy(min_rows=300, max_keys=1000)))
 FIRST_SLICE = dt.date(2024, 1, 15)
 SNAPSHOT_DAYS = (dt.date(2024, 1, 10), dt.date(2024, 1, 20), dt.date(2024, 1, 31))
 FEED_DAYS = (dt.date(2024, 1, 5), dt.date(2024, 1, 25))
@@ -153,10 +156,33 @@ def csv_alias_union_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return shown(landing.coerced(statements.read_statements(spark, folder, RUN)))
 
 
-def paged_source_read(spark: SparkSession, sf: str) -> DataFrame:
+def statements_accounted(spark: SparkSession, sf: str) -> DataFrame:
+    """A statement with amounts under two names, day-first and unreadable times, unreadable amounts
+    and lines that are too long: every line lands or is rejected with its reason."""
+    e, ts = F.col("event_id"), F.col("ts")
+    amount = F.when(e % 41 == 3, "x").otherwise((e % 1000).cast("string"))
+    time = F.when(e % 50 == 7, "soon").when(e % 3 == 0, F.date_format(ts, "dd/MM/yyyy HH:mm:ss")).otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+    lines = adapter.events(spark, sf).select(
+        F.concat(F.lit("T"), e.cast("string")).alias("txn_id"), F.when(e % 2 == 0, amount).alias("amount"), F.when(e % 2 == 1, amount).alias("txn_amount"),
+        time.alias("timestamp"), F.when(e % 37 == 5, "a@x,more").otherwise("a@x").alias("from_vpa"))
+    folder, root = new_path(spark, "statements"), new_path(spark, "landing")
+    lines.write.options(header=True, quote="\u0000").csv(f"{folder}/bank_{RUN.run_date}.csv")
+    statements.land_statements(spark, folder, root, RUN)
+    landed = landing.read_landing_date(spark, root, RUN.run_date)
+    rejected = landing.read_landing_date(spark, landing.rejects_root(root), RUN.run_date)
+    kept = ["txn_id", F.col("amount").cast("double").cast("bigint").cast("string").alias("amount"), "txn_timestamp", F.lit(None).cast("string").alias("reject_reason")]
+    return landed.select(*kept).union(rejected.select("txn_id", "amount", "txn_timestamp", "reject_reason"))
+
+
+def paged_text_amounts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pages with their amounts as text."""
+    return paged_source_read(spark, sf, "string")
+
+
+def paged_source_read(spark: SparkSession, sf: str, amounts: str = "double") -> DataFrame:
     """Page envelopes of at most 200 records, written from the raw rows, then read back and landed."""
     rows = adapter.raw_transactions(spark, sf).where(F.col("_source") == "api")
-    record = F.struct(*[(F.col(c).cast("double") if c == "amount" else F.col(c).cast("string")).alias(c) for c in CANONICAL_COLUMNS])
+    record = F.struct(*[F.col(c).cast(amounts if c == "amount" else "string").alias(c) for c in CANONICAL_COLUMNS])
     page = rows.select(record.alias("r"), F.monotonically_increasing_id().alias("i")).withColumn("page", F.expr("i div 200"))
     path = new_path(spark, "pages")
     page.groupBy("page").agg(F.collect_list("r").alias("records"), F.count("*").alias("count")).select(
@@ -190,6 +216,15 @@ def fct_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
     return shown(transactions.fct_daily_summary(_flagged_table(spark, sf), RUN))
 
 
+def int_transactions_enriched_hot(spark: SparkSession, sf: str) -> DataFrame:
+    stg = _staged_table(spark, sf)
+    return shown(enriched.features(stg, HOT_RUN, enriched.hot_senders(stg, HOT_RUN)).drop(*COUNTS))
+
+
+def fct_daily_summary_hot(spark: SparkSession, sf: str) -> DataFrame:
+    return shown(transactions.fct_daily_summary(_flagged_table(spark, sf), HOT_RUN))
+
+
 def fct_fraud_summary(spark: SparkSession, sf: str) -> DataFrame:
     stg = _staged_table(spark, sf)
     signals = fraud.fct_fraud_signals(enriched.features(stg, RUN, enriched.hot_senders(stg, RUN)), RUN)
@@ -200,7 +235,7 @@ def dq_results(spark: SparkSession, sf: str) -> DataFrame:
     raw = adapter.raw_transactions(spark, sf)
     stg = _staged_table(spark, sf)
     features = stored(enriched.features(stg, RUN, enriched.hot_senders(stg, RUN)), "features")
-    dim = customers.dim_customers(versions.first_versions(customers.customers_current(features), "sender_vpa", RUN.run_ts))
+    dim = stored(customers.dim_customers(versions.first_versions(customers.customers_current(features), "sender_vpa", RUN.run_ts)), "dim")
     signals = stored(fraud.fct_fraud_signals(features, RUN), "signals")
     return evaluate({
         "raw_upi_transactions": raw,
@@ -239,6 +274,8 @@ def queries() -> dict[str, Query]:
         "stg_upi_transactions": lambda s, d: shown(_staged(s, d)),
         "stg_incremental_upsert": stg_incremental_upsert,
         "int_transactions_enriched": lambda s, d: shown(_features(s, d).drop(*COUNTS)),
+        "int_transactions_enriched_hot": int_transactions_enriched_hot,
+        "fct_daily_summary_hot": fct_daily_summary_hot,
         "home_city_mode": lambda s, d: customers.sender_modes(_staged(s, d)).where("home_city is not null").drop("primary_device_type"),
         "primary_device_mode": lambda s, d: customers.sender_modes(_staged(s, d)).drop("home_city"),
         "int_customers_current": lambda s, d: shown(customers.customers_current(_flagged_table(s, d))),
@@ -254,6 +291,8 @@ def queries() -> dict[str, Query]:
         "fct_fraud_summary": fct_fraud_summary,
         "csv_alias_union_dedup": csv_alias_union_dedup,
         "paged_source_read": paged_source_read,
+        "paged_text_amounts": paged_text_amounts,
+        "statements_accounted": statements_accounted,
         "txn_lookup": lambda s, d: shown(pages.lookup(adapter.raw_transactions(s, d), "TXN100")),
         "txn_page": lambda s, d: shown(pages.one_page(_staged(s, d), ["txn_timestamp", "txn_id"], 400, 200)),
         "origin_from_path": origin_from_path,

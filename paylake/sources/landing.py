@@ -22,27 +22,58 @@ def canonical(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(*columns, *keep)
 
 
-def _seconds(c: Column) -> Column:
-    """Time text cut to seconds, null where it is no time."""
-    return F.substring(c.cast("string").try_cast("timestamp_ntz").cast("string"), 1, 19)
+def _time(c: Column) -> Column:
+    """Time of ISO or day-first text (05/01/2024 10:00, 05-01-2024), null where it is no time."""
+    iso = F.regexp_replace(F.trim(c.cast("string")), r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$3-$2-$1")
+    return iso.try_cast("timestamp_ntz")
 
 
 def coerced(df: DataFrame, *keep: str) -> DataFrame:
     """Amount as double and times as text to the second; what cannot be read becomes null."""
     return canonical(df, *keep).withColumns({
         "amount": F.col("amount").try_cast("double"),
-        "txn_timestamp": _seconds(F.col("txn_timestamp")),
-        "ingested_at": _seconds(F.col("ingested_at")),
+        **{c: F.substring(_time(F.col(c)).cast("string"), 1, 19) for c in ("txn_timestamp", "ingested_at")},
     })
 
 
-def land(df: DataFrame, root: str, source: str, date: dt.date) -> str:
-    """Replace what landed for this source and date."""
+def unreadable(df: DataFrame) -> Column:
+    """Why a row cannot be landed: texts for an amount or a time that cannot be read; else null."""
+    bad = {"amount": F.col("amount").try_cast("double"), "txn_timestamp": _time(F.col("txn_timestamp"))}
+    reasons = [
+        F.when(F.col(c).isNotNull() & value.isNull(), F.concat(F.lit(f"{c} cannot be read: "), F.col(c).cast("string")))
+        for c, value in bad.items() if c in df.columns]
+    return F.nullif(F.array_join(F.array_compact(F.array(*reasons)), "; "), F.lit(""))
+
+
+def rejects_root(root: str) -> str:
+    return f"{root.rstrip('/')}_rejects"
+
+
+def land(df: DataFrame, root: str, source: str, date: dt.date, rejected: DataFrame | None = None) -> str:
+    """Replace what landed for this source and date.
+
+    Rows whose amount or time cannot be read, and rows in ``rejected``, land as text with their
+    ``reject_reason`` beside the landing folder, so every input row is in one of the two.
+    """
     path = f"{root}/source={source}/date={date}"
-    coerced(df).write.mode("overwrite").parquet(path)
+    judged = df.withColumn("reject_reason", unreadable(df))
+    coerced(judged.where("reject_reason is null")).write.mode("overwrite").parquet(path)
+    bad = _as_text(judged.where("reject_reason is not null"))
+    if rejected is not None:
+        bad = bad.unionByName(_as_text(rejected))
+    bad.write.mode("overwrite").parquet(f"{rejects_root(root)}/source={source}/date={date}")
     return path
 
 
+def _as_text(df: DataFrame) -> DataFrame:
+    return canonical(df, "reject_reason").select(*[F.col(c).cast("string").alias(c) for c in (*CANONICAL_COLUMNS, "reject_reason")])
+
+
+def read_landing_date(spark: SparkSession, root: str, date: dt.date) -> DataFrame:
+    """What landed for one date; only its folders are listed."""
+    return spark.read.option("basePath", root).parquet(f"{root}/source=*/date={date}")
+
+
 def land_dates(df: DataFrame, root: str, source: str, dates: Sequence[dt.date]) -> None:
     """Replace several dates of a source in one job; a ``date`` column tells each row's date."""
     replace_partitions(coerced(df, "date"), f"{root}/source={source}", "date", dates)

@@ -10,32 +10,39 @@ from paylake.config import Run
 from paylake.fixed import CANONICAL_COLUMNS
 from paylake.sources.landing import land
 
-_RECORD = T.StructType([
-    T.StructField(c, T.DoubleType() if c == "amount" else T.StringType()) for c in CANONICAL_COLUMNS
-])
+_CORRUPT = "_unreadable"
+_RECORD = T.StructType([T.StructField(c, T.StringType()) for c in CANONICAL_COLUMNS])
 PAGE = T.StructType([
     T.StructField("records", T.ArrayType(_RECORD)),
     T.StructField("total", T.LongType()),
     T.StructField("count", T.LongType()),
     T.StructField("next_cursor", T.StringType()),
     T.StructField("page", T.LongType()),
+    T.StructField(_CORRUPT, T.StringType()),
 ])
 
 
 class IncompletePull(RuntimeError):
-    """Fewer records arrived than the feed announced."""
+    """Fewer records arrived than the feed announced, or pages that cannot be read."""
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Page envelopes. Pages are independent, so they are read in parallel."""
-    return spark.read.schema(PAGE).option("multiLine", multi_line).json(path)
+    """Page envelopes, one per line or, with ``multi_line``, one per file; read in parallel.
+
+    Amounts are kept as text, whether they came as numbers or as text.
+    """
+    return spark.read.schema(PAGE).options(multiLine=multi_line, columnNameOfCorruptRecord=_CORRUPT).json(path)
 
 
 def check_complete(pages: DataFrame) -> int:
-    """Raise unless the records of all pages add up to the announced total."""
-    got, announced = pages.agg(
-        F.coalesce(F.sum(F.size("records")), F.lit(0)), F.coalesce(F.max("total"), F.lit(0)),
-    ).first()
+    """Raise unless all pages can be read and their records add up to the announced total."""
+    n = F.when(F.col("records").isNotNull(), F.size("records")).otherwise(0)
+    bad = F.count_if(F.col(_CORRUPT).isNotNull() | F.col("records").isNull())
+    got, announced, unreadable = pages.agg(F.coalesce(F.sum(n), F.lit(0)), F.max("total"), bad).first()
+    if unreadable:
+        raise IncompletePull(f"{unreadable} pages or lines are no page envelopes; whole-file envelopes need multi_line")
+    if announced is None:
+        raise IncompletePull("no page announces a total")
     if got != announced:
         raise IncompletePull(f"{got} of {announced} records arrived")
     return got
@@ -61,11 +68,20 @@ def one_page(rows: DataFrame, order: list[str], offset: int = 0, limit: int = 20
     return rows.orderBy(*order).offset(offset).limit(limit)
 
 
-def read_feed(spark: SparkSession, path: str, first: dt.date, last: dt.date) -> DataFrame:
-    pages = read_pages(spark, path)
+def page_after(rows: DataFrame, order: list[str], last: tuple, limit: int = 200) -> DataFrame:
+    """The page that follows the row whose ``order`` columns are ``last``, however deep it lies.
+
+    Only ``limit`` rows meet in a task. The columns must not be null and tell rows apart.
+    """
+    later = F.struct(*order) > F.struct(*[F.lit(v).alias(c) for c, v in zip(order, last)])
+    return one_page(rows.where(later), order, 0, limit)
+
+
+def read_feed(spark: SparkSession, path: str, first: dt.date, last: dt.date, multi_line: bool = False) -> DataFrame:
+    pages = read_pages(spark, path, multi_line)
     check_complete(pages)
     return between_dates(records(pages), first, last)
 
 
-def land_feed(spark: SparkSession, path: str, root: str, run: Run) -> str:
-    return land(read_feed(spark, path, run.run_date, run.run_date), root, "api", run.run_date)
+def land_feed(spark: SparkSession, path: str, root: str, run: Run, multi_line: bool = False) -> str:
+    return land(read_feed(spark, path, run.run_date, run.run_date, multi_line), root, "api", run.run_date)

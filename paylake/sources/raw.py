@@ -50,14 +50,20 @@ def rejects(landing: DataFrame) -> DataFrame:
     )
 
 
-def load(landing: DataFrame, raw_path: str, rejects_path: str, dates: Sequence[dt.date]) -> dict[str, int]:
+def load(landing: DataFrame, raw_path: str, rejects_path: str, dates: Sequence[dt.date], landing_rejects: DataFrame | None = None) -> dict[str, int]:
     """Replace the given source dates with what landed for them; returns loaded rows by date.
 
-    Rows are sorted by time inside each file, so scans by time skip row groups.
+    ``landing_rejects``, rows that could not be landed with their reason, go to the reject table
+    too. Rows are sorted by time inside each file, so scans by time skip row groups.
     """
-    wanted = landing.where(F.col("date").isin(list(dates)))
-    replace_partitions(accepted(wanted), raw_path, "_source_date", dates, "txn_timestamp")
-    replace_partitions(rejects(wanted), rejects_path, "_source_date", dates)
+    wanted = F.col("date").isin(list(dates))
+    replace_partitions(accepted(landing.where(wanted)), raw_path, "_source_date", dates, "txn_timestamp")
+    bad = rejects(landing.where(wanted))
+    if landing_rejects is not None:
+        more = landing_rejects.where(wanted).select(
+            *CANONICAL_COLUMNS, F.col("date").cast("date").alias("_source_date"), F.col("source").alias("_source"), "reject_reason")
+        bad = bad.select(*[F.col(c).cast("string").alias(c) if c in CANONICAL_COLUMNS else F.col(c) for c in bad.columns]).unionByName(more)
+    replace_partitions(bad, rejects_path, "_source_date", dates)
     return partition_rows(landing.sparkSession, raw_path, "_source_date", dates)
 
 

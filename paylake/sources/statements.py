@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -16,39 +17,41 @@ from paylake.operators.latest import first_per_key
 from paylake.sources.landing import land
 
 _PLACE = ("_file", "_block", "_row")
-_SPARE = "_spare"
+_SPARE, _FAULT = "_spare", "_fault"
 
 
 def statement_files(spark: SparkSession, folder: str, date: dt.date) -> list[str]:
     """Files named ``*<date>*.csv``, sorted. Only names are read, not contents."""
     try:
         found = spark.read.format("binaryFile").load(f"{folder}/*{date}*.csv").select("path")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return []
     return sorted(r[0] for r in found.collect())
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Header of one file; without schema inference Spark reads just its first line."""
-    return tuple(spark.read.options(header=True, escape='"').csv(path).columns)
-
-
 def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header, from one job that keeps the first line of each file."""
+    if not files:
+        return {}
+    lines = spark.read.text(files).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value", F.monotonically_increasing_id().alias("at"))
+    first = lines.where("start = 0 and trim(value) <> ''").groupBy("path").agg(F.min_by("value", "at").alias("line"))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(16) as pool:
-        for path, header in zip(files, pool.map(lambda f: _header(spark, f), files)):
-            if header:
-                groups[header].append(path)
+    for path, line in sorted((unquote(r[0]), r[1]) for r in first.collect()):
+        groups[tuple(next(csv.reader([line.removeprefix("\ufeff")])))].append(path)
     return groups
 
 
 def _read_layout(spark: SparkSession, header: tuple[str, ...], files: list[str], multi_line: bool) -> DataFrame:
-    """Files of one header as canonical text columns plus the place of each row."""
+    """Files of one header as canonical text columns plus the place and the fault of each row.
+
+    Columns of one name, whether repeated or by alias, fill each other's gaps from left to right.
+    """
     places = [f"_c{i}" for i in range(len(header))]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*places, _SPARE]])
-    rows = spark.read.schema(schema).options(header=True, escape='"', multiLine=multi_line).csv(files)
-    # A filled spare column means the line has more fields than the header: the line is skipped.
-    rows = rows.where(F.col(_SPARE).isNull())
+    rows = spark.read.schema(schema).options(header=True, escape='"', multiLine=multi_line, enforceSchema=True).csv(files)
 
     by_name: dict[str, list] = defaultdict(list)
     for place, raw_name in zip(places, header):
@@ -62,25 +65,41 @@ def _read_layout(spark: SparkSession, header: tuple[str, ...], files: list[str],
         (F.coalesce(*by_name[c]) if c in by_name else F.lit(None).cast("string")).alias(c) for c in CANONICAL_COLUMNS
     ]
     place = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    return rows.select(*columns, *[p.alias(n) for p, n in zip(place, _PLACE)])
+    # A filled spare column means that the line has more fields than the header.
+    fault = F.when(F.col(_SPARE).isNotNull(), F.lit(f"more than {len(header)} fields")).alias(_FAULT)
+    return rows.select(*columns, fault, *[p.alias(n) for p, n in zip(place, _PLACE)])
+
+
+def _lines(spark: SparkSession, folder: str, run: Run, multi_line: bool) -> DataFrame:
+    """All lines of the run date's files. There is one scan per distinct header, not per file."""
+    groups = _by_header(spark, statement_files(spark, folder, run.run_date))
+    parts = [_read_layout(spark, header, files, multi_line) for header, files in sorted(groups.items())]
+    if not parts:
+        kinds = dict.fromkeys([*CANONICAL_COLUMNS, _FAULT, _PLACE[0]], "string") | dict.fromkeys(_PLACE[1:], "bigint")
+        return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in kinds.items()))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _stamped(rows: DataFrame, run: Run) -> DataFrame:
+    return rows.drop(*_PLACE).withColumn("ingested_at", F.lit(run.run_ts.strftime("%Y-%m-%d %H:%M:%S")))
 
 
 def read_statements(spark: SparkSession, folder: str, run: Run, multi_line: bool = False) -> DataFrame:
     """Rows of all statement files of the run date, first row of each transaction id kept.
 
-    "First" is by file name, then by place in the file. Files are grouped by header, so
-    there is one scan per distinct header, not per file. Quoted line breaks need
-    ``multi_line``, which gives up splitting large files.
+    "First" is by file name, then by place in the file. Lines with more fields than their header
+    are left out here; ``rejected_statements`` has them. Quoted line breaks need ``multi_line``,
+    which gives up splitting large files.
     """
-    groups = _by_header(spark, statement_files(spark, folder, run.run_date))
-    if not groups:
-        empty = T.StructType([T.StructField(c, T.StringType()) for c in CANONICAL_COLUMNS])
-        return spark.createDataFrame([], empty)
-    parts = [_read_layout(spark, header, files, multi_line) for header, files in sorted(groups.items())]
-    rows = reduce(DataFrame.unionByName, parts)
-    rows = first_per_key(rows, ["txn_id"], [F.col(p) for p in _PLACE]).drop(*_PLACE)
-    return rows.withColumn("ingested_at", F.lit(run.run_ts.strftime("%Y-%m-%d %H:%M:%S")))
+    rows = _lines(spark, folder, run, multi_line).where(F.col(_FAULT).isNull()).drop(_FAULT)
+    return _stamped(first_per_key(rows, ["txn_id"], [F.col(p) for p in _PLACE]), run)
+
+
+def rejected_statements(spark: SparkSession, folder: str, run: Run, multi_line: bool = False) -> DataFrame:
+    """Lines with more fields than their header, as far as they can be read, with ``reject_reason``."""
+    rows = _lines(spark, folder, run, multi_line).where(F.col(_FAULT).isNotNull())
+    return _stamped(rows, run).withColumnRenamed(_FAULT, "reject_reason")
 
 
 def land_statements(spark: SparkSession, folder: str, root: str, run: Run) -> str:
-    return land(read_statements(spark, folder, run), root, "csv", run.run_date)
+    return land(read_statements(spark, folder, run), root, "csv", run.run_date, rejected_statements(spark, folder, run))

@@ -16,7 +16,7 @@ from paylake.operators.partitions import partition_rows, replace_partitions
 from paylake.operators.scratch import shared_dir, stored, stored_for
 from paylake.operators.skew import flag_hot, hot_keys
 from paylake.operators.timeline import with_sender_timeline
-from paylake.operators.upsert import upsert
+from paylake.operators.upsert import DuplicateKey, upsert
 from paylake.operators.versions import read_versions, snapshot
 from paylake.plans import customers, fraud, staging, transactions
 from paylake.sources import raw as raw_table
@@ -221,3 +221,41 @@ def test_sender_columns_need_one_shuffle_and_one_sort(spark):
     stg = spark.createDataFrame([], "txn_id string, sender_vpa string, txn_timestamp timestamp_ntz, txn_date date, txn_hour bigint, status string")
     plan = with_sender_timeline(stg)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_an_unreadable_table_is_not_overwritten(spark, tmp_path):
+    path = tmp_path / "table"
+    (path / "day=2024-01-01").mkdir(parents=True)
+    (path / "day=2024-01-01" / "part-0.parquet").write_bytes(b"no parquet")
+    change = spark.createDataFrame([("k", dt.date(2024, 1, 1))], "k string, day date")
+    with pytest.raises(Exception):
+        upsert(change, str(path), "k", "day")
+    assert (path / "day=2024-01-01" / "part-0.parquet").read_bytes() == b"no parquet"
+
+
+def test_merge_refuses_two_rows_of_a_key(spark, tmp_path):
+    twice = spark.createDataFrame([("k", 1, dt.date(2024, 1, 1)), ("k", 2, dt.date(2024, 1, 1))], "k string, v int, day date")
+    with pytest.raises(DuplicateKey):
+        upsert(twice, str(tmp_path / "table"), "k", "day")
+
+
+def test_null_keys_do_not_pile_up(spark, tmp_path):
+    rows = spark.createDataFrame([(None, "a"), ("x", "b")], "k string, tier string")
+    for hour in range(3):
+        snapshot(rows, str(tmp_path / "versions"), "k", ["tier"], dt.datetime(2024, 1, 1, hour))
+    assert read_versions(spark, str(tmp_path / "versions")).count() == 2
+
+
+def test_padded_ids_are_one_transaction(spark):
+    from paylake.config import Run
+    from paylake.fixed import CANONICAL_COLUMNS
+    from paylake.plans import staging
+    from paylake.sources.raw import RAW_TYPES
+
+    run = Run(dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), "test")
+    base = dict.fromkeys(CANONICAL_COLUMNS) | {"sender_vpa": "a@x"}
+    rows = [base | {"txn_id": i, "txn_timestamp": t, "city": c} for i, t, c in (
+        ("3", dt.datetime(2024, 1, 1, 1), "old"), (" 3", dt.datetime(2024, 1, 1, 2), "new"))]
+    schema = ", ".join(f"{c} {RAW_TYPES[c]}" for c in CANONICAL_COLUMNS) + ", _source_date date, _source string"
+    raw = spark.createDataFrame([(*[r[c] for c in CANONICAL_COLUMNS], dt.date(2024, 1, 1), "csv") for r in rows], schema)
+    assert [(r.txn_id, r.city) for r in staging.stage(raw, run).collect()] == [("3", "New")]

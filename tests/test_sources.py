@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paylake import daily
 from paylake.config import Run
 from paylake.fixed import CANONICAL_COLUMNS
+from paylake.operators.versions import ClockWentBack
 from paylake.quality.evaluate import QualityError, enforce, evaluate
 from paylake.quality.freshness import freshness
 from paylake.quality.rules import RULES, Rule
@@ -50,6 +51,65 @@ def test_statements(spark, tmp_path):
     assert landed == {"1": 99.0, "5": None, "2": None, "3": None, None: 1.0}
 
 
+def test_every_line_lands_or_is_rejected(spark, tmp_path):
+    (tmp_path / f"a_{DAY}.csv").write_text(
+        "txn_id,amount,amount,txn_timestamp,Amount\n1,,7,05/01/2024 10:00,\n2,5,6,05-01-2024 10:00:01,\n3,x,,2024-01-05 10:00:00,\n"
+        "4,1,,soon,\n5,1,,2024-01-05 10:00:00,,6,7\n6,,,2024-01-05 10:00:00,9\n")
+    root = str(tmp_path / "landing")
+    statements.land_statements(spark, str(tmp_path), root, RUN)
+    good = {r.txn_id: (r.amount, r.txn_timestamp) for r in landing.read_landing_date(spark, root, DAY).collect()}
+    assert good == {"1": (7.0, "2024-01-05 10:00:00"), "2": (5.0, "2024-01-05 10:00:01"), "6": (9.0, "2024-01-05 10:00:00")}
+    bad = {r.txn_id: r.reject_reason for r in landing.read_landing_date(spark, landing.rejects_root(root), DAY).collect()}
+    assert bad == {"3": "amount cannot be read: x", "4": "txn_timestamp cannot be read: soon", "5": "more than 5 fields"}
+    raw, rejected = str(tmp_path / "raw"), str(tmp_path / "raw_rejects")
+    rows = landing.read_landing_date(spark, root, DAY)
+    assert raw_table.load(rows, raw, rejected, [DAY], landing.read_landing_date(spark, landing.rejects_root(root), DAY)) == {str(DAY): 3}
+    assert spark.read.parquet(rejected).count() == 3
+
+
+def test_headers_take_one_job_for_any_number_of_files(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"{i}_{DAY}.csv").write_text("txn_id,amount\n1,2\n")
+        spark.sparkContext.setJobGroup(f"headers-{n}", "")
+        statements.read_statements(spark, str(folder), RUN)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(f"headers-{n}"))
+
+    assert jobs(9) == jobs(2)
+
+
+def test_amounts_as_text_and_whole_file_pages(spark, tmp_path):
+    rows = [record(1, amount="12.50"), record(2, amount=3)]
+    envelope = {"records": rows, "total": 2, "count": 2, "next_cursor": None, "page": 1}
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "page.json").write_text(json.dumps(envelope, indent=1))
+    with pytest.raises(IncompletePull):
+        pages.read_feed(spark, str(tmp_path / "feed"), DAY, DAY)
+    got = landing.coerced(pages.read_feed(spark, str(tmp_path / "feed"), DAY, DAY, multi_line=True)).collect()
+    assert {r.txn_id: r.amount for r in got} == {"P1": 12.5, "P2": 3.0}
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "page.json").write_text("")
+    with pytest.raises(IncompletePull):
+        pages.read_feed(spark, str(tmp_path / "none"), DAY, DAY)
+
+
+def test_drift_stops_only_its_own_date(spark, tmp_path):
+    root, good = str(tmp_path / "landing"), dt.date(2024, 1, 4)
+    rows = spark.createDataFrame([tuple(record(1).values())], ", ".join(f"{c} {'double' if c == 'amount' else 'string'}" for c in record(1)))
+    for source in ("csv", "api"):
+        landing.land(rows, root, source, good)
+        landing.land(rows, root, source, DAY)
+    rows.drop("city").withColumn("extra", F.lit(1)).write.mode("overwrite").parquet(f"{root}/source=csv/date={DAY}")
+    assert manifest.save_manifest(spark, root, str(tmp_path / "m"), good)["ready"]
+    with pytest.raises(manifest.NotReady, match="csv:-city,csv:\\+extra"):
+        manifest.save_manifest(spark, root, str(tmp_path / "m"), DAY)
+
+
 def test_no_statements(spark, tmp_path):
     assert statements.read_statements(spark, str(tmp_path), RUN).count() == 0
 
@@ -77,9 +137,11 @@ def test_pages(spark, tmp_path):
     write_pages(tmp_path / "whole", rows)
     df = pages.read_feed(spark, str(tmp_path / "whole"), DAY, DAY)
     assert (df.count(), df.select("txn_id").distinct().count()) == (450, 450)
-    assert pages.lookup(df, "P7").first().amount == 17.5
-    page = pages.one_page(df, ["amount"], offset=400, limit=200).collect()
+    assert pages.lookup(df, "P7").first().amount == "17.5"
+    page = pages.one_page(df.withColumn("amount", F.col("amount").cast("double")), ["amount"], offset=400, limit=200).collect()
     assert [r.txn_id for r in page] == [f"P{i}" for i in range(400, 450)]
+    numbers = df.select("txn_id", F.col("amount").cast("double").alias("amount"))
+    assert [r.txn_id for r in pages.page_after(numbers, ["amount", "txn_id"], (page[0].amount, "P400"), 3).collect()] == ["P401", "P402", "P403"]
     with pytest.raises(ValueError):
         pages.one_page(df, ["amount"], limit=501)
 
@@ -141,7 +203,8 @@ def inputs(tmp_path):
 
 def test_daily_run(spark, tmp_path, inputs):
     root = str(tmp_path / "lake")
-    done = daily.run_range(spark, root, inputs, RUN, dt.date(2024, 1, 6))
+    at = RUN.run_ts + dt.timedelta(days=1)
+    done = daily.run_range(spark, root, inputs, RUN, dt.date(2024, 1, 6), clock=lambda: at)
     first, second = done["2024-01-05"], done["2024-01-06"]
     assert first["loaded_rows"] == 21 and second["loaded_rows"] == 22
     assert (second["raw_upi_transactions"], second["stg_upi_transactions"], second["fct_transactions"]) == (43, 42, 42)
@@ -173,6 +236,25 @@ def test_daily_run(spark, tmp_path, inputs):
     assert counts["stg_upi_transactions"] == 44
 
 
+def test_backfill_then_a_normal_run(spark, tmp_path, inputs):
+    """Versions of a backfill lie in the past of the run that follows it."""
+    root, start = str(tmp_path / "lake"), daily.now()
+    stages = ["ingest", "load", "prep", "snapshot"]
+    daily.run_range(spark, root, inputs, dataclasses.replace(RUN, run_ts=start), dt.date(2024, 1, 6), stages=stages)
+    after = daily.now()
+    run = dataclasses.replace(RUN, run_date=dt.date(2024, 1, 6), run_ts=after + dt.timedelta(seconds=1))
+    tables = daily.Tables(spark, root, run)
+    rows = tables.read("snp_customers").collect()
+    assert rows and all(start.replace(microsecond=0) <= r.dbt_valid_from <= after for r in rows)
+    extra = tmp_path / "statements" / "more_2024-01-06.csv"
+    extra.write_text("txn_id,sender_vpa,receiver_vpa,amount,status,txn_timestamp\nZ1,a1@x,b@y,900000,SUCCESS,2024-01-06 09:00:00\n")
+    daily.run_date(spark, root, inputs, run, stages=stages)
+    rows = tables.read("snp_customers").collect()
+    assert any(r.dbt_valid_to for r in rows) and all(r.dbt_valid_to is None or r.dbt_valid_from < r.dbt_valid_to for r in rows)
+    with pytest.raises(ClockWentBack):
+        daily.run_date(spark, root, inputs, dataclasses.replace(run, run_ts=start - dt.timedelta(days=1)), stages=["snapshot"])
+
+
 def test_command_line(spark, tmp_path, inputs, capsys):
     args = ["--root", str(tmp_path / "lake"), "--statements", inputs.statements, "--feed", inputs.feed, "--date", "2024-01-05"]
     daily.main([*args, "--to", "2024-01-06", "--stages", "ingest", "load"])
