@@ -1,11 +1,14 @@
 """Near duplicates by the Jaccard similarity of word n-gram sets: a distributed prefix-tree join.
 
 All n-grams have one global order, that of their 64-bit hashes, and every document is its ordered
-set. The order line is cut into more stretches than two similar sets can differ in elements, so two
-similar sets have exactly the same elements in at least one stretch. What a set has in a stretch is
-a path of that stretch's tree, known by a digest: documents meet where whole paths are equal, for
-sets of about one size. One element more or less changes the path, so a passage that many documents
-share brings only documents together that share most of the stretch.
+set. The order line is cut into stretches, and what a set has in a stretch is a path of that
+stretch's tree, known by a digest. Two similar sets differ in a bounded number of elements, so a
+known number of their paths at least are equal; documents meet where whole paths are, for sets of
+about one size.
+
+A path that more than a few documents have is common, as those of a passage that many documents
+share. A document with fewer common paths than it must share with any similar one shares a rarer
+path with each of them, and its common paths are left out; others meet on common paths as well.
 
 Documents that meet form clusters. Copies of one set are one member. The sets of a cluster go into a
 prefix tree (:mod:`paylake.llm.prefix_tree`), which finds the exact links; a cluster with many
@@ -19,7 +22,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame, Window, functions as F
 
 from paylake.llm.components import components
 from paylake.llm.prefix_tree import PrefixTree
@@ -28,6 +32,8 @@ from paylake.llm.workers import ship
 from paylake.operators.scratch import stored
 
 BLOCK = 1_500  # members of a cluster that a block holds
+COMMON = 3  # documents that may share a path which is not common
+_CODES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -45,7 +51,7 @@ class Similarity:
         """How many stretches the order line has in a class, and how many may differ."""
         most = _bound(space + 1) - 1
         differ = (100 - self.percent) * (most + 100 * most // self.percent) // (100 + self.percent)
-        return differ + 1 + (max(1, differ // 12) if differ else 0), differ
+        return differ + 1 + (max(2, differ // 6) if differ else 0), differ
 
 
 def _bound(space: int) -> int:
@@ -63,97 +69,135 @@ def _space(n: int) -> int:
     return int(np.searchsorted(_BOUNDS, n, "right")) - 1
 
 
-def paths(elements: np.ndarray, like: Similarity) -> np.ndarray:
-    """Digests of the paths of a set in all stretches and classes where it may meet another."""
-    spread, found = mixed(elements + np.uint64(0x632BE59BD9B4E019)), []
+def paths(elements: np.ndarray, like: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of the paths of a set in all stretches and classes where it may meet another.
+
+    With each goes a code of its class and of the number of common paths from which on the set has
+    to meet others on common paths too.
+    """
+    spread, found, codes = mixed(elements + np.uint64(0x632BE59BD9B4E019)), [], []
     for space in like.spaces(len(elements)):
         count, differ = like.stretches(space)
         part = (elements >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)
         begin = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
         sums, own = np.add.reduceat(spread, begin), part[begin]
-        if count - len(begin) >= count - differ:  # equal stretches may all be empty ones
+        spare = count - differ - (count - len(begin))  # equal stretches that are neither empty
+        if spare <= 0:  # they may all be empty ones
             empty = np.setdiff1d(np.arange(count, dtype=np.uint64), own)
             sums, own = np.concatenate([sums, np.zeros(len(empty), np.uint64)]), np.concatenate([own, empty])
         found.append(mixed(sums ^ mixed(own * np.uint64(1 << 16) + np.uint64(space + 1))))
-    return np.concatenate(found)
+        codes.append(np.full(len(own), space * _CODES + max(0, spare)))
+    return np.concatenate(found), np.concatenate(codes)
 
 
 def _digest(elements: np.ndarray) -> np.uint64:
     return np.add.reduce(mixed(elements ^ np.uint64(0xA0761D6478BD642F))) if len(elements) else np.uint64(0)
 
 
+#: Rows on the way: of documents (b a digest, n the size), of links (b the other document), of
+#: common paths (b the path, n minus the code, less one), of other paths (n the code), and marks of
+#: paths that are common already (a missing).
 MET = "key bigint, a bigint, b bigint, n bigint"
 
 
-def _rows(key, a, b=None, n=None) -> pa.RecordBatch:
+def _rows(key, a=None, b=None, n=None) -> pa.RecordBatch:
     size = len(key)
     columns = [np.asarray(key).view(np.int64), a, b, n]
     return pa.RecordBatch.from_arrays(
-        [pa.nulls(size, pa.int64()) if c is None else pa.array(np.asarray(c, np.int64)) for c in columns], ["key", "a", "b", "n"])
+        [pa.nulls(size, pa.int64()) if c is None else pa.array(np.asarray(c).astype(np.int64)) for c in columns], ["key", "a", "b", "n"])
 
 
-def _chains(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links between neighbours of one key in sorted rows, each once; which rows are first of their key."""
-    again = np.concatenate([[False], key[1:] == key[:-1]])
-    at = np.flatnonzero(again)
-    a, b = doc[at - 1], doc[at]
-    links = np.unique(np.stack([a, b], 1)[a != b], axis=0) if len(at) else np.zeros((0, 2), np.int64)
-    return links[:, 0], links[:, 1], ~again
+def _spread(doc: np.ndarray) -> np.ndarray:
+    return mixed(doc.astype(np.int64).view(np.uint64) + np.uint64(7))
 
 
 def _meetings(like: Similarity):
-    """Rows of documents (n given), of links (b given) and of paths that others may share."""
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            has_id = np.array(ids.is_valid())
+            known = np.array(ids.is_valid())
             doc = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            keys, owners, sizes, digests = [], [], [], []
-            for i, elements in enumerate(shingle_sets([t or "" for t in batch.column("text").to_pylist()], like.words)):
+            keys, owners, codes, sizes, digests, first, copies = [], [], [], [], [], {}, []
+            texts = (t or "" for t in batch.column("text").to_pylist())
+            for i, elements in enumerate(shingle_sets(list(texts), like.words)):
                 sizes.append(len(elements))
                 digests.append(_digest(elements))
-                if len(elements) and has_id[i]:
-                    keys.append(paths(elements, like))
-                    owners.append(np.full(len(keys[-1]), doc[i]))
-            spread = mixed(doc.view(np.uint64) + np.uint64(7))
-            for rows in (has_id, ~has_id):
-                out = _rows(spread[rows], doc[rows], np.array(digests, np.uint64).view(np.int64)[rows], np.array(sizes, np.int64)[rows])
-                if not rows is has_id and len(out):
-                    out = out.set_column(1, "a", pa.nulls(len(out), pa.int64()))
-                if len(out):
-                    yield out
+                if len(elements) and known[i]:
+                    same = first.setdefault((digests[-1], len(elements)), doc[i])
+                    if same != doc[i]:
+                        copies.append((doc[i], same))
+                        continue
+                    key, code = paths(elements, like)
+                    keys.append(key)
+                    codes.append(code)
+                    owners.append(np.full(len(key), doc[i]))
+            size, digest = np.array(sizes, np.int64), np.array(digests, np.uint64).view(np.int64)
+            if known.any():
+                yield _rows(_spread(doc[known]), doc[known], digest[known], size[known])
+            if not known.all():
+                yield _rows(_spread(np.flatnonzero(~known)), None, digest[~known], size[~known])
+            if copies:
+                a, b = np.array(copies, np.int64).T
+                yield _rows(_spread(a), a, b)
             if keys:
-                key, owner = np.concatenate(keys), np.concatenate(owners)
+                key, owner, code = np.concatenate(keys), np.concatenate(owners), np.concatenate(codes)
                 order = np.lexsort((owner, key))
-                key, owner = key[order], owner[order]
-                a, b, first = _chains(key, owner)
-                yield _rows(key[first], owner[first])
-                if len(a):
-                    yield _rows(mixed(b.astype(np.int64).view(np.uint64)), a, b)
+                key, owner, code = key[order], owner[order], code[order]
+                often, begin = _run_lengths(key)
+                hot = often > COMMON
+                if hot.any():
+                    yield _rows(_spread(owner[hot]), owner[hot], key[hot].view(np.int64), -code[hot] - 1)
+                    yield _rows(key[begin][often[begin] > COMMON])
+                yield _rows(key[~hot], owner[~hot], None, code[~hot])
 
     return run
 
 
+def _run_lengths(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the sorted rows, how many have its key; where runs begin."""
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    length = np.diff(np.append(begin, len(key)))
+    return np.repeat(length, length), begin
+
+
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents and links pass; of paths in sorted order, neighbours become links."""
-    last_key = last_doc = None
+    """Of paths in sorted order, the documents of rare ones become links, the others' are kept."""
+    held, hot_key = np.zeros((4, 0), np.int64), None
+
+    def told(rows: np.ndarray, common: np.ndarray) -> pa.RecordBatch:
+        key, doc, code, mark = rows
+        some = np.flatnonzero(~common & (mark == 0))
+        at = some[1:][key[some[1:]] == key[some[:-1]]]
+        links = np.stack([doc[at - 1], doc[at]], 1)
+        links = np.unique(links[links[:, 0] != links[:, 1]], axis=0)
+        hot = common & (mark == 0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([links[:, 0], doc[hot]])), pa.array(np.concatenate([links[:, 1], key[hot]])),
+             pa.concat_arrays([pa.nulls(len(links), pa.int64()), pa.array(-code[hot] - 1)])], ["a", "b", "n"])
+
     for batch in batches:
-        b, n = batch.column("b"), batch.column("n")
-        passing = b.is_valid()
+        passing = batch.column("b").is_valid()
         through = batch.filter(passing)
         if len(through):
             yield through.select(["a", "b", "n"])
-        path = batch.filter(b.is_null())
+        path = batch.filter(pa.compute.invert(passing))
         if not len(path):
             continue
-        key, doc = path.column("key").to_numpy(), path.column("a").to_numpy()
-        if last_key is not None:
-            key, doc = np.concatenate([[last_key], key]), np.concatenate([[last_doc], doc])
-        last_key, last_doc = key[-1], doc[-1]
-        x, y, _ = _chains(key, doc)
-        if len(x):
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.nulls(len(x), pa.int64())], ["a", "b", "n"])
+        doc = path.column("a")
+        rows = np.stack([
+            path.column("key").to_numpy(), doc.fill_null(0).to_numpy(), path.column("n").fill_null(0).to_numpy(), np.array(doc.is_null()).astype(np.int64)])
+        rows = np.concatenate([held, rows], 1)
+        often, begin = _run_lengths(rows[0])
+        marked = np.repeat(np.maximum.reduceat(rows[3], begin), often[begin]) > 0
+        common = (often > COMMON) | marked | (rows[0] == hot_key if hot_key is not None else False)
+        last = begin[-1]
+        if common[last]:  # more rows of this path may follow
+            hot_key, held = rows[0, last], np.zeros((4, 0), np.int64)
+            yield told(rows, common)
+        else:
+            held = rows[:, last:]
+            yield told(rows[:, :last], common[:last])
+    yield told(held, np.zeros(held.shape[1], bool))
 
 
 def _joined(like: Similarity):
@@ -188,6 +232,15 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
+def _on_common_paths(rows: DataFrame) -> DataFrame:
+    """Links between documents that have so many common paths that they may share no other."""
+    often = F.count("*").over(Window.partitionBy("a", "n"))  # a document's common paths of one class
+    heavy = rows.withColumn("often", often).where(F.col("often") >= F.pmod(-F.col("n") - 1, F.lit(_CODES))).select("a", F.col("b").alias("path"))
+    heavy = stored(heavy, "common")
+    first = heavy.groupBy(F.col("path").alias("p")).agg(F.min("a").alias("first"))
+    return heavy.join(first, F.col("path") == F.col("p")).where("a <> first").select("a", "first").distinct()
+
+
 def near_duplicates(documents: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, of every row.
 
@@ -200,8 +253,8 @@ def near_duplicates(documents: DataFrame, like: Similarity = Similarity()) -> Da
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = texts.mapInArrow(_meetings(like), MET).repartition("key").sortWithinPartitions("key", "a")
     met = stored(rows.mapInArrow(_met, "a bigint, b bigint, n bigint"), "meetings")
-    docs = met.where("n is not null").select(F.col("a").alias("doc_id"), F.col("b").alias("digest"), F.col("n").alias("n_shingles"))
-    clusters = components(met.where("n is null").select("a", "b"))
+    docs = met.where("n >= 0").select(F.col("a").alias("doc_id"), F.col("b").alias("digest"), F.col("n").alias("n_shingles"))
+    clusters = components(met.where("n is null").select("a", "b").union(_on_common_paths(met.where("n < 0"))))
     clusters = stored(clusters.union(clusters.select("component", "component")).distinct(), "clusters")
     placed = docs.where("n_shingles > 0").join(clusters, F.col("doc_id") == F.col("node")).select("doc_id", "digest", "n_shingles", "component")
     same = ["component", "n_shingles", "digest"]
