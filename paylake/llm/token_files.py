@@ -10,6 +10,7 @@ figures are wanted.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import zlib
 from collections.abc import Iterator
@@ -24,13 +25,14 @@ from paylake.llm.batches import parts
 from paylake.llm.workers import ship
 from paylake.operators.scratch import new_path
 
-CACHE = 250_000  # pre-tokens a worker keeps
+CACHE = 250_000  # pre-tokens a worker keeps in each of two generations
 LONGEST = 200  # bytes of a pre-token that is kept
+SEPARATOR = "\n"  # no byte is called that
 SCHEMA = "doc_id bigint, part int, begin bigint, n_tokens bigint, tokens array<int>"
 
 #: Writer settings: row groups of 32 MB, pages of 64 KB and at most 2,000 documents.
 FORMAT = {
-    "compression": "zstd", "parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "true",
+    "compression": "snappy", "parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "true",
     "parquet.block.size": str(32 << 20), "parquet.page.size": str(64 << 10), "parquet.page.row.count.limit": "2000",
     "parquet.dictionary.page.size": str(1 << 20),
 }
@@ -53,22 +55,33 @@ class _Library:
         names = {}  # what the model calls each byte, as its splitter spells characters of every kind
         for cp in (*range(0x801), *range(0x1000, 0xE000, 0x1000), 0xE000, 0xF000, 0x10000, 0x40000, 0x80000, 0xC0000, 0x100000):
             names.update(zip(chr(cp).encode(), spell.pre_tokenize_str(chr(cp))[0][0]))
-        self.names = {i: names.get(i, "\0") for i in range(256)}  # bytes without a name never occur in UTF-8
+        self.names = {i: names.get(i, SEPARATOR) for i in range(256)}  # bytes without a name never occur in UTF-8
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def ids(self, piece: bytes) -> bytes:
-        spelled = piece.decode("latin-1").translate(self.names)
-        return np.array([t.id for t in self.model.tokenize(spelled)], "<i4").tobytes()
+    def ids(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        spelled = b"\xff".join(pieces).decode("latin-1").translate(self.names).split(SEPARATOR)
+        tokenize = self.model.tokenize
+        found = [[t.id for t in tokenize(s)] for s in spelled]
+        flat = np.fromiter(itertools.chain.from_iterable(found), "<i4").tobytes()
+        stops = [4 * n for n in itertools.accumulate(map(len, found))]
+        return {p: flat[a:b] for p, a, b in zip(pieces, [0, *stops], stops)}
 
     def look_up(self, found: list[bytes]) -> list[bytes]:
+        """Id bytes of distinct pre-tokens. What was not met for long is forgotten first."""
         out = list(map(self.known.get, found))
         open_ = [i for i, x in enumerate(out) if x is None]
-        new = {p: self.ids(p) for p in {found[i] for i in open_}}
+        older = self.older.get
         for i in open_:
-            out[i] = new[found[i]]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-        self.known.update((p, x) for p, x in new.items() if len(p) <= LONGEST)
+            out[i] = older(found[i])
+        new = [i for i in open_ if out[i] is None]
+        if new:
+            made = self.ids([found[i] for i in new])
+            for i in new:
+                out[i] = made[found[i]]
+        if len(self.known) + len(open_) > CACHE:
+            self.known, self.older = {}, self.known
+        self.known.update((found[i], out[i]) for i in open_ if len(found[i]) <= LONGEST)
         return out
 
 
