@@ -26,7 +26,15 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
         moved = hung.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
     else:
         moved = hung.select(F.col("b").alias("a"), F.col("least").alias("b")).union(hung.select("a", F.col("least").alias("b")))
-    return moved.where(F.col("a") > F.col("b")).distinct()
+    moved = moved.where(F.col("a") > F.col("b"))
+    return moved if larger else moved.distinct()
+
+
+def _settled(links: DataFrame) -> bool:
+    """Whether every node hangs on one node, which hangs on none."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    return ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 or hangs = 1 and holds = 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -38,10 +46,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     pair = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
     now = stored(links.where("a is not null and b is not null and a <> b").select(*pair).distinct(), "links")
-    seen = None
     while True:
         now = stored(_star(_star(now, larger=True), larger=False), "links")
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen or not mark[0]:
+        if _settled(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        seen = mark

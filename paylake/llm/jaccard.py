@@ -268,7 +268,7 @@ def near_duplicates(documents: DataFrame, like: Similarity = Similarity()) -> Da
         members.join(sizes.withColumn("blocks", blocks), "component").withColumn("mine", mine)
         .withColumn("other", F.explode(F.expr("case when blocks = 1 then array(0L) else filter(sequence(0L, blocks - 1), x -> x <> mine) end")))
         .select(F.col("doc_id").alias("member"), F.xxhash64("component", F.least("mine", "other"), F.greatest("mine", "other")).alias("task")))
-    members_text = texts.join(dealt, F.col("doc_id") == F.col("member")).select("task", "doc_id", "text")
+    members_text = texts.join(dealt.hint("merge"), F.col("doc_id") == F.col("member")).select("task", "doc_id", "text")
     tasks = members_text.repartition("task").sortWithinPartitions("task", "doc_id")
     links = tasks.mapInArrow(_joined(like), "a bigint, b bigint").union(copies.where("doc_id <> first").select("doc_id", "first"))
     reached = components(links)
