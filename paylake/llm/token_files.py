@@ -51,6 +51,7 @@ class _Library:
             raise ValueError("a byte-level tokenizer without prefix space or normalizer is needed")
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.added = [t["content"] for t in shape["added_tokens"]]
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         names = {}  # what the model calls each byte, as its splitter spells characters of every kind
         for cp in (*range(0x801), *range(0x1000, 0xE000, 0x1000), 0xE000, 0xF000, 0x10000, 0x40000, 0x80000, 0xC0000, 0x100000):
@@ -59,6 +60,9 @@ class _Library:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    def holds_added(self, text: str) -> bool:
+        return any(t in text for t in self.added)
+
     def ids(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         spelled = b"\xff".join(pieces).decode("latin-1").translate(self.names).split(SEPARATOR)
         tokenize = self.model.tokenize
@@ -90,19 +94,31 @@ def _library(path: str) -> _Library:
     return _Library(path)
 
 
-def encode_texts(texts: list[str], path: str, end_id: int | None) -> Iterator[bytes]:
-    """Id bytes of each text, little-endian 32-bit, with the end id."""
-    tail = b"" if end_id is None else end_id.to_bytes(4, "little")
-    table, library = pretokens.classes(), _library(path)
+def _plain(texts: list[str], library: _Library) -> Iterator[bytes]:
+    table = pretokens.classes()
     for run in pretokens.groups(texts):
         found, which, last = pretokens.distinct(run, table)
-        for ids in pretokens.spread(library.look_up(found), which, last):
-            yield ids + tail
+        yield from pretokens.spread(library.look_up(found), which, last)
+
+
+def encode_texts(texts: list[str], path: str, end_id: int | None, added: bool = False) -> Iterator[bytes]:
+    """Id bytes of each text, little-endian 32-bit, with the end id.
+
+    With ``added``, the tokenizer's added tokens have their ids where a text spells one, as in the
+    library's default; without, they are ordinary text, as with its ``encode_special_tokens``.
+    """
+    tail = b"" if end_id is None else end_id.to_bytes(4, "little")
+    library = _library(path)
+    whole = [added and library.holds_added(t) for t in texts]
+    plain = _plain([t for t, w in zip(texts, whole) if not w], library)
+    for t, w in zip(texts, whole):
+        yield (np.array(library.tokenizer.encode(t, add_special_tokens=False).ids, "<i4").tobytes() if w else next(plain)) + tail
 
 
-def write(df: DataFrame, folder: str, path: str, end_id: int | None = 2, id_column: str = "doc_id", text: str = "text") -> None:
+def write(df: DataFrame, folder: str, path: str, end_id: int | None = 2, id_column: str = "doc_id", text: str = "text", added: bool = False) -> None:
     """Encodes every whole text and writes the files in ascending order of the id.
 
+    ``added`` says whether a text may spell the tokenizer's added tokens, see ``encode_texts``.
     A null text counts as empty and yields the end id alone. Rows of equal id follow each other in
     an order fixed by their text; a null id comes first. Other columns are not written, and an
     empty table makes files without rows. The folder must not exist yet.
@@ -115,7 +131,7 @@ def write(df: DataFrame, folder: str, path: str, end_id: int | None = 2, id_colu
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, begin = TaskContext.get().partitionId(), 0
         for some, texts in parts(batches):
-            made = [np.frombuffer(x, "<i4") for x in encode_texts(texts, path, end_id)]
+            made = [np.frombuffer(x, "<i4") for x in encode_texts(texts, path, end_id, added)]
             n = np.fromiter(map(len, made), np.int64, len(made))
             stops = np.concatenate([[0], np.cumsum(n)])
             yield pa.RecordBatch.from_arrays(
@@ -153,8 +169,8 @@ def crc32_of_ids(ids: Column) -> Column:
     return udf(ids)
 
 
-def written_and_read(spark: SparkSession, documents: DataFrame, path: str) -> DataFrame:
+def written_and_read(spark: SparkSession, documents: DataFrame, path: str, added: bool = False) -> DataFrame:
     """Writes all documents in a fresh shared folder and returns each one's figures from the files."""
     folder = new_path(spark, "tokens")
-    write(documents, folder, path)
+    write(documents, folder, path, added=added)
     return read(spark, folder).select("doc_id", "start", F.size("tokens").cast("bigint").alias("n_tokens"), crc32_of_ids(F.col("tokens")).alias("ids_crc32"))

@@ -79,6 +79,19 @@ def test_token_files(spark, odd, odd_texts):
         start += len(own)
 
 
+def test_added_tokens_as_the_library_has_them(spark, tmp_path):
+    from paylake.llm.queries import op8_token_files
+
+    texts = ["x <|endoftext|> y", "<|endoftext|><|endoftext|>", "plain", "", " <|endoftext|", "it's<|endoftext|>'s 12 é", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    library, start = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0
+    for r in sorted(op8_token_files(spark, str(tmp_path)).collect(), key=lambda r: r.doc_id):
+        own = [*library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(own), zlib.crc32(np.array(own, "<i4").tobytes()))
+        start += len(own)
+
+
 def test_files_allow_selective_reads(spark, corpus, tmp_path):
     import pyarrow.parquet as pq
 
