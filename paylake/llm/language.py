@@ -26,6 +26,7 @@ ROUNDS = 3
 PIECE = 8  # letters of the longest piece
 LONGEST = 48  # letters of a word; a longer run of letters is taken in parts
 LEAST = 1e-7  # probability of a letter or piece that a language was never seen with
+LIFT = 2.0**11  # factor for each letter, near LEAST ** -0.5: LONGEST letters stay far from 0 and from infinity
 UNKNOWN = "und"
 
 
@@ -80,7 +81,11 @@ def _pieces(w: letters.Words, begin: np.ndarray, stop: np.ndarray, table: _Table
 
 
 def word_scores(w: letters.Words, begin: np.ndarray, stop: np.ndarray, table: _Table, p: np.ndarray) -> np.ndarray:
-    """Log-probability of each word in every language: (words, languages)."""
+    """Log-probability of each word in every language: (words, languages).
+
+    Every segmentation of a word has the same letters, so a factor for each letter is one factor of
+    the word, which is taken out again at the end.
+    """
     size = stop - begin
     order = np.argsort(-size, kind="stable")
     b, s = begin[order], stop[order]
@@ -88,12 +93,12 @@ def word_scores(w: letters.Words, begin: np.ndarray, stop: np.ndarray, table: _T
     forward[:, 0] = 1
     for live, at, n, piece in _pieces(w, b, s, table):
         if n == 1:
-            forward[:live, at] += forward[:live, at - 1] * p[piece]
+            forward[:live, at] += forward[:live, at - 1] * (p[piece] * LIFT)
         else:
             some = np.flatnonzero(piece != table.size - 1)
-            forward[some, at] += forward[some, at - n] * p[piece[some]]
+            forward[some, at] += forward[some, at - n] * (p[piece[some]] * LIFT**n)
     out = np.empty((len(b), p.shape[1]))
-    out[order] = np.log(forward[np.arange(len(b)), (s - b)])
+    out[order] = np.log(forward[np.arange(len(b)), (s - b)]) - ((s - b) * np.log(LIFT))[:, None]
     return out
 
 
@@ -106,13 +111,13 @@ def _expected(w: letters.Words, begin: np.ndarray, stop: np.ndarray, count: np.n
     forward = np.zeros((len(b), int(size.max()) + 1))
     forward[:, 0] = 1
     for live, at, n, piece in steps:
-        forward[:live, at] += forward[:live, at - n] * p[piece]
+        forward[:live, at] += forward[:live, at - n] * (p[piece] * LIFT**n)
     backward = np.zeros_like(forward)
     backward[np.arange(len(b)), size] = 1
     uses = np.zeros(table.size)
     share = count / forward[np.arange(len(b)), size]
     for live, at, n, piece in reversed(steps):
-        value = p[piece] * backward[:live, at]
+        value = p[piece] * LIFT**n * backward[:live, at]
         uses += np.bincount(piece, forward[:live, at - n] * value * share[:live], table.size)
         backward[:live, at - n] += value
     uses[-1] = 0

@@ -61,6 +61,18 @@ def test_expected_uses_are_those_of_all_segmentations():
     assert np.allclose(got, want)
 
 
+def test_long_runs_of_a_script_no_language_has(spark):
+    pairs = [("en", "the cat and the dog are in the house with this child"), ("de", "die katze und der hund sind mit dem kind in dem haus")]
+    train = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(pairs * 4)], "doc_id bigint, text string, lang string")
+    langs, p = language.learn(spark, train, PIECES)
+    run = "".join(chr(0x4E00 + 7 * i) for i in range(300))
+    texts = [run, run[:48], "the dog and this child " + run, run + " der hund und die katze"]
+    got = language.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), langs, p, PIECES).collect()
+    by_id = {r.doc_id: r for r in got}
+    assert all(0 <= r.score <= 1 for r in got)
+    assert by_id[2].lang_pred == "en" and by_id[3].lang_pred == "de"
+
+
 def test_languages_of_documents_not_learned_from(spark, larger):
     documents, _ = larger
     truth = {r.doc_id: r.lang for r in documents.collect()}
