@@ -5,12 +5,19 @@ its two nearest, so shards overlap and have a bounded size. In each shard a vect
 neighbours in different directions (robust pruning); the lists of a vector from all its shards are
 united. Every vector is then searched for, in each of its shards: a greedy walk with a beam from the
 medoid to its surroundings, then along every edge from what lies within the range. What is found
-is compared exactly. An audit by brute force over a bounded set of queries measures recall, and the
-shards are built again with more overlap where it is too low.
+is compared exactly.
+
+Division would part what links with nearly everything around it. While a large cluster is divided,
+balls of the threshold's radius that hold many of its vectors are taken out. What lies in a ball is
+compared, in pairs of blocks, with all that the triangle inequality allows it to link with: its links
+are counted exactly, and only those that connect are kept. An audit by brute force over a
+bounded set of queries measures the recall of the rest, and its shards are built again with more
+overlap where it is too low.
 """
 
 from __future__ import annotations
 
+import functools
 import logging
 from collections.abc import Iterator
 
@@ -18,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paylake.llm.components import components
 from paylake.llm.workers import ship
@@ -37,6 +44,8 @@ BEAM = 24
 SLACK = 0.06  # how far below the threshold the range search still goes on
 AUDIT = 200  # queries of the audit
 RECALL = 0.95
+BALL = 8  # sampled vectors that a ball holds at least
+BLOCKS = 32  # blocks of at most SHARD vectors; where more are needed they grow to 8 * SHARD first
 CHUNK = 256
 
 log = logging.getLogger(__name__)
@@ -66,17 +75,46 @@ def _centres(x: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
-def _fit(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("node")
-    c = _centres(units(group["embedding"]), int(group["parts"].iloc[0]))
-    return pd.DataFrame({"shard": [group["shard"].iloc[0]], "centres": [c.ravel()]})
+def _reach(least: float) -> float:
+    """Cosine with a ball's centre of whatever links with a vector in it: twice the angle, and rounding."""
+    return (2 * least * least - 1 if least > 0 else -1.0) - 1e-9
 
 
-def _assign(overlap: int):
-    """Members follow their cluster's centres in sorted rows; each goes to its nearest parts."""
+def balls(x: np.ndarray, least: float, need: float) -> np.ndarray:
+    """Centres of balls of the threshold's radius that hold ``need`` vectors or more, those with most first."""
+    c = (x @ x.T >= _reach(least)).astype(float) @ x
+    c /= np.maximum(np.sqrt((c * c).sum(1, keepdims=True)), 1e-9)
+    holds = (c @ x.T >= least).astype(float)
+    chosen, left = [], np.ones(len(x))
+    while True:
+        n = holds @ left
+        best = int(n.argmax())
+        if n[best] < need:
+            return c[chosen]
+        chosen.append(best)
+        left[holds[best] > 0] = 0
+
+
+def _fit(least: float | None, many: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("node")
+        x = units(group["embedding"])
+        c = _centres(x, int(group["parts"].iloc[0]))
+        dense = c[:0] if least is None else balls(x, least, max(BALL, len(x) * many / group["size"].iloc[0]))
+        return pd.DataFrame({"shard": [group["shard"].iloc[0]], "class": [group["class"].iloc[0]], "centres": [c.ravel()], "balls": [dense.ravel()]})
+
+    return run
+
+
+def _class() -> Column:
+    return F.xxhash64("label", F.size("embedding"))
+
+
+def _assign(overlap: int, least: float | None):
+    """Members follow their cluster's centres in sorted rows; each goes to its nearest parts, unless a ball holds it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, centres = None, None
+        now, centres, dense = None, None, None
         for batch in batches:
             shards = batch.column("shard").to_numpy()
             edges = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(shards)]
@@ -84,13 +122,16 @@ def _assign(overlap: int):
                 some = batch.slice(a, b - a)
                 heads = some.filter(pa.compute.equal(some.column("kind"), 0))
                 if len(heads):
-                    now, centres = shards[a], np.asarray(heads.column("centres")[0].as_py())
+                    now, centres, dense = shards[a], np.asarray(heads.column("centres")[0].as_py()), np.asarray(heads.column("balls")[0].as_py(), float)
                 rows = some.filter(pa.compute.equal(some.column("kind"), 1))
                 if not len(rows):
                     continue
                 assert now == shards[a]
                 nodes = rows.column("node").to_numpy()
                 x = units(rows.column("embedding").to_pylist())
+                if len(dense):
+                    out = (x @ dense.reshape(-1, x.shape[1]).T).max(1) < least + 1e-9
+                    nodes, x = nodes[out], x[out]
                 near = x @ centres.reshape(-1, x.shape[1]).T
                 k = min(overlap, near.shape[1])
                 part = np.argsort(-near, 1, kind="stable")[:, :k]
@@ -101,9 +142,12 @@ def _assign(overlap: int):
     return run
 
 
-def shards(classes: DataFrame, overlap: int) -> DataFrame:
-    """node, shard: every vector's shards, none of them above SHARD vectors."""
-    inside = stored(classes.select("node", F.xxhash64("label", F.size("embedding")).alias("shard")), "shards")
+def shards(classes: DataFrame, overlap: int, least: float | None = None, found: list[DataFrame] | None = None) -> DataFrame:
+    """node, shard: every vector's shards, none of them above SHARD vectors.
+
+    With ``least``, the balls met (class, balls) are added to ``found``, and what they hold is not divided further.
+    """
+    inside = stored(classes.select("node", _class().alias("shard")), "shards")
     done = None
     for _ in range(DEPTH):
         size = inside.groupBy("shard").agg(F.count("*").alias("size"))
@@ -113,15 +157,18 @@ def shards(classes: DataFrame, overlap: int) -> DataFrame:
         large = large.select(F.col("shard").alias("s"), "size", F.least(F.lit(CHILDREN), F.ceil(F.col("size") * 2 / SHARD)).cast("int").alias("parts"), F.ceil(F.col("size") / SALT).alias("salts"))
         small = inside.join(large, F.col("shard") == F.col("s"), "left_anti")
         done = small if done is None else done.union(small)
-        rest = inside.join(large, F.col("shard") == F.col("s")).join(classes.select(F.col("node").alias("n"), "embedding"), F.col("node") == F.col("n"))
-        rest = stored(rest.select("node", "shard", "parts", "salts", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"), "embedding"), "rest")
+        rest = inside.join(large, F.col("shard") == F.col("s")).join(classes.select(F.col("node").alias("n"), "embedding", _class().alias("class")), F.col("node") == F.col("n"))
+        rest = stored(rest.select("node", "shard", "class", "size", "parts", "salts", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"), "embedding"), "rest")
         nth = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("node", "shard"), "node"))
-        sample = rest.withColumn("nth", nth).where(F.col("nth") <= SAMPLE).select("shard", "node", "embedding", "parts")
-        centres = sample.groupBy("shard").applyInPandas(_fit, "shard bigint, centres array<double>")
-        heads = centres.join(large, F.col("shard") == F.col("s")).select("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("node"), F.lit(None).cast(rest.schema["embedding"].dataType).alias("embedding"), "centres")
-        members = rest.select("shard", "salt", F.lit(1).alias("kind"), "node", "embedding", F.lit(None).cast("array<double>").alias("centres"))
+        sample = rest.withColumn("nth", nth).where(F.col("nth") <= SAMPLE).select("shard", "class", "size", "node", "embedding", "parts")
+        fitted = sample.groupBy("shard").applyInPandas(_fit(least, SHARD // 2), "shard bigint, class bigint, centres array<double>, balls array<double>")
+        centres = stored(fitted, "centres")
+        if found is not None:
+            found.append(centres.where(F.size("balls") > 0).select("class", "balls"))
+        heads = centres.join(large, F.col("shard") == F.col("s")).select("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("node"), F.lit(None).cast(rest.schema["embedding"].dataType).alias("embedding"), "centres", "balls")
+        members = rest.select("shard", "salt", F.lit(1).alias("kind"), "node", "embedding", F.lit(None).cast("array<double>").alias("centres"), F.lit(None).cast("array<double>").alias("balls"))
         rows = heads.unionByName(members).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
-        dealt = rows.drop("salt").mapInArrow(_assign(overlap), "node bigint, parent bigint, part bigint")
+        dealt = rows.drop("salt").mapInArrow(_assign(overlap, least), "node bigint, parent bigint, part bigint")
         inside = stored(dealt.select("node", F.xxhash64("parent", "part").alias("shard")).distinct(), "shards")
     size = inside.groupBy(F.col("shard").alias("s")).agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") * 2 / SHARD)
@@ -246,9 +293,112 @@ def _find(least: float):
     return run
 
 
-def _links(classes: DataFrame, least: float, overlap: int) -> DataFrame:
+def _near(least: float):
+    """Balls of each member, in sorted rows behind its class's centres: the one that holds it (0), those it may link into (1, or 2 if one holds it)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, centres = None, None
+        for batch in batches:
+            of = batch.column("class").to_numpy()
+            edges = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            for a, b in zip(edges, edges[1:]):
+                some = batch.slice(a, b - a)
+                heads = some.filter(pa.compute.equal(some.column("kind"), 0))
+                if len(heads):
+                    now, centres = of[a], np.asarray(heads.column("centres")[0].as_py())
+                rows = some.filter(pa.compute.equal(some.column("kind"), 1))
+                if not len(rows):
+                    continue
+                assert now == of[a]
+                x = units(rows.column("embedding").to_pylist())
+                like = x @ centres.reshape(-1, x.shape[1]).T
+                best = like.argmax(1)
+                held = like[np.arange(len(x)), best] >= least
+                i, ball = np.nonzero(like >= _reach(least))
+                kind = np.where(held[i], np.where(ball == best[i], 0, 2), 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows.column("node").to_numpy()[i]), pa.array(np.full(len(i), of[a])), pa.array(ball), pa.array(kind)], ["node", "class", "ball", "kind"])
+
+    return run
+
+
+def held(classes: DataFrame, found: list[DataFrame], least: float) -> DataFrame | None:
+    """node, unit, kind: the balls around every vector; None if there are no balls."""
+    met = functools.reduce(DataFrame.union, found) if found else None
+    if met is None or met.isEmpty():
+        return None
+    size = classes.groupBy(_class().alias("c")).agg(F.ceil(F.count("*") / SALT).alias("salts"))
+    met = met.groupBy("class").agg(F.flatten(F.collect_list("balls")).alias("centres"))
+    heads = stored(met.join(size, F.col("class") == F.col("c")).select("class", "salts", "centres"), "balls")
+    rows = classes.select("node", _class().alias("c"), "embedding").join(heads.select("class", "salts"), F.col("c") == F.col("class"))
+    members = rows.select("class", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"), F.lit(1).alias("kind"), "node", "embedding", F.lit(None).cast("array<double>").alias("centres"))
+    first = heads.select("class", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("node"), F.lit(None).cast(classes.schema["embedding"].dataType).alias("embedding"), "centres")
+    dealt = first.unionByName(members).repartition("class", "salt").sortWithinPartitions("class", "salt", "kind")
+    near = dealt.drop("salt").mapInArrow(_near(least), "node bigint, class bigint, ball bigint, kind bigint")
+    return stored(near.select("node", F.xxhash64("class", "ball").alias("unit"), "kind"), "held")
+
+
+def count_links(x: np.ndarray, left: np.ndarray, right: np.ndarray, kind: np.ndarray, copies: np.ndarray, least: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links of each vector between two blocks, or inside one, and some links that connect all that link.
+
+    Vectors of kind 0 count all their links, of kind 1 those with kind 0, of kind 2 none.
+    """
+    same, n, edges = left is right, np.zeros(len(x)), []
+    root, own = np.arange(len(x)), copies * (kind == 0)
+
+    def counted(i: np.ndarray, links: np.ndarray, j: np.ndarray) -> np.ndarray:
+        both = links @ np.stack([copies[j], own[j]], 1)
+        return np.where(kind[i] == 0, both[:, 0], np.where(kind[i] == 1, both[:, 1], 0))
+
+    for a in range(0, len(left), CHUNK):
+        some = left[a:a + CHUNK]
+        like = x[some] @ x[right].T >= least
+        if same:
+            like[np.arange(len(some)), np.arange(a, a + len(some))] = False
+        links = like.astype(float)
+        n[some] += counted(some, links, right)
+        if not same:
+            n[right] += counted(right, links.T, some)
+        for r in np.flatnonzero((like & (root[right] != root[some][:, None])).any(1)).tolist():
+            to = right[like[r]]
+            names, first = np.unique(root[to], return_index=True)
+            new = names != root[some[r]]
+            if new.any():
+                edges += [(int(some[r]), j) for j in to[first[new]].tolist()]
+                root[np.isin(root, names[new])] = root[some[r]]
+    return n, edges
+
+
+def _blocks(least: float):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        nodes, block = group["node"].to_numpy(), group["mine"].to_numpy()
+        left = np.flatnonzero(block == group["lo"].iloc[0])
+        right = left if group["lo"].iloc[0] == group["hi"].iloc[0] else np.flatnonzero(block == group["hi"].iloc[0])
+        n, edges = count_links(units(group["embedding"]), left, right, group["kind"].to_numpy(), group["copies"].to_numpy().astype(float), least)
+        some = np.flatnonzero(n)
+        a, b = np.array(edges, np.int64).reshape(-1, 2).T
+        return pd.DataFrame({
+            "node": np.concatenate([nodes[some], nodes[a]]), "n": np.concatenate([n[some].astype(np.int64), np.zeros(len(a), np.int64)]),
+            "to": pd.array([*[None] * len(some), *nodes[b].tolist()], "Int64")})
+
+    return run
+
+
+def exact_links(classes: DataFrame, of: DataFrame, least: float) -> DataFrame:
+    """node, n, to: how many links a vector has in pairs of blocks of its units, and links that connect (to)."""
+    size = of.groupBy(F.col("unit").alias("u")).agg(F.count("*").alias("size"))
+    blocks = size.select("u", F.greatest(F.least(F.ceil(F.col("size") / SHARD), F.lit(BLOCKS)), F.ceil(F.col("size") / (8 * SHARD))).alias("blocks"))
+    dealt = (
+        of.join(blocks, F.col("unit") == F.col("u")).withColumn("mine", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")))
+        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        .select("node", "unit", "kind", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi")))
+    filled = dealt.join(classes.select(F.col("node").alias("m"), "copies", "embedding"), F.col("node") == F.col("m")).drop("m")
+    return stored(filled.groupBy("unit", "lo", "hi").applyInPandas(_blocks(least), "node bigint, n bigint, to bigint"), "exact")
+
+
+def _links(classes: DataFrame, least: float, overlap: int, placed: DataFrame | None = None) -> DataFrame:
     vectors = classes.select(F.col("node").alias("n"), "embedding")
-    placed = stored(shards(classes, overlap).distinct(), "placed")
+    placed = stored(shards(classes, overlap).distinct(), "placed") if placed is None else placed
     filled = placed.join(vectors, F.col("node") == F.col("n")).select("shard", "node", "embedding")
     lists = filled.groupBy("shard").applyInPandas(_build, "node bigint, near array<bigint>")
     union = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
@@ -302,15 +452,24 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.98) -> DataFrame:
     extra = single.where("nth > 1")
     classes = single.where("nth = 1").drop("nth") if extra.isEmpty() else single.select(
         "label", "embedding", F.when(F.col("nth") == 1, F.col("node")).otherwise(F.xxhash64("node", "label", "embedding")).alias("node"), "copies", F.col("node").alias("vec_id"))
+    found: list[DataFrame] = []
+    placed = stored(shards(classes, OVERLAP, least, found).distinct(), "placed")
+    around = held(classes, found, least)
+    loose = classes if around is None else stored(classes.join(around.where("kind = 0").select("node"), "node", "left_anti"), "loose")
     for overlap in (OVERLAP, OVERLAP + 2):
-        pairs = _links(classes, least, overlap)
-        recall = _audited(classes, pairs, least)
+        pairs = _links(loose, least, overlap, placed if overlap == OVERLAP else None)
+        recall = _audited(loose, pairs, least)
         log.info("recall of the audit %.4f with overlap %d", recall, overlap)
         if recall >= RECALL:
             break
+    counted = None if around is None else exact_links(classes, around, least)
     ends = pairs.select(F.col("a").alias("from"), F.col("b").alias("to")).union(pairs.select("b", "a"))
     copies = classes.select(F.col("node").alias("n"), "copies")
-    degree = ends.join(copies, F.col("to") == F.col("n")).groupBy("from").agg(F.sum("copies").alias("others"))
+    degree = ends.join(copies, F.col("to") == F.col("n")).select("from", "copies")
+    if counted is not None:
+        degree = degree.union(counted.where("to is null").select("node", "n"))
+        pairs = pairs.union(counted.where("to is not null").select("node", "to"))
+    degree = degree.groupBy("from").agg(F.sum("copies").alias("others"))
     named = F.col("vec_id") if "vec_id" in classes.columns else F.col("node")
     of = classes.select("label", "embedding", "node", "copies", named.alias("first"))
     joined = stored(usable.join(of, ["label", "embedding"]).select("vec_id", "node", "first", "copies"), "joined")

@@ -211,6 +211,35 @@ def test_repeated_and_empty_vectors(spark):
     assert vectors.near_duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+def brute_links(x, least=0.98):
+    """Degree and smallest reachable number of each vector."""
+    x = x.astype(np.float64)
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    like = x @ x.T >= least
+    np.fill_diagonal(like, False)
+    first, seen = np.full(len(x), -1), np.zeros(len(x), bool)
+    for i in range(len(x)):
+        front = np.array([i]) if not seen[i] else []
+        while len(front):
+            seen[front], first[front] = True, i
+            front = np.flatnonzero(like[front].any(0) & ~seen)
+    return like.sum(1), first
+
+
+@pytest.mark.parametrize("n,noise", [(3_000, 0.1), (10_000, 0.1), (3_000, 0.19)])
+def test_dense_groups_keep_their_links(spark, n, noise):
+    rng = np.random.default_rng(n)
+    dense = rng.normal(size=64) + noise * rng.normal(size=(n, 64))
+    x = np.concatenate([dense, rng.normal(size=(800, 64))])
+    x[-200:] = x[-400:-200] + 0.05 * rng.normal(size=(200, 64))
+    x = x[rng.permutation(len(x))].astype(np.float32)
+    degree, first = brute_links(x)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>, label int")
+    got = sorted(vectors.near_duplicates(df).collect(), key=lambda r: r.vec_id)
+    assert [r.n_links for r in got] == degree.tolist()
+    assert [r.component_id for r in got] == first.tolist()
+
+
 def test_audit_measures_recall(spark):
     rows = vectors_table(spark, np.random.default_rng(9), 80)
     classes = spark.createDataFrame([(i, v, label, 1) for i, v, label in rows], "node bigint, embedding array<float>, label int, copies bigint")
