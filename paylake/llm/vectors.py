@@ -11,8 +11,8 @@ Division would part what links with nearly everything around it. While a large c
 balls of the threshold's radius that hold many of its vectors are taken out. What lies in a ball is
 compared, in pairs of blocks, with all that the triangle inequality allows it to link with: its links
 are counted exactly, and only those that connect are kept. An audit by brute force over a
-bounded set of queries measures the recall of the rest, and its shards are built again with more
-overlap where it is too low.
+bounded set of queries measures the recall of the rest; a label it finds too low
+is compared exactly, in pairs of blocks, as a whole.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ ALPHA = 1.2
 BEAM = 24
 SLACK = 0.06  # how far below the threshold the range search still goes on
 AUDIT = 200  # queries of the audit
+ENOUGH = 20  # links of a label from which its own recall counts
 RECALL = 0.95
 BALL = 8  # sampled vectors that a ball holds at least
 BLOCKS = 32  # blocks of at most SHARD vectors; where more are needed they grow to 8 * SHARD first
@@ -154,7 +155,7 @@ def shards(classes: DataFrame, overlap: int, least: float | None = None, found:
         large = stored(size.where(F.col("size") > SHARD), "large")
         if large.isEmpty():
             break
-        large = large.select(F.col("shard").alias("s"), "size", F.least(F.lit(CHILDREN), F.ceil(F.col("size") * 2 / SHARD)).cast("int").alias("parts"), F.ceil(F.col("size") / SALT).alias("salts"))
+        large = large.select(F.col("shard").alias("s"), "size", F.least(F.lit(CHILDREN), F.ceil(F.col("size") * overlap / SHARD)).cast("int").alias("parts"), F.ceil(F.col("size") / SALT).alias("salts"))
         small = inside.join(large, F.col("shard") == F.col("s"), "left_anti")
         done = small if done is None else done.union(small)
         rest = inside.join(large, F.col("shard") == F.col("s")).join(classes.select(F.col("node").alias("n"), "embedding", _class().alias("class")), F.col("node") == F.col("n"))
@@ -406,28 +407,51 @@ def _links(classes: DataFrame, least: float, overlap: int, placed: DataFrame | N
     return stored(whole.groupBy("shard").applyInPandas(_find(least), "a bigint, b bigint").distinct(), "pairs")
 
 
-def _audited(classes: DataFrame, pairs: DataFrame, least: float) -> float:
-    """Share of the links of a bounded set of vectors, by brute force over all, that the search found."""
-    some = classes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(AUDIT).select("node", "label", "embedding").toPandas()
-    queries = {}
-    for key, g in some.groupby([some["label"], some["embedding"].map(len)]):
-        queries[key] = (g["node"].to_numpy(), units(g["embedding"]))
+def _brute(classes: DataFrame, least: float, count: int) -> tuple[DataFrame, bool]:
+    """Links (q, class, a, b) of ``count`` vectors, classes taking turns, by brute force; whether these were all."""
+    order = [F.xxhash64("node", F.lit(1)), F.col("node")]
+    ranked = classes.select("node", "embedding", _class().alias("class"))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("class").orderBy(*order))).where(F.col("rank") <= count)
+    some = ranked.orderBy("rank", *order).limit(count).toPandas()
+    queries = {key: (g["node"].to_numpy(), units(g["embedding"])) for key, g in some.groupby("class")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, found = batch.to_pandas(), [np.zeros((2, 0), np.int64)]
-            for key, g in rows.groupby([rows["label"], rows["embedding"].map(len)]) if len(rows) else ():
-                if key in queries:
-                    nodes, x = queries[key]
-                    i, j = np.nonzero(x @ units(g["embedding"]).T >= least)
-                    found.append(np.stack([nodes[i], g["node"].to_numpy()[j]]))
-            both = np.concatenate(found, 1)
-            both = both[:, both[0] != both[1]]
-            yield pa.RecordBatch.from_arrays([pa.array(both.min(0)), pa.array(both.max(0))], ["a", "b"])
+            rows = batch.to_pandas()
+            for key, g in rows.groupby("class") if len(rows) else ():
+                if key not in queries:
+                    continue
+                (nodes, x), other = queries[key], g["node"].to_numpy()
+                i, j = np.nonzero(x @ units(g["embedding"]).T >= least)
+                q, o = nodes[i], other[j]
+                q, o = q[q != o], o[q != o]
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(np.full(len(q), key)), pa.array(np.minimum(q, o)), pa.array(np.maximum(q, o))], ["q", "class", "a", "b"])
+
+    true = classes.select("node", _class().alias("class"), "embedding").mapInArrow(run, "q bigint, class bigint, a bigint, b bigint")
+    return stored(true, "true"), len(some) < count
+
+
+def _audit(classes: DataFrame, pairs: DataFrame, least: float) -> dict[int, tuple[int, int]]:
+    """Of the vectors drawn: links of each class, and how many of them the search found."""
+    true, _ = _brute(classes, least, AUDIT)
+    hits = true.select("class", "a", "b").distinct().join(pairs.select("a", "b").withColumn("hit", F.lit(1)), ["a", "b"], "left")
+    return {r[0]: (r[1], r[2]) for r in hits.groupBy("class").agg(F.count("*"), F.count("hit")).collect()}
+
 
-    true = classes.select("node", "label", "embedding").mapInArrow(run, "a bigint, b bigint").distinct()
-    n, hit = true.join(pairs.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*"), F.count("hit")).first()
-    return hit / n if n else 1.0
+def _share(audit: dict[int, tuple[int, int]]) -> float:
+    """Recall over all classes."""
+    n = sum(a for a, _ in audit.values())
+    return sum(h for _, h in audit.values()) / n if n else 1.0
+
+
+def _audited(classes: DataFrame, pairs: DataFrame, least: float) -> float:
+    return _share(_audit(classes, pairs, least))
+
+
+def _missed(audit: dict[int, tuple[int, int]]) -> list[int]:
+    """Classes whose recall is too low, by few links only where that of all is."""
+    low = _share(audit) < RECALL
+    return [c for c, (n, hit) in audit.items() if hit < RECALL * n and (low or n >= ENOUGH)]
 
 
 def near_duplicates(embeddings: DataFrame, least: float = 0.98) -> DataFrame:
@@ -456,12 +480,14 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.98) -> DataFrame:
     placed = stored(shards(classes, OVERLAP, least, found).distinct(), "placed")
     around = held(classes, found, least)
     loose = classes if around is None else stored(classes.join(around.where("kind = 0").select("node"), "node", "left_anti"), "loose")
-    for overlap in (OVERLAP, OVERLAP + 2):
-        pairs = _links(loose, least, overlap, placed if overlap == OVERLAP else None)
-        recall = _audited(loose, pairs, least)
-        log.info("recall of the audit %.4f with overlap %d", recall, overlap)
-        if recall >= RECALL:
-            break
+    pairs = _links(loose, least, OVERLAP, placed)
+    audit = _audit(loose, pairs, least)
+    missed = _missed(audit)
+    log.info("recall of the audit %s, %d labels compared exactly", f"{_share(audit):.4f}", len(missed))
+    if missed:
+        whole = loose.where(_class().isin(missed)).select("node", _class().alias("unit"), F.lit(0).cast("bigint").alias("kind"))
+        pairs = pairs.join(whole.select(F.col("node").alias("a")), "a", "left_anti").select("a", "b")
+        around = whole if around is None else around.unionByName(whole)
     counted = None if around is None else exact_links(classes, around, least)
     ends = pairs.select(F.col("a").alias("from"), F.col("b").alias("to")).union(pairs.select("b", "a"))
     copies = classes.select(F.col("node").alias("n"), "copies")

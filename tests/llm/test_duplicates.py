@@ -240,6 +240,15 @@ def test_dense_groups_keep_their_links(spark, n, noise):
     assert [r.component_id for r in got] == first.tolist()
 
 
+def test_labels_that_the_audit_finds_low_are_compared_exactly(spark, monkeypatch):
+    rows = vectors_table(spark, np.random.default_rng(5), 300)
+    true = vectors._links
+    monkeypatch.setattr(vectors, "SHARD", 60)
+    monkeypatch.setattr(vectors, "_links", lambda *a: true(*a).limit(0))
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == brute_vectors(rows)
+
+
 def test_audit_measures_recall(spark):
     rows = vectors_table(spark, np.random.default_rng(9), 80)
     classes = spark.createDataFrame([(i, v, label, 1) for i, v, label in rows], "node bigint, embedding array<float>, label int, copies bigint")
