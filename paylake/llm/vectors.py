@@ -10,8 +10,8 @@ is compared exactly.
 Division would part what links with nearly everything around it. While a large cluster is divided,
 balls of the threshold's radius that hold many of its vectors are taken out. What lies in a ball is
 compared, in pairs of blocks, with all that the triangle inequality allows it to link with: its links
-are counted exactly, and only those that connect are kept. An audit by brute force over a
-bounded set of queries measures the recall of the rest; a label it finds too low
+are counted exactly, and only those that connect are kept. An audit by brute force over queries,
+drawn until enough of them have links, measures the recall of the rest; a label it finds too low
 is compared exactly, in pairs of blocks, as a whole.
 """
 
@@ -42,7 +42,9 @@ DEGREE = 20  # neighbours after pruning
 ALPHA = 1.2
 BEAM = 24
 SLACK = 0.06  # how far below the threshold the range search still goes on
-AUDIT = 200  # queries of the audit
+AUDIT = 200  # queries that the audit begins with
+LINKED = 50  # queries with links that the audit wants to see
+MOST = 12_800  # queries that the audit ends with, if it sees fewer
 ENOUGH = 20  # links of a label from which its own recall counts
 RECALL = 0.95
 BALL = 8  # sampled vectors that a ball holds at least
@@ -432,16 +434,24 @@ def _brute(classes: DataFrame, least: float, count: int) -> tuple[DataFrame, boo
 
 
 def _audit(classes: DataFrame, pairs: DataFrame, least: float) -> dict[int, tuple[int, int]]:
-    """Of the vectors drawn: links of each class, and how many of them the search found."""
-    true, _ = _brute(classes, least, AUDIT)
+    """Of the vectors drawn: links of each class, and how many of them the search found.
+
+    More vectors are drawn until LINKED of them have links, all are drawn, or MOST are.
+    """
+    count = AUDIT
+    while True:
+        true, ended = _brute(classes, least, count)
+        if ended or count >= MOST or true.select("q").distinct().count() >= LINKED:
+            break
+        count *= 4
     hits = true.select("class", "a", "b").distinct().join(pairs.select("a", "b").withColumn("hit", F.lit(1)), ["a", "b"], "left")
     return {r[0]: (r[1], r[2]) for r in hits.groupBy("class").agg(F.count("*"), F.count("hit")).collect()}
 
 
 def _share(audit: dict[int, tuple[int, int]]) -> float:
-    """Recall over all classes."""
+    """Recall over all classes; not a number where no link was seen, which measures nothing."""
     n = sum(a for a, _ in audit.values())
-    return sum(h for _, h in audit.values()) / n if n else 1.0
+    return sum(h for _, h in audit.values()) / n if n else float("nan")
 
 
 def _audited(classes: DataFrame, pairs: DataFrame, least: float) -> float:
@@ -483,7 +493,7 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.98) -> DataFrame:
     pairs = _links(loose, least, OVERLAP, placed)
     audit = _audit(loose, pairs, least)
     missed = _missed(audit)
-    log.info("recall of the audit %s, %d labels compared exactly", f"{_share(audit):.4f}", len(missed))
+    log.info("recall of the audit %s, %d labels compared exactly", f"{_share(audit):.4f}" if audit else "not measured: no link seen", len(missed))
     if missed:
         whole = loose.where(_class().isin(missed)).select("node", _class().alias("unit"), F.lit(0).cast("bigint").alias("kind"))
         pairs = pairs.join(whole.select(F.col("node").alias("a")), "a", "left_anti").select("a", "b")

@@ -249,6 +249,16 @@ def test_labels_that_the_audit_finds_low_are_compared_exactly(spark, monkeypatch
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == brute_vectors(rows)
 
 
+def test_audit_draws_until_it_sees_links(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3_000, 16))
+    x[-20:] = x[-40:-20] * 2 + 0.001
+    classes = spark.createDataFrame([(i, v.tolist(), 1, 1) for i, v in enumerate(x)], "node bigint, embedding array<double>, label int, copies bigint")
+    none = spark.createDataFrame([], "a bigint, b bigint")
+    assert sum(n for n, _ in vectors._audit(classes, none, 0.98).values()) == 20
+    assert np.isnan(vectors._audited(classes.limit(1), none, 0.98))
+
+
 def test_audit_measures_recall(spark):
     rows = vectors_table(spark, np.random.default_rng(9), 80)
     classes = spark.createDataFrame([(i, v, label, 1) for i, v, label in rows], "node bigint, embedding array<float>, label int, copies bigint")
