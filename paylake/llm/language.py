@@ -23,16 +23,16 @@ from paylake.operators.scratch import stored
 
 SAMPLE = 2_000  # labelled documents of each language that the probabilities are learned from
 ROUNDS = 3
-PIECE = 8  # letters of the longest piece
 LONGEST = 48  # letters of a word; a longer run of letters is taken in parts
+PIECE = LONGEST  # letters that a piece may have: any that fits in a word
 LEAST = 1e-7  # probability of a letter or piece that a language was never seen with
 LIFT = 2.0**11  # factor for each letter, near LEAST ** -0.5: LONGEST letters stay far from 0 and from infinity
 UNKNOWN = "und"
 
 
 @functools.cache
-def vocabulary(path: str) -> np.ndarray:
-    """Sorted hashes of the vocabulary's pieces of letters, in lower case, without the word mark."""
+def vocabulary(path: str) -> tuple[np.ndarray, int]:
+    """Sorted hashes of the vocabulary's pieces of letters, in lower case, without the word mark; letters of the longest."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -41,7 +41,7 @@ def vocabulary(path: str) -> np.ndarray:
     found = []
     for w in letters.words(pieces):
         found.append(w.hashes(np.concatenate([[0], w.stops[:-1] + 1]), w.stops))
-    return np.unique(np.concatenate(found))
+    return np.unique(np.concatenate(found)), max(map(len, pieces))
 
 
 class _Table:
@@ -50,7 +50,7 @@ class _Table:
     SINGLES = 4096  # single letters share numbers by hash
 
     def __init__(self, path: str):
-        self.hashes = vocabulary(path)
+        self.hashes, self.longest = vocabulary(path)
         self.size = len(self.hashes) + self.SINGLES + 1
         bits = 18
         self.shift = np.uint64(64 - bits)
@@ -75,7 +75,7 @@ def _pieces(w: letters.Words, begin: np.ndarray, stop: np.ndarray, table: _Table
     size = stop - begin
     for at in range(1, int(size[0]) + 1 if len(size) else 0):
         live = int(np.searchsorted(-size, -at, "right"))
-        for n in range(1, min(PIECE, at) + 1):
+        for n in range(1, min(table.longest, at) + 1):
             a = begin[:live] + at - n
             yield live, at, n, table.numbers(w.hashes(a, a + n), n == 1)
 

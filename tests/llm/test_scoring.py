@@ -61,6 +61,20 @@ def test_expected_uses_are_those_of_all_segmentations():
     assert np.allclose(got, want)
 
 
+def test_pieces_of_any_length_count():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    pieces = {model.id_to_piece(i).replace("▁", "").lower() for i in range(model.get_piece_size())}
+    longest = max((p for p in pieces if p.isalpha()), key=len)
+    table, w = language._table(PIECES), next(letters.words([longest]))
+    piece = table.numbers(w.hashes(w.begin, w.stop), False)
+    p = np.zeros((table.size, 1))
+    p[piece] = 0.25
+    assert len(longest) > 8 and piece[0] != table.size - 1
+    assert np.isclose(language.word_scores(w, w.begin, w.stop, table, p)[0, 0], np.log(0.25))
+
+
 def test_long_runs_of_a_script_no_language_has(spark):
     pairs = [("en", "the cat and the dog are in the house with this child"), ("de", "die katze und der hund sind mit dem kind in dem haus")]
     train = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(pairs * 4)], "doc_id bigint, text string, lang string")
