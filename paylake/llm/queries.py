@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, quality, secrets, token_files, toxicity, vectors
+from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, quality, secrets, token_counts, token_files, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,10 +57,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), jaccard.Similarity(words=4, percent=85))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Query]:
     operators = (
         op1_byte_bpe, op2_secret_scan, op3_quality, op4_exact_dedup, op5_mixing, op6_toxicity, op7_embedding_dedup, op8_token_files, op9_language_id,
-        op10_jaccard_join)
+        op10_jaccard_join, op11_token_counts)
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
