@@ -150,3 +150,80 @@ select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_acc
        sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
 from docs left join told using (r)
 """
+
+# A row's score is floor(256 * x) multiplied out; labels of every seventh row move on by one.
+NEGATIVES = """
+with rows as (
+    select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scores as (
+    select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id, cast(list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) as bigint) as score
+    from rows a join rows b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where a.vec_id % 50 = 0),
+positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, row_number() over w as rank, s.vec_id as negative_id, positive_score, s.score as negative_score
+from positives p join scores s on s.anchor_id = p.anchor_id and not s.same
+where 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+window w as (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)
+qualify row_number() over w <= 3
+"""
+
+
+def _field(value: str) -> str:
+    return f"case when {value} is null then '-' else strlen(cast({value} as varchar)) || ':' || {value} end"
+
+
+_REST = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _grown(name: str, base: str, group: str) -> str:
+    """A recursive tree over rows of ``base`` with pos and n, and the siblings of each of its nodes."""
+    return f"""
+{name}(level, {group}, pos, h, n) as (
+    select 0, {group}, pos, h, n from {base}
+    union all
+    select level + 1, {group}, pos // 8, sha256(string_agg(h, '' order by pos)), (n + 7) // 8 from {name} where n > 1
+    group by level, {group}, pos // 8, n),
+{name}_siblings as (
+    select level, {group}, pos,
+           coalesce(string_agg(h, '') over (w rows between unbounded preceding and 1 preceding), '') as l,
+           coalesce(string_agg(h, '') over (w rows between 1 following and unbounded following), '') as r
+    from {name} where n > 1 window w as (partition by level, {group}, pos // 8 order by pos))"""
+
+
+MERKLE = f"""
+with recursive crc as (
+    select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as t),
+leaves as (
+    select doc_id, lang, sha256({_REST} || {_field("text")}) as h,
+           case when xor(list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint)),
+                                     lambda c, b: xor(c >> 8, t[cast(xor(c, b) & 255 as bigint) + 1]), 4294967295), 4294967295) % 3 = 0
+                then sha256({_REST} || {_field(_LOWERED)}) end as tampered
+    from documents, crc),
+placed as (
+    select *, row_number() over (partition by lang order by doc_id nulls first, h) - 1 as pos, count(*) over (partition by lang) as n from leaves),
+{_grown("tree", "placed", "lang")},
+subroots as (
+    select 0 as one, lang, h, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from tree where n = 1),
+{_grown("forest", "subroots", "one")},
+path as (
+    select p.doc_id, p.lang, p.pos, s.level, s.l, s.r from placed p join tree_siblings s on s.lang is not distinct from p.lang and s.pos = p.pos // cast(pow(8, s.level) as bigint)
+    union all
+    select p.doc_id, p.lang, p.pos, 100 + s.level, s.l, s.r from placed p join subroots b on b.lang is not distinct from p.lang
+    join forest_siblings s on s.pos = b.pos // cast(pow(8, s.level) as bigint)),
+steps as (select *, row_number() over (partition by lang, pos order by level) as step from path),
+folded(lang, pos, step, h) as (
+    select lang, pos, 0, coalesce(tampered, h) from placed
+    union all
+    select f.lang, f.pos, f.step + 1, sha256(s.l || f.h || s.r) from folded f join steps s on s.lang is not distinct from f.lang and s.pos = f.pos and s.step = f.step + 1),
+ends as (select lang, pos, arg_max(h, step) as folded_root from folded group by lang, pos),
+proved as (select lang, pos, sha256(string_agg(l || r, '' order by step)) as proof_sha256 from steps group by lang, pos)
+select p.doc_id, p.h as leaf, b.h as subroot, f.h as root, coalesce(v.proof_sha256, sha256('')) as proof_sha256, e.folded_root, e.folded_root = f.h as verified
+from placed p join subroots b on b.lang is not distinct from p.lang join forest f on f.n = 1
+join ends e on e.lang is not distinct from p.lang and e.pos = p.pos
+left join proved v on v.lang is not distinct from p.lang and v.pos = p.pos
+"""

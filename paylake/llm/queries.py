@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from paylake.llm import bpe, exact, jaccard, language, mixing, oracle, quality, secrets, token_counts, token_files, toxicity, vectors
+from paylake.llm import bpe, exact, jaccard, language, merkle, mixing, negatives, oracle, quality, secrets, token_counts, token_files, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,14 +61,23 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     operators = (
         op1_byte_bpe, op2_secret_scan, op3_quality, op4_exact_dedup, op5_mixing, op6_toxicity, op7_embedding_dedup, op8_token_files, op9_language_id,
-        op10_jaccard_join, op11_token_counts)
+        op10_jaccard_join, op11_token_counts, op12_hard_negatives, op13_merkle_manifest)
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_secret_scan": oracle.SECRETS, "op4_exact_dedup": oracle.EXACT, "op5_mixing": oracle.MIXING,
-        "op7_embedding_dedup": oracle.EMBEDDINGS, "op10_jaccard_join": oracle.JACCARD}
+        "op7_embedding_dedup": oracle.EMBEDDINGS, "op10_jaccard_join": oracle.JACCARD,
+        "op12_hard_negatives": oracle.NEGATIVES, "op13_merkle_manifest": oracle.MERKLE}
