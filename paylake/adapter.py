@@ -53,24 +53,30 @@ rows0 as (
 )
 select txn_id, upi_ref, sender_vpa, receiver_vpa, amount, currency, status, txn_timestamp, device_type, device_id, ip_address, city, remarks, ingested_at, _source_date, _source from rows0
 union all
-select txn_id, upi_ref, sender_vpa, receiver_vpa, amount, currency, 'SUCCESS', txn_timestamp + interval 1 hour, device_type, device_id, ip_address, city, 'late copy', ingested_at, _source_date, 'api' from rows0 where event_id % 50 = 0
+select case event_id % 150 when 0 then ' ' || txn_id when 50 then txn_id || '  ' else txn_id end, upi_ref, sender_vpa, receiver_vpa, amount, currency, 'SUCCESS', txn_timestamp + interval 1 hour, device_type, device_id, ip_address, city, 'late copy', ingested_at, _source_date, 'api' from rows0 where event_id % 50 = 0
 union all
 select txn_id, upi_ref, sender_vpa, receiver_vpa, amount, currency, status, nullif(txn_timestamp, txn_timestamp), device_type, device_id, ip_address, city, 'null ts copy', ingested_at, _source_date, _source from rows0 where event_id % 251 = 0
 """
 
-# Landing rows as text, as a feed delivers them; some break a limit of the raw table.
+# Landing rows as text, as a feed delivers them; some break each limit and type of the raw table.
 LANDING_FROM_RAW = """
 select
   case when amount is null and _source = 'csv' then txn_id || '-' || txn_id || '-' || txn_id || '-0123456789012345678901234567890' else txn_id end as txn_id,
-  upi_ref, sender_vpa, receiver_vpa,
+  case device_id when 'dev7' then repeat('U', 51) when 'dev8' then repeat('U', 50) else upi_ref end as upi_ref,
+  case device_id when 'dev11' then repeat('s', 101) else sender_vpa end as sender_vpa,
+  case device_id when 'dev13' then repeat('r', 101) else receiver_vpa end as receiver_vpa,
   case when amount = 50000 then '123456789012345.50'
        when remarks = 'late copy' then 'INR ' || cast(amount as string)
        else cast(amount as string) end as amount,
   case when status = 'weird' then 'RUPEE' else currency end as currency,
-  status,
+  case device_id when 'dev17' then repeat('S', 21) else status end as status,
   case when status = 'refunded' then 'not a time' else substring(cast(txn_timestamp as string), 1, 19) end as txn_timestamp,
-  device_type, device_id, ip_address, city, remarks,
-  substring(cast(ingested_at as string), 1, 19) as ingested_at,
+  case device_id when 'dev19' then repeat('d', 21) else device_type end as device_type,
+  case device_id when 'dev23' then repeat('i', 51) when 'dev13' then repeat('i', 51) else device_id end as device_id,
+  case device_id when 'dev29' then repeat('1', 46) else ip_address end as ip_address,
+  case device_id when 'dev31' then repeat('c', 51) else city end as city,
+  case device_id when 'dev37' then repeat('m', 201) else remarks end as remarks,
+  case device_id when 'dev41' then 'later' else substring(cast(ingested_at as string), 1, 19) end as ingested_at,
   _source as source, _source_date as date
 from raw_upi_transactions
 """

@@ -26,6 +26,7 @@ class Settings:
     high_value_threshold: Decimal = Decimal("50000")
     velocity_min_txns: int = 3
     always_failed_min_txns: int = 5
+    burst_min_txns: int = 3
     freshness_warn_hours: int = 12
     freshness_error_hours: int = 24
     skew: SkewPolicy = field(default_factory=SkewPolicy)

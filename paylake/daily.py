@@ -17,13 +17,12 @@ from paylake.config import Run
 from paylake.fixed import TRACKED_CUSTOMER_COLUMNS
 from paylake.functions.audit import AUDIT_COLUMNS, with_audit
 from paylake.operators import versions
-from paylake.operators.partitions import table_exists
 from paylake.operators.scratch import stored_for
 from paylake.operators.upsert import upsert
 from paylake.plans import customers, enriched, fraud, staging, transactions
 from paylake.quality.evaluate import enforce, evaluate
 from paylake.sources import manifest, raw as raw_table
-from paylake.sources.landing import read_landing_date, rejects_root
+from paylake.sources.landing import read_landing
 from paylake.sources.pages import land_feed
 from paylake.sources.statements import land_statements
 from paylake.tables import Tables
@@ -49,17 +48,15 @@ def ingest(tables: Tables, inputs: Inputs) -> dict:
     """Land both sources of the run date; raises if something is missing."""
     spark, run, landing = tables.spark, tables.run, f"{tables.root}/landing"
     land_statements(spark, inputs.statements, landing, run)
-    land_feed(spark, f"{inputs.feed}/{run.run_date}", landing, run, inputs.whole_pages)
+    land_feed(spark, inputs.feed, landing, run, inputs.whole_pages)
     return manifest.save_manifest(spark, landing, f"{tables.root}/manifest", run.run_date)
 
 
 def load(tables: Tables) -> int:
     """Replace the run date in the raw table with what landed."""
-    day, root = tables.run.run_date, f"{tables.root}/landing"
-    rows = read_landing_date(tables.spark, root, day)
-    rejected = read_landing_date(tables.spark, rejects_root(root), day) if table_exists(tables.spark, rejects_root(root)) else None
-    loaded = raw_table.load(rows, tables.path("raw_upi_transactions"), tables.path("raw_rejects"), [day], rejected)
-    return loaded[str(day)]
+    day = tables.run.run_date
+    arrived = read_landing(tables.spark, f"{tables.root}/landing", [day])
+    return raw_table.load(arrived, tables.path("raw_upi_transactions"), [day])[str(day)]
 
 
 def build_staging(tables: Tables, full_refresh: bool = False) -> None:
@@ -69,14 +66,13 @@ def build_staging(tables: Tables, full_refresh: bool = False) -> None:
     of order is left out until a ``full_refresh``.
     """
     raw = tables.read("raw_upi_transactions")
-    path = tables.path("stg_upi_transactions")
     run, table = tables.run, "stg_upi_transactions"
-    if full_refresh or not table_exists(tables.spark, path):
+    if full_refresh or not tables.exists(table):
         tables.replace(staging.stage(raw, run), table, "txn_date")
         return
     high_water = tables.read(table).agg(F.max("txn_date")).first()[0]
     rows = staging.stage(staging.new_rows(raw, high_water), run)
-    upsert(with_audit(rows, run, table), path, "txn_id", "txn_date")
+    upsert(with_audit(rows, run, table), tables.folder(table), "txn_id", "txn_date")
 
 
 def _staged(tables: Tables) -> DataFrame:
@@ -107,7 +103,7 @@ def build_marts(tables: Tables, only: Iterable[str] = MARTS) -> None:
             if "fct_transactions" in only:
                 tables.replace(transactions.fct_transactions(rows, dim_customers(tables)), "fct_transactions", "txn_date")
             if "fct_daily_summary" in only:
-                tables.replace(transactions.fct_daily_summary(rows, run), "fct_daily_summary")
+                tables.replace(transactions.fct_daily_summary(rows), "fct_daily_summary")
             if "fct_customer_activity" in only:
                 tables.replace(transactions.fct_customer_activity(rows), "fct_customer_activity")
             if "fct_fraud_signals" in only:
@@ -133,7 +129,7 @@ def write_metrics(tables: Tables, loaded: int | None) -> dict[str, int]:
     """Row counts of the run, from file footers, so task retries cannot distort them."""
     counts = {"loaded_rows": loaded} if loaded is not None else {}
     for table in ("raw_upi_transactions", "raw_rejects", "stg_upi_transactions", "int_customers_current", "snp_customers", *MARTS):
-        if table_exists(tables.spark, tables.path(table)):
+        if tables.exists(table):
             counts[table] = tables.read(table).count()
     rows = tables.spark.createDataFrame(list(counts.items()), "metric string, row_count bigint")
     rows.coalesce(1).write.mode("overwrite").parquet(f"{tables.path('run_metrics')}/run_date={tables.run.run_date}")

@@ -8,6 +8,9 @@ CANONICAL_COLUMNS = (
     "txn_timestamp", "device_type", "device_id", "ip_address", "city", "remarks", "ingested_at",
 )
 
+# Columns without which a delivery cannot be used.
+REQUIRED_COLUMNS = ("txn_id", "sender_vpa", "receiver_vpa", "amount", "txn_timestamp")
+
 # Accepted statement headers and the column each one stands for.
 HEADER_ALIASES = {
     "transaction_id": "txn_id",
@@ -115,3 +118,8 @@ WORD_BREAKS = "!?@\"^#$&~_,.:;+-*%/|\\[](){}<>"
 
 # Customer attributes whose change opens a new version.
 TRACKED_CUSTOMER_COLUMNS = ("primary_bank", "customer_tier", "home_city", "primary_device_type")
+
+# Names of the rules on sliding velocity and first meetings.
+BURST_SENDER = "BURST_SENDER"
+NEW_PAYEE_HIGH_VALUE = "NEW_PAYEE_HIGH_VALUE"
+NEW_CITY_HIGH_VALUE = "NEW_CITY_HIGH_VALUE"

@@ -1,17 +1,20 @@
 """Exact median per group.
 
-The built-in ``percentile`` holds every distinct value of a group in one buffer. That is
-right for ordinary groups; hot groups go through a digit-by-digit selection instead, in
-which no task sees more than 200,000 counters of a group.
+The built-in ``percentile`` holds every distinct value of a group in one buffer. That is right for
+groups of at most BOUND rows, whatever the size of the table. Larger ones go through a digit-by-digit
+selection, in which no task sees more than 200,000 counters of a group.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paylake.operators.scratch import stored
-from paylake.operators.skew import flag_hot, same_key
+from paylake.operators.skew import same_key
 
+BOUND = 200_000  # rows of a group that may meet in one buffer
 _DIGITS = 10**5  # counters per step
 _STEPS = 3  # 15 digits of a decimal(15,2)
 
@@ -21,13 +24,24 @@ def _as_number(median: Column) -> Column:
     return median.cast("decimal(18,3)").cast("double")
 
 
-def median_by(df: DataFrame, keys: list[str], amount: str, name: str, hot: DataFrame | None = None) -> DataFrame:
-    """One row per group with the median of ``amount``, a decimal(15,2) column."""
-    if hot is None:
-        return df.groupBy(*keys).agg(_as_number(F.percentile(F.col(amount), 0.5)).alias(name))
-    flagged = flag_hot(df, hot, "_hot")
-    plain = median_by(flagged.where(~F.col("_hot")), keys, amount, name)
-    return plain.unionByName(_selected(flagged.where("_hot"), keys, amount, name))
+def median_by(df: DataFrame, keys: list[str], amount: str, name: str, sizes: DataFrame, bound: int = BOUND) -> DataFrame:
+    """One row per group with the median of ``amount``, a decimal(15,2) column.
+
+    ``sizes``: a stored table with the keys and the number of rows, ``rows``, of every group. There
+    may be many large groups, so they are joined, not broadcast by force; AQE splits the large ones.
+    """
+    large = sizes.where(F.col("rows") > bound).select(*keys)
+    if large.isEmpty():
+        return _whole(df, keys, amount, name)
+    marked = large.select(*[F.col(k).alias(f"_{k}") for k in keys], F.lit(True).alias("_large"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    flagged = df.join(marked, same, "left").drop(*[f"_{k}" for k in keys])
+    small = _whole(flagged.where("_large is null"), keys, amount, name)
+    return small.unionByName(_selected(flagged.where("_large"), keys, amount, name))
+
+
+def _whole(df: DataFrame, keys: list[str], amount: str, name: str) -> DataFrame:
+    return df.groupBy(*keys).agg(_as_number(F.percentile(F.col(amount), 0.5)).alias(name))
 
 
 def _selected(df: DataFrame, keys: list[str], amount: str, name: str) -> DataFrame:

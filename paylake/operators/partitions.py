@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake.operators.scratch import file_system
 
+LISTINGS = 16  # folders that are listed at a time
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder holds anything but markers. A table that cannot be read still exists."""
@@ -32,41 +36,46 @@ def by_partition(df: DataFrame, column: str, *sort: str) -> DataFrame:
     return df.hint("rebalance", column).sortWithinPartitions(column, *sort)
 
 
-def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[dt.date], *sort: str) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, column: str, values: Sequence, *sort: str, split: tuple[str, Sequence[str]] | None = None,
+) -> None:
     """Make ``df`` the whole content of the given partitions; other partitions stay.
 
     Dynamic overwrite keeps the old files until the job has succeeded, but leaves a partition
     alone when no row falls in it. Which ones those are shows in the folders afterwards: a folder
     whose files all are older than the job is replaced by an empty file. So ``df`` runs once, and
     no job runs for an empty partition that was not there. Running again gives the same table.
-    ``sort`` orders rows inside each file.
+    ``sort`` orders rows inside each file. ``split`` names a second partition column and all its values,
+    by which one write deals rows to the parts of a partition.
     """
     spark, values = df.sparkSession, sorted(set(values))
+    columns = [column, split[0]] if split else [column]
+    folders = ["/".join(f"{c}={v}" for c, v in zip(columns, pair)) for pair in product(values, *([split[1]] if split else []))]
     rows = df.where(F.col(column).isin(values))
-    before = _files(spark, path, column, values)
-    (by_partition(rows, column, *sort).write.partitionBy(column).mode("overwrite")
+    before = _files(spark, path, folders)
+    (rows.hint("rebalance", *columns).sortWithinPartitions(*columns, *sort).write.partitionBy(*columns).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
-    after = _files(spark, path, column, values)
-    stale = [v for v in values if before[v] and after[v] == before[v]]
-    nothing = df.drop(column).limit(0)
-    if not any(after.values()) and values:  # a table without a row keeps its columns
-        stale = values[:1]
-    for value in stale:
-        nothing.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+    after = _files(spark, path, folders)
+    stale = [f for f in folders if before[f] and after[f] == before[f]]
+    nothing = df.drop(*columns).limit(0)
+    if not any(after.values()) and folders:  # a table without a row keeps its columns
+        stale = folders[:1]
+    for folder in stale:
+        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
-def _files(spark: SparkSession, path: str, column: str, values: Sequence[dt.date]) -> dict[dt.date, frozenset[str]]:
+def _files(spark: SparkSession, path: str, folders: Sequence[str]) -> dict[str, frozenset[str]]:
     """Names of the data files of each partition; writers never use a name twice."""
-    found = {}
-    for value in values:
-        fs, where = file_system(spark, f"{path}/{column}={value}")
-        names = [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
-        found[value] = frozenset(filter(_visible, names))
-    return found
-
-
-def partition_rows(spark: SparkSession, path: str, column: str, values: Sequence[dt.date]) -> dict[str, int]:
-    """Stored rows per partition, from file footers, so task retries cannot distort them."""
-    stored = spark.read.parquet(path).where(F.col(column).isin(list(values)))
-    counts = {str(r[0]): r[1] for r in stored.groupBy(column).count().collect()}
+    def names(folder: str) -> frozenset[str]:
+        fs, where = file_system(spark, f"{path}/{folder}")
+        found = [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+        return frozenset(filter(_visible, found))
+
+    with ThreadPoolExecutor(LISTINGS) as pool:
+        return dict(zip(folders, pool.map(names, folders)))
+
+
+def partition_rows(stored: DataFrame, column: str, values: Sequence[dt.date]) -> dict[str, int]:
+    """Rows per partition of a table as it is stored, so task retries cannot distort them."""
+    counts = {str(r[0]): r[1] for r in stored.where(F.col(column).isin(list(values))).groupBy(column).count().collect()}
     return {str(v): counts.get(str(v), 0) for v in values}

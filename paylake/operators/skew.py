@@ -2,35 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paylake.config import SkewPolicy
-from paylake.operators.scratch import shared_dir
+from paylake.operators.scratch import stored
 
 
 def hot_keys(df: DataFrame, keys: dict[str, Column], policy: SkewPolicy) -> DataFrame | None:
     """Keys above the policy's share of ``df``, or None where there are none.
 
     Fewer than ``policy.max_keys`` rows by construction, so the result may be broadcast.
-    The counts combine before the shuffle; the list is checkpointed since plans reuse it.
+    The counts combine before the shuffle; the list is written since plans reuse it.
     """
     rows = df.count()
     if rows <= policy.min_rows:
         return None
-    shared_dir(df.sparkSession)
     counts = df.select(*[c.alias(n) for n, c in keys.items()]).groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = _above(counts, "_n", rows, policy).checkpoint()
-    return None if hot.isEmpty() else hot
-
-
-def hot_groups(counts: DataFrame, keys: Sequence[str], count: str, policy: SkewPolicy) -> DataFrame | None:
-    """The same from a stored table that already has the row count of every key."""
-    rows = counts.agg(F.sum(count)).first()[0] or 0
-    if rows <= policy.min_rows:
-        return None
-    hot = _above(counts.select(*keys, count), count, rows, policy)
+    hot = stored(_above(counts, "_n", rows, policy), "hot-keys")
     return None if hot.isEmpty() else hot
 
 

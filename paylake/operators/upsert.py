@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from paylake.operators.key_index import PER_BUCKET, KeyIndex
 from paylake.operators.partitions import by_partition, replace_partitions, table_exists
 from paylake.operators.scratch import stored_for
 
@@ -17,23 +18,36 @@ def merged(existing: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return existing.join(changes.select(key), key, "left_anti").select(existing.columns).unionByName(changes)
 
 
-def upsert(changes: DataFrame, path: str, key: str, day: str) -> None:
-    """Merge into the table at ``path``, rewriting only the days that change.
+def upsert(changes: DataFrame, path: str, key: str, day: str, per_bucket: int = PER_BUCKET) -> list:
+    """Merge into the table at ``path``, rewriting only the days that change, and return these.
 
-    These are the days of the new rows and the days the replaced rows are stored under,
-    since a row may move. Several rows of one key raise ``DuplicateKey`` before anything is written.
+    They are the days of the new rows and the days the replaced rows are stored under, since a row
+    may move; an index by key beside the table knows the latter. Several rows of one key raise
+    ``DuplicateKey`` before anything is written. A merge that was stopped anywhere is repaired by
+    running it again: the index may know too many days of a key, never too few.
     """
     spark = changes.sparkSession
     with stored_for(changes, "changes") as changes:
         again = changes.groupBy(key).count().where("count > 1").first()
         if again:
             raise DuplicateKey(f"{again['count']} rows of {key} {again[0]!r}")
+        index = KeyIndex(spark, path, key, day, per_bucket)
         if not table_exists(spark, path):
+            index.build(changes, changes.count())
             by_partition(changes, day).write.partitionBy(day).mode("errorifexists").parquet(path)
-            return
-        table = spark.read.parquet(path)
-        replaced = table.select(key, day).join(changes.select(key), key, "left_semi")
-        days = sorted(r[0] for r in changes.select(day).union(replaced.select(day)).distinct().collect())
-        rows = merged(table.where(F.col(day).isin(days)), changes, key).select(table.columns)
-        with stored_for(rows, "merged") as rows:
-            replace_partitions(rows, path, day, days)
+            return sorted(r[0] for r in changes.select(day).distinct().collect())
+        index.ensure()
+        buckets = index.touched(changes)
+        with stored_for(index.entries(buckets), "entries") as known:
+            new = changes.select(key, day)
+            stored_under = known.join(new.select(key), key, "left_semi")
+            days = sorted(r[0] for r in new.select(day).union(stored_under.select(day)).distinct().collect())
+            index.replace(known.select(key, day).union(new), buckets)
+            table = spark.read.parquet(path)
+            rows = merged(table.where(F.col(day).isin(days)), changes, key).select(table.columns)
+            with stored_for(rows, "merged") as rows:
+                replace_partitions(rows, path, day, days)
+            moved = stored_under.join(new, [key, day], "left_anti")
+            if not moved.isEmpty():  # entries of rows that have left their day
+                index.replace(known.join(new.select(key), key, "left_anti").select(key, day).union(new), buckets)
+    return days

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paylake.functions.calendar import ntz
 from paylake.operators.partitions import replace_partitions, table_exists
@@ -20,17 +20,21 @@ class ClockWentBack(ValueError):
     """A snapshot was asked for an instant before the newest version."""
 
 
-def first_versions(current: DataFrame, key: str, at: dt.datetime) -> DataFrame:
-    """Every row of ``current`` as an open version that starts at ``at``."""
-    started = F.lit(at.strftime("%Y-%m-%d %H:%M:%S"))
-    return current.withColumns({
-        "dbt_scd_id": F.md5(F.concat_ws("|", F.coalesce(key, F.lit("")), started)),
-        "dbt_updated_at": ntz(at),
-        "dbt_valid_from": ntz(at),
+def opened(states: DataFrame, key: str, at: Column) -> DataFrame:
+    """States as open versions; ``at``, their start, as text to the second."""
+    return states.withColumns({
+        "dbt_scd_id": F.md5(F.concat_ws("|", F.coalesce(key, F.lit("")), at)),
+        "dbt_updated_at": at.cast("timestamp_ntz"),
+        "dbt_valid_from": at.cast("timestamp_ntz"),
         "dbt_valid_to": F.lit(None).cast("timestamp_ntz"),
     })
 
 
+def first_versions(current: DataFrame, key: str, at: dt.datetime) -> DataFrame:
+    """Every row of ``current`` as an open version that starts at ``at``."""
+    return opened(current, key, F.lit(at.strftime("%Y-%m-%d %H:%M:%S")))
+
+
 def next_versions(open_rows: DataFrame, current: DataFrame, key: str, tracked: Sequence[str], at: dt.datetime) -> DataFrame:
     """Rows that replace ``open_rows``: kept, closed and newly opened ones.
 

@@ -41,10 +41,10 @@ def staging(name: str = "stg", source: str = "raw_upi_transactions", where: str
   from (
     select * from {source} where {where} and txn_id is not null
     qualify row_number() over (
-      partition by txn_id
+      partition by trim(txn_id)
       order by txn_timestamp desc nulls first, upi_ref nulls last, sender_vpa nulls last, receiver_vpa nulls last,
         amount nulls last, currency nulls last, status nulls last, device_type nulls last, device_id nulls last,
-        ip_address nulls last, city nulls last, remarks nulls last, ingested_at nulls last, _source_date, _source) = 1
+        ip_address nulls last, city nulls last, remarks nulls last, ingested_at nulls last, _source_date, _source, txn_id) = 1
   ) where txn_timestamp is not null
 )"""
 
@@ -230,6 +230,65 @@ fact as (
 )"""
 
 
+# Versions over a snapshot on each of thirty days: each day's profiles from the transactions up to it.
+RANGE_VERSIONS = """
+days as (select unnest(generate_series(date '2024-01-01', date '2024-01-30', interval 1 day))::date as day),
+upto as (select day, e.* from days join enriched e on e.txn_date <= day),
+cities as (
+  select day, sender_vpa, city as home_city from (select day, sender_vpa, city, count(*) as n from upto where city is not null group by all)
+  qualify row_number() over (partition by day, sender_vpa order by n desc, city) = 1),
+devices as (
+  select day, sender_vpa, device_type as primary_device_type
+  from (select day, sender_vpa, device_type, count(*) as n from upto group by all)
+  qualify row_number() over (partition by day, sender_vpa order by n desc, device_type nulls last) = 1),
+daily_profiles as (
+  select day, sender_vpa, sender_bank as primary_bank,
+    min(txn_date) as first_txn_date, max(txn_date) as last_txn_date, count(distinct txn_date)::bigint as active_days,
+    count(*)::bigint as total_txns, sum(amount_inr) as total_spend_inr,
+    sum(amount_inr)::double / count(*) as avg_txn_amount_inr, max(amount_inr) as max_single_txn_inr,
+    count(distinct receiver_vpa)::bigint as unique_payees, count(distinct city)::bigint as cities_transacted,
+    (count(*) filter (status = 'SUCCESS'))::bigint as success_count, (count(*) filter (status = 'FAILED'))::bigint as failed_count,
+    (count(*) filter (status = 'REVERSED'))::bigint as reversed_count,
+    (count(*) filter (is_high_value))::bigint as high_value_count, (count(*) filter (is_off_hours))::bigint as off_hours_count,
+    (count(*) filter (is_suspicious))::bigint as suspicious_txn_count
+  from upto group by 1, 2, 3),
+states as (
+  select p.*, case when total_spend_inr >= 1000000 then 'PLATINUM' when total_spend_inr >= 100000 then 'GOLD'
+         when total_spend_inr >= 10000 then 'SILVER' else 'BRONZE' end as customer_tier,
+    success_count::double / total_txns as success_rate, failed_count::double / total_txns as failure_rate,
+    home_city, primary_device_type
+  from daily_profiles p left join cities using (day, sender_vpa) left join devices using (day, sender_vpa)),
+changed as (
+  select * from states window w as (partition by sender_vpa order by day)
+  qualify row_number() over w = 1
+    or lag(primary_bank) over w is distinct from primary_bank or lag(customer_tier) over w is distinct from customer_tier
+    or lag(home_city) over w is distinct from home_city or lag(primary_device_type) over w is distinct from primary_device_type),
+range_versions as (
+  select * exclude (day), md5(sender_vpa || '|' || strftime(day, '%Y-%m-%d %H:%M:%S')) as dbt_scd_id,
+    day::timestamp as dbt_updated_at, day::timestamp as dbt_valid_from,
+    (lead(day) over (partition by sender_vpa order by day))::timestamp as dbt_valid_to
+  from changed)"""
+
+AS_OF = """
+select txn_id, e.sender_vpa, txn_date, txn_timestamp, amount_inr, status, dbt_valid_from as version_from, customer_tier,
+  total_txns as customer_lifetime_txns, total_spend_inr as customer_lifetime_spend
+from enriched e left join (select sender_vpa, dbt_valid_from, dbt_valid_to, customer_tier, total_txns, total_spend_inr from range_versions) v
+  on v.sender_vpa = e.sender_vpa and dbt_valid_from <= txn_timestamp and (dbt_valid_to is null or txn_timestamp < dbt_valid_to)"""
+
+# Seconds as whole numbers; a transaction sees those of its own second and the 300 before.
+VELOCITY = """
+timed as (select *, epoch(date_trunc('second', txn_timestamp))::bigint as second from enriched),
+velocity as (
+  select txn_id, sender_vpa, txn_date, txn_timestamp, amount_inr, is_high_value,
+    (select count(*) from timed o where o.sender_vpa = t.sender_vpa and o.second between t.second - 300 and t.second)::bigint as sender_5min_txns,
+    (select sum(amount_inr) from timed o where o.sender_vpa = t.sender_vpa and o.second between t.second - 300 and t.second) as sender_5min_amount_inr,
+    receiver_vpa is not null and not exists (
+      select 1 from timed o where o.sender_vpa = t.sender_vpa and o.receiver_vpa = t.receiver_vpa and (o.txn_timestamp, o.txn_id) < (t.txn_timestamp, t.txn_id)) as is_new_payee,
+    city is not null and not exists (
+      select 1 from timed o where o.sender_vpa = t.sender_vpa and o.city = t.city and (o.txn_timestamp, o.txn_id) < (t.txn_timestamp, t.txn_id)) as is_new_city
+  from timed t)"""
+
+
 def statement(*ctes: str, select: str, double: tuple[str, ...] = (), text: tuple[str, ...] = ()) -> str:
     """Put the parts together; ``double`` and ``text`` name the columns shown as such."""
     shown = [f"{c}::double as {c}" for c in double] + [f"{c}::varchar as {c}" for c in text]
@@ -278,9 +337,19 @@ judged as (
   select *, array_to_string(list_filter([
     case when txn_id is null then 'txn_id is null' end,
     case when length(txn_id) > 36 then 'txn_id over 36' end,
+    case when length(upi_ref) > 50 then 'upi_ref over 50' end,
+    case when length(sender_vpa) > 100 then 'sender_vpa over 100' end,
+    case when length(receiver_vpa) > 100 then 'receiver_vpa over 100' end,
     case when length(currency) > 3 then 'currency over 3' end,
+    case when length(status) > 20 then 'status over 20' end,
+    case when length(device_type) > 20 then 'device_type over 20' end,
+    case when length(device_id) > 50 then 'device_id over 50' end,
+    case when length(ip_address) > 45 then 'ip_address over 45' end,
+    case when length(city) > 50 then 'city over 50' end,
+    case when length(remarks) > 200 then 'remarks over 200' end,
     case when amount is not null and try_cast(amount as decimal(15,2)) is null then 'amount not decimal' end,
-    case when txn_timestamp is not null and try_cast(txn_timestamp as timestamp) is null then 'txn_timestamp not timestamp_ntz' end
+    case when txn_timestamp is not null and try_cast(txn_timestamp as timestamp) is null then 'txn_timestamp not timestamp_ntz' end,
+    case when ingested_at is not null and try_cast(ingested_at as timestamp) is null then 'ingested_at not timestamp_ntz' end
   ], lambda f: f is not null), '; ') as reject_reason
   from landing
 )"""
@@ -301,6 +370,7 @@ def oracle() -> dict[str, str]:
     return twins | {
         "int_transactions_enriched_hot": twins["int_transactions_enriched"],
         "fct_daily_summary_hot": twins["fct_daily_summary"],
+        "fct_transactions_as_of_hot": twins["fct_transactions_as_of"],
         "paged_text_amounts": twins["paged_source_read"],
         "statements_accounted": """
           with lines as (
@@ -373,14 +443,35 @@ def _twins() -> dict[str, str]:
               from raw_upi_transactions where _source = 'api' and txn_timestamp::date between date '2024-01-05' and date '2024-01-25'"""),
         "txn_lookup": statement(RAW, select="select * from raw_upi_transactions where txn_id = 'TXN100'",
                                 double=("amount",), text=("_source_date",)),
-        "txn_page": statement(RAW, STG, select="select * from stg order by txn_timestamp, txn_id limit 200 offset 400",
-                              double=("amount_inr",), text=("txn_date",)),
+        **{name: statement(RAW, STG, select=f"select * from stg {where} order by txn_timestamp, txn_id limit {n}", double=("amount_inr",), text=("txn_date",))
+           for name, where, n in (("txn_page", "", "200 offset 400"), ("txn_page_far", "", "500 offset 700"),
+                                  ("txn_page_after", "where txn_timestamp >= timestamp '2024-01-15 00:00:00'", "200"))},
+        "snp_customers_range": statement(*TO_ENRICHED, RANGE_VERSIONS, select="select * from range_versions", double=CUSTOMER_DOUBLES, text=CUSTOMER_DATES),
+        "fct_transactions_as_of": statement(*TO_ENRICHED, RANGE_VERSIONS, select=AS_OF, double=("amount_inr", "customer_lifetime_spend"), text=("txn_date",)),
+        "sender_velocity": statement(*TO_ENRICHED, VELOCITY, select="""
+          select txn_id, sender_vpa, txn_timestamp, sender_5min_txns, sender_5min_amount_inr, is_new_payee, is_new_city from velocity""", double=("sender_5min_amount_inr",)),
+        "velocity_signals": statement(*TO_ENRICHED, VELOCITY, select="""
+          select txn_id, sender_vpa, txn_date, amount_inr, txn_timestamp, sender_5min_txns, sender_5min_amount_inr, signal_type from velocity,
+            lateral (select unnest([case when sender_5min_txns >= 2 then 'BURST_SENDER' end, case when is_new_payee and is_high_value then 'NEW_PAYEE_HIGH_VALUE' end,
+              case when is_new_city and is_high_value then 'NEW_CITY_HIGH_VALUE' end]) as signal_type) where signal_type is not null""",
+          double=("amount_inr", "sender_5min_amount_inr"), text=("txn_date",)),
         "origin_from_path": statement(RAW, select="""select _source as origin, count(*)::bigint as row_count
           from raw_upi_transactions group by all"""),
+        # On the 13th statements call the amount by an unknown name, on the 20th pages have one more name.
         "landing_manifest": statement(RAW, select="""
-          select *, csv_rows + api_rows as total_rows, '' as schema_drift, csv_rows > 0 and api_rows > 0 as ready
-          from (select _source_date::varchar as date, (count(*) filter (_source = 'csv'))::bigint as csv_rows,
-                  (count(*) filter (_source = 'api'))::bigint as api_rows from raw_upi_transactions group by all)"""),
+          select date::varchar as date, csv_rows, api_rows, csv_rows + api_rows as total_rows, rejected_rows,
+            case day(date) when 13 then 'csv:+amount_inr,csv:-amount' when 20 then 'api:+channel' else '' end as schema_drift,
+            csv_rows > 0 and api_rows > 0 and day(date) <> 13 as ready
+          from (select _source_date as date,
+                  (count(distinct coalesce(txn_id, '')) filter (_source = 'csv'))::bigint as csv_rows,
+                  (count(*) filter (_source = 'api' and txn_timestamp::date = _source_date and ifnull(status, '') <> 'REVERSED'))::bigint as api_rows,
+                  (count(*) filter (_source = 'api' and txn_timestamp::date = _source_date and status = 'REVERSED'))::bigint as rejected_rows
+                from raw_upi_transactions group by all)"""),
+        "arrival_ledger": statement(RAW, select="""
+          select distinct _source_date::varchar as date, _source as source,
+            case when _source = 'csv' and day(_source_date) = 13 then 'amount' else '' end as missing,
+            case when _source = 'csv' and day(_source_date) = 13 then 'amount_inr' when _source = 'api' and day(_source_date) = 20 then 'channel' else '' end as extra
+          from raw_upi_transactions"""),
         "dq_results": statement(
             *TO_SIGNALS, customers(), SUMMARY, DAILY, ACTIVITY,
             "dim as (select sender_vpa as customer_vpa, * from customers)", fact("true"),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from paylake.functions import classify
 from paylake.functions.numbers import mean, safe_divide, total
 
-_MODES = {"city": "home_city", "device_type": "primary_device_type"}
+MODES = {"city": "home_city", "device_type": "primary_device_type"}
 
 
 def sender_modes(txns: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def sender_modes(txns: DataFrame) -> DataFrame:
     One pass for both: values are counted in long form, and the best one is a plain
     minimum, so both steps combine before their shuffle.
     """
-    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in _MODES])).alias("m")
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in MODES])).alias("m")
     counts = (
         txns.select("sender_vpa", kinds).select("sender_vpa", "m.kind", "m.value")
         .where((F.col("kind") != "city") | F.col("value").isNotNull())
@@ -25,7 +25,7 @@ def sender_modes(txns: DataFrame) -> DataFrame:
     )
     place = F.struct((-F.col("n")).alias("n"), F.col("value").isNull().alias("missing"), "value")
     return counts.groupBy("sender_vpa").agg(
-        *[F.min(F.when(F.col("kind") == k, place))["value"].alias(name) for k, name in _MODES.items()])
+        *[F.min(F.when(F.col("kind") == k, place))["value"].alias(name) for k, name in MODES.items()])
 
 
 def customers_current(txns: DataFrame) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paylake.config import Run
 from paylake.fixed import SIZE_BUCKETS, TOP_SIZE_BUCKET
 from paylake.functions.calendar import minute_boundaries
 from paylake.functions.numbers import mean, safe_divide, total
-from paylake.operators.median import median_by
+from paylake.operators.asof import as_of
+from paylake.operators.median import BOUND, median_by
 from paylake.operators.scratch import stored
-from paylake.operators.skew import hot_groups
 
 _FACT_COLUMNS = (
     "txn_id", "upi_ref",
@@ -43,6 +42,20 @@ def fct_transactions(enriched: DataFrame, dim: DataFrame, all_versions: bool = F
     return enriched.join(customers, "sender_vpa", "left").select(*_FACT_COLUMNS)
 
 
+def fct_transactions_as_of(flagged: DataFrame, dim: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Flagged transactions with the tier and lifetime figures their sender had at the time.
+
+    The version that holds is the last one that began at or before the transaction; one before the
+    first snapshot of its sender has none.
+    """
+    versions = dim.select(F.col("customer_vpa").alias("sender_vpa"), "valid_from", "customer_tier", "total_txns", "total_spend_inr")
+    found = as_of(flagged, versions, "sender_vpa", "txn_timestamp", "valid_from", "_version", hot)
+    return found.select(
+        "txn_id", "sender_vpa", "txn_date", "txn_timestamp", "amount_inr", "status", F.col("_version.valid_from").alias("version_from"),
+        F.col("_version.customer_tier").alias("customer_tier"), F.col("_version.total_txns").alias("customer_lifetime_txns"),
+        F.col("_version.total_spend_inr").alias("customer_lifetime_spend"))
+
+
 def _status_counts(*names: str) -> list[Column]:
     return [F.count_if(F.col("status") == n).alias(f"{n.lower()}_count") for n in names]
 
@@ -61,11 +74,12 @@ def _bucket_counts() -> list[Column]:
     return [F.count_if(F.col("txn_size_bucket") == b).alias(c) for b, c in names.items()]
 
 
-def fct_daily_summary(txns: DataFrame, run: Run) -> DataFrame:
+def fct_daily_summary(txns: DataFrame, bound: int = BOUND) -> DataFrame:
     """Daily figures per bank pair, status, device and part of the day, over flagged transactions.
 
     The median is computed apart: next to distinct counts it would run on the expanded rows
-    and lose hash aggregation for all figures. The stored figures also tell the hot groups.
+    and lose hash aggregation for all figures. The stored figures also tell the large groups: those of
+    more than ``bound`` rows.
     """
     amount = F.col("amount_inr")
     figures = stored(txns.groupBy(*DAILY_KEYS).agg(
@@ -81,8 +95,8 @@ def fct_daily_summary(txns: DataFrame, run: Run) -> DataFrame:
         F.count_distinct("city").alias("cities_active"),
         *_bucket_counts(),
     ), "daily-figures")
-    hot = hot_groups(figures, DAILY_KEYS, "txn_count", run.settings.skew)
-    medians = median_by(txns, DAILY_KEYS, "amount_inr", "median_amount_inr", hot)
+    sizes = figures.select(*DAILY_KEYS, F.col("txn_count").alias("rows"))
+    medians = median_by(txns, DAILY_KEYS, "amount_inr", "median_amount_inr", sizes, bound)
     medians = medians.select(*[F.col(k).alias(f"_{k}") for k in DAILY_KEYS], "median_amount_inr")
     same_group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in DAILY_KEYS]
     count = F.col("txn_count")

@@ -13,14 +13,14 @@ from paylake.config import Run, Settings, SkewPolicy
 from paylake.fixed import CANONICAL_COLUMNS, SIGNAL_TYPES, TRACKED_CUSTOMER_COLUMNS
 from paylake.functions import numbers, text
 from paylake.functions.audit import AUDIT_COLUMNS
-from paylake.operators import versions
-from paylake.operators.scratch import new_path, stored
+from paylake.operators import pages as paging, versions
+from paylake.operators.scratch import file_system, new_path, stored
 from paylake.operators.timeline import COUNTS
 from paylake.operators.upsert import upsert
-from paylake.plans import customers, enriched, fraud, staging, transactions
+from paylake.plans import customers, enriched, fraud, history, staging, transactions, velocity
 from paylake.quality.evaluate import evaluate
 from paylake.quality.freshness import freshness
-from paylake.sources import landing, manifest, pages, raw as raw_table, statements
+from paylake.sources import landing, ledger, manifest, pages, raw as raw_table, statements
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,8 @@ RUN = Run(dt.date(2024, 2, 1), dt.datetime(2024, 2, 1), "registered-query")
 HOT_RUN = dataclasses.replace(RUN, settings=Settings(skew=SkewPolicy(min_rows=300, max_keys=1000)))
 FIRST_SLICE = dt.date(2024, 1, 15)
 SNAPSHOT_DAYS = (dt.date(2024, 1, 10), dt.date(2024, 1, 20), dt.date(2024, 1, 31))
+RANGE_DAYS = tuple(dt.date(2024, 1, d) for d in range(1, 31))
+PAGE_ORDER = ("txn_timestamp", "txn_id")
 FEED_DAYS = (dt.date(2024, 1, 5), dt.date(2024, 1, 25))
 
 
@@ -117,9 +119,9 @@ def raw_reload_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Load every date, load the last one again, count what the raw table holds."""
     rows = stored(adapter.landing_rows(spark, sf), "landing")
     days = sorted(_days(rows, "date"))
-    raw, rejected = new_path(spark, "raw"), new_path(spark, "rejects")
-    raw_table.load(rows, raw, rejected, days)
-    raw_table.load(rows, raw, rejected, days[-1:])
+    raw = new_path(spark, "raw")
+    raw_table.load(rows, raw, days)
+    raw_table.load(rows, raw, days[-1:])
     counts = raw_table.read_raw(spark, raw).groupBy("_source_date", "_source").agg(F.count("*").alias("loaded_rows"))
     return shown(counts)
 
@@ -133,8 +135,50 @@ def _landed(spark: SparkSession, sf: str) -> DataFrame:
     return landing.read_landing(spark, root)
 
 
+def _delivered(spark: SparkSession, sf: str) -> str:
+    """Statements and pages of every date, some with columns of other names, landed in one go for all dates.
+
+    On the 13th statements lack ``amount`` and have ``amount_inr``; on the 20th records have a ``channel``.
+    Amounts of reversed records of the feed are no numbers.
+    """
+    rows = stored(adapter.raw_transactions(spark, sf), "raw").withColumn("amount", F.col("amount").cast("string"))
+    days = sorted(_days(rows, "_source_date"))
+    statement_folder, feed, root = (new_path(spark, n) for n in ("statements", "feed", "landing"))
+    named = rows.where("_source = 'csv'").withColumn("file", F.concat(F.lit("bank_"), F.col("_source_date").cast("string"), F.lit(".csv")))
+    odd = F.dayofmonth("_source_date") == 13
+    for part, amount in ((~odd, "amount"), (odd, "amount_inr")):
+        named.where(part).select(*[F.col(c).alias(amount if c == "amount" else c) for c in CANONICAL_COLUMNS if c != "ingested_at"], "file").write.mode("append") \
+            .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).partitionBy("file").csv(statement_folder)
+
+    api = rows.where("_source = 'api'").withColumn("amount", F.when(F.col("status") == "REVERSED", "reversed").otherwise(F.col("amount")))
+    record = [F.col(c).cast("string").alias(c) for c in CANONICAL_COLUMNS]
+    for day_20, names in ((False, record), (True, [*record, F.lit("app").alias("channel")])):
+        some = api.where((F.dayofmonth("_source_date") == 20) == day_20)
+        page = F.struct(F.col("_source_date"), F.pmod(F.xxhash64("txn_id", "remarks"), F.lit(3)).alias("page"))
+        envelopes = some.select(page.alias("p"), F.struct(*names).alias("r")).groupBy("p").agg(F.collect_list("r").alias("records"), F.count("*").alias("count"))
+        totals = some.groupBy("_source_date").agg(F.count("*").alias("total"))
+        envelopes.select("p.*", "records", "count").join(totals, "_source_date").write.mode("append").option("ignoreNullFields", False).partitionBy("_source_date").json(feed)
+    for day in days:  # the feed has a folder for each date
+        _renamed(spark, f"{feed}/_source_date={day}", f"{feed}/{day}")
+    statements.land_statements(spark, statement_folder, root, RUN, days)
+    pages.land_feed(spark, feed, root, RUN, dates=days)
+    return root
+
+
+def _renamed(spark: SparkSession, path: str, to: str) -> None:
+    fs, where = file_system(spark, path)
+    fs.rename(where, file_system(spark, to)[1])
+
+
 def landing_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(manifest.manifest(_landed(spark, sf)))
+    root = _delivered(spark, sf)
+    return shown(manifest.manifest(landing.read_landing(spark, root), ledger.read_ledger(spark, root)))
+
+
+def arrival_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing and extra columns of the files of every source and date."""
+    rows = ledger.read_ledger(spark, _delivered(spark, sf))
+    return shown(rows.select("date", "source", "missing", "extra").distinct())
 
 
 def origin_from_path(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,8 +212,8 @@ def statements_accounted(spark: SparkSession, sf: str) -> DataFrame:
     folder, root = new_path(spark, "statements"), new_path(spark, "landing")
     lines.write.options(header=True, quote="\u0000").csv(f"{folder}/bank_{RUN.run_date}.csv")
     statements.land_statements(spark, folder, root, RUN)
-    landed = landing.read_landing_date(spark, root, RUN.run_date)
-    rejected = landing.read_landing_date(spark, landing.rejects_root(root), RUN.run_date)
+    arrived = landing.read_landing(spark, root, [RUN.run_date])
+    landed, rejected = landing.landed(arrived), landing.rejected(arrived)
     kept = ["txn_id", F.col("amount").cast("double").cast("bigint").cast("string").alias("amount"), "txn_timestamp", F.lit(None).cast("string").alias("reject_reason")]
     return landed.select(*kept).union(rejected.select("txn_id", "amount", "txn_timestamp", "reject_reason"))
 
@@ -205,6 +249,35 @@ def stg_incremental_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return shown(spark.read.parquet(path))
 
 
+def _pages(spark: SparkSession, sf: str) -> paging.PageDirectory:
+    return paging.PageDirectory.build(_staged(spark, sf), PAGE_ORDER)
+
+
+def _range_history(flagged: DataFrame) -> DataFrame:
+    """Customer versions after a snapshot on every day of the month, all from one job chain."""
+    spark = flagged.sparkSession
+    path = new_path(spark, "snp_customers")
+    history.snapshot_range(flagged, path, [(d, dt.datetime.combine(d, dt.time())) for d in RANGE_DAYS])
+    return versions.read_versions(spark, path)
+
+
+def fct_transactions_as_of(spark: SparkSession, sf: str, run: Run = RUN) -> DataFrame:
+    """Each transaction with the tier and lifetime figures its sender had then."""
+    flagged = _flagged_table(spark, sf)
+    dim = customers.dim_customers(_range_history(flagged))
+    return shown(transactions.fct_transactions_as_of(flagged, dim, enriched.hot_senders(flagged, run)))
+
+
+def sender_velocity(spark: SparkSession, sf: str) -> DataFrame:
+    return velocity.sender_velocity(_flagged_table(spark, sf)).select(
+        "txn_id", "sender_vpa", "txn_timestamp", "sender_5min_txns", F.col("sender_5min_amount_inr").cast("double"), "is_new_payee", "is_new_city")
+
+
+def velocity_signals(spark: SparkSession, sf: str) -> DataFrame:
+    settings = Settings(burst_min_txns=2)
+    return shown(velocity.velocity_signals(velocity.sender_velocity(_flagged_table(spark, sf)), dataclasses.replace(RUN, settings=settings)))
+
+
 def fct_transactions(spark: SparkSession, sf: str, all_versions: bool = False) -> DataFrame:
     stg = _staged_table(spark, sf)
     hot = enriched.hot_senders(stg, RUN)
@@ -213,7 +286,7 @@ def fct_transactions(spark: SparkSession, sf: str, all_versions: bool = False) -
 
 
 def fct_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(transactions.fct_daily_summary(_flagged_table(spark, sf), RUN))
+    return shown(transactions.fct_daily_summary(_flagged_table(spark, sf)))
 
 
 def int_transactions_enriched_hot(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,7 +295,8 @@ def int_transactions_enriched_hot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fct_daily_summary_hot(spark: SparkSession, sf: str) -> DataFrame:
-    return shown(transactions.fct_daily_summary(_flagged_table(spark, sf), HOT_RUN))
+    """The same figures when every group of more than two rows takes the plan for large groups."""
+    return shown(transactions.fct_daily_summary(_flagged_table(spark, sf), bound=2))
 
 
 def fct_fraud_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -241,7 +315,7 @@ def dq_results(spark: SparkSession, sf: str) -> DataFrame:
         "raw_upi_transactions": raw,
         "stg_upi_transactions": stg,
         "fct_transactions": transactions.fct_transactions(features, dim),
-        "fct_daily_summary": transactions.fct_daily_summary(features, RUN),
+        "fct_daily_summary": transactions.fct_daily_summary(features),
         "dim_customers": dim.where("is_current"),
         "fct_customer_activity": transactions.fct_customer_activity(features),
         "fct_fraud_signals": signals,
@@ -284,6 +358,11 @@ def queries() -> dict[str, Query]:
         "fct_transactions": fct_transactions,
         "fct_transactions_all_versions": lambda s, d: fct_transactions(s, d, all_versions=True),
         "fct_daily_summary": fct_daily_summary,
+        "snp_customers_range": lambda s, d: shown(_range_history(_flagged_table(s, d))),
+        "fct_transactions_as_of": fct_transactions_as_of,
+        "fct_transactions_as_of_hot": lambda s, d: fct_transactions_as_of(s, d, HOT_RUN),
+        "sender_velocity": sender_velocity,
+        "velocity_signals": velocity_signals,
         "fct_customer_activity": lambda s, d: shown(transactions.fct_customer_activity(_flagged(s, d))),
         "fct_fraud_signals": lambda s, d: shown(_signals(s, d)),
         **{f"signal_{name.lower()}": _one_rule(name) for name in SIGNAL_TYPES},
@@ -294,9 +373,12 @@ def queries() -> dict[str, Query]:
         "paged_text_amounts": paged_text_amounts,
         "statements_accounted": statements_accounted,
         "txn_lookup": lambda s, d: shown(pages.lookup(adapter.raw_transactions(s, d), "TXN100")),
-        "txn_page": lambda s, d: shown(pages.one_page(_staged(s, d), ["txn_timestamp", "txn_id"], 400, 200)),
+        "txn_page": lambda s, d: shown(_pages(s, d).page(400, 200)),
+        "txn_page_far": lambda s, d: shown(_pages(s, d).page(700, 500)),
+        "txn_page_after": lambda s, d: shown(paging.page_after(_staged(s, d), PAGE_ORDER, (dt.datetime(2024, 1, 15), ""), 200)),
         "origin_from_path": origin_from_path,
         "landing_manifest": landing_manifest,
+        "arrival_ledger": arrival_ledger,
         "dq_results": dq_results,
         "source_freshness": lambda s, d: freshness(adapter.raw_transactions(s, d), RUN),
         "paisa_to_inr": paisa_to_inr,

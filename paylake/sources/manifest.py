@@ -7,9 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paylake.fixed import CANONICAL_COLUMNS, SOURCES
-from paylake.operators.partitions import table_exists
-from paylake.sources.landing import read_landing_date
+from paylake.fixed import SOURCES
+from paylake.sources.landing import LANDED, read_landing
+from paylake.sources.ledger import drift, read_ledger
 
 
 class NotReady(RuntimeError):
@@ -17,39 +17,25 @@ class NotReady(RuntimeError):
 
 
 def row_counts(landing: DataFrame) -> DataFrame:
-    return landing.groupBy("source", F.col("date").cast("date").alias("date")).agg(F.count("*").alias("row_count"))
+    """Landed and rejected rows by source and date; a count by folder, no column is read."""
+    of = [F.count_if(F.col("verdict") == LANDED).alias("row_count"), F.count_if(F.col("verdict") != LANDED).alias("rejected")]
+    return landing.groupBy("source", "date").agg(*of)
 
 
-def drift(columns: list[str]) -> list[str]:
-    """Columns missing from the canonical layout or added to it."""
-    return [f"-{c}" for c in CANONICAL_COLUMNS if c not in columns] + [f"+{c}" for c in sorted(set(columns) - set(CANONICAL_COLUMNS) - {"source", "date"})]
+def manifest(landing: DataFrame, ledger: DataFrame, sources: tuple[str, ...] = SOURCES) -> DataFrame:
+    """One row per date: rows by source, total, rejected rows, schema drift and readiness.
 
-
-def manifest(landing: DataFrame, sources: tuple[str, ...] = SOURCES, drifted: list[str] | None = None) -> DataFrame:
-    """One row per date: rows by source, total, schema drift and readiness.
-
-    Ready means every source delivered rows and the layout is the canonical one. ``drifted`` tells
-    the drift where the caller knows it by file; else it is that of the columns of ``landing``.
+    Ready means that every source delivered rows and that no file lacks a required column. A date
+    of which only rejected rows or only column profiles arrived has a row too.
     """
-    differs = drift(landing.columns) if drifted is None else drifted
     total = reduce(lambda a, b: a + b, [F.col(f"{s}_rows") for s in sources])
     everywhere = reduce(lambda a, b: a & b, [F.col(f"{s}_rows") > 0 for s in sources])
-    return (
-        row_counts(landing).groupBy("date")
-        .agg(*[F.coalesce(F.sum(F.when(F.col("source") == s, F.col("row_count"))), F.lit(0)).alias(f"{s}_rows") for s in sources])
-        .select("date", *[f"{s}_rows" for s in sources], total.alias("total_rows"),
-                F.lit(",".join(differs)).alias("schema_drift"), (everywhere & F.lit(not differs)).alias("ready"))
-    )
-
-
-def drift_of_date(spark: SparkSession, root: str, date: dt.date) -> list[str]:
-    """Drift of each source's own folder of the date: one schema read for each source."""
-    found = []
-    for source in SOURCES:
-        path = f"{root}/source={source}/date={date}"
-        if table_exists(spark, path):
-            found += [f"{source}:{c}" for c in drift(spark.read.parquet(path).columns)]
-    return found
+    counts = row_counts(landing).groupBy("date").agg(
+        *[F.sum(F.when(F.col("source") == s, F.col("row_count"))).alias(f"{s}_rows") for s in sources], F.sum("rejected").alias("rejected_rows"))
+    names = [*[f"{s}_rows" for s in sources], "rejected_rows"]
+    return counts.join(drift(ledger), "date", "full_outer").withColumns({n: F.coalesce(n, F.lit(0)) for n in names}).select(
+        "date", *names[:-1], total.alias("total_rows"), "rejected_rows", F.coalesce("schema_drift", F.lit("")).alias("schema_drift"),
+        (everywhere & ~F.coalesce("stops", F.lit(False))).alias("ready"))
 
 
 def save_manifest(spark: SparkSession, root: str, path: str, date: dt.date) -> dict:
@@ -57,7 +43,7 @@ def save_manifest(spark: SparkSession, root: str, path: str, date: dt.date) -> d
 
     Only the folders of the date are read, so another date's drift does not matter.
     """
-    rows = manifest(read_landing_date(spark, root, date), drifted=drift_of_date(spark, root, date)).where(F.col("date") == date)
+    rows = manifest(read_landing(spark, root, [date]), read_ledger(spark, root, [date]))
     rows.coalesce(1).write.mode("overwrite").json(f"{path}/date={date}")
     found = rows.first()
     result = found.asDict() if found else {"date": date, "total_rows": 0, "ready": False}

@@ -1,4 +1,8 @@
-"""Raw table: typed rows by source date; rows that break a type or limit go to a reject table."""
+"""Raw table: typed rows by source date; rows that break a type or limit lie beside them.
+
+One write deals the rows of a date to two folders, ``verdict=accepted`` and ``verdict=rejected``, so
+what landed is read once. A rejected row keeps its texts and the reason.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paylake.fixed import CANONICAL_COLUMNS, DEFAULT_CURRENCY, RAW_TEXT_LIMITS
 from paylake.operators.partitions import partition_rows, replace_partitions
+from paylake.sources.landing import text_of
 
 RAW_TYPES = {c: "string" for c in CANONICAL_COLUMNS} | {
     "amount": "decimal(15,2)", "txn_timestamp": "timestamp_ntz", "ingested_at": "timestamp_ntz",
 }
+ACCEPTED, REJECTED = "accepted", "rejected"
 
 
 def _faults() -> dict[str, Column]:
@@ -26,46 +32,58 @@ def _faults() -> dict[str, Column]:
     return faults
 
 
-def checked(landing: DataFrame) -> DataFrame:
-    """Landing rows with the list of what is wrong with each."""
+def sorted_out(rows: DataFrame) -> DataFrame:
+    """Rows as the table stores them: typed where they are accepted, else text and a reason in ``refused``.
+
+    A ``reject_reason`` that a row has from its landing stands.
+    """
     named = [F.when(bad, F.lit(text)) for text, bad in _faults().items()]
-    return landing.withColumn("_faults", F.array_compact(F.array(*named)))
+    found = F.nullif(F.array_join(F.array_compact(F.array(*named)), "; "), F.lit(""))
+    why = F.coalesce(F.col("reject_reason"), found) if "reject_reason" in rows.columns else found
+    rows = rows.withColumn("_why", why)
+    good = F.col("_why").isNull()
 
+    def typed(c: str) -> Column:
+        value = F.coalesce("currency", F.lit(DEFAULT_CURRENCY)) if c == "currency" else F.col(c).try_cast(RAW_TYPES[c])
+        return F.when(good, value).alias(c)
 
-def accepted(landing: DataFrame) -> DataFrame:
+    refused = F.struct(*[text_of(rows, c).alias(c) for c in CANONICAL_COLUMNS], F.col("_why").alias("reject_reason"))
+    return rows.select(
+        *[typed(c) for c in CANONICAL_COLUMNS], F.col("date").cast("date").alias("_source_date"), F.col("source").alias("_source"),
+        F.when(~good, refused).alias("refused"), F.when(good, ACCEPTED).otherwise(REJECTED).alias("verdict"))
+
+
+def accepted(rows: DataFrame) -> DataFrame:
     """Rows the raw table takes, typed, with source and source date."""
-    typed = [F.col(c).try_cast(t).alias(c) for c, t in RAW_TYPES.items() if c != "currency"]
-    by_name = {c: typed_c for c, typed_c in zip([c for c in RAW_TYPES if c != "currency"], typed)}
-    by_name["currency"] = F.coalesce("currency", F.lit(DEFAULT_CURRENCY)).alias("currency")
-    return checked(landing).where(F.size("_faults") == 0).select(
-        *[by_name[c] for c in CANONICAL_COLUMNS],
-        F.col("date").cast("date").alias("_source_date"), F.col("source").alias("_source"),
-    )
+    return _accepted(sorted_out(rows))
+
 
+def rejects(rows: DataFrame) -> DataFrame:
+    return _rejected(sorted_out(rows))
 
-def rejects(landing: DataFrame) -> DataFrame:
-    return checked(landing).where(F.size("_faults") > 0).select(
-        *CANONICAL_COLUMNS, F.col("date").cast("date").alias("_source_date"), F.col("source").alias("_source"),
-        F.array_join("_faults", "; ").alias("reject_reason"),
-    )
 
+def _accepted(table: DataFrame) -> DataFrame:
+    return table.where(F.col("verdict") == ACCEPTED).drop("refused", "verdict").select(*CANONICAL_COLUMNS, "_source_date", "_source")
 
-def load(landing: DataFrame, raw_path: str, rejects_path: str, dates: Sequence[dt.date], landing_rejects: DataFrame | None = None) -> dict[str, int]:
-    """Replace the given source dates with what landed for them; returns loaded rows by date.
 
-    ``landing_rejects``, rows that could not be landed with their reason, go to the reject table
-    too. Rows are sorted by time inside each file, so scans by time skip row groups.
+def _rejected(table: DataFrame) -> DataFrame:
+    return table.where(F.col("verdict") == REJECTED).select(
+        *[f"refused.{c}" for c in CANONICAL_COLUMNS], "_source_date", "_source", "refused.reject_reason")
+
+
+def load(rows: DataFrame, raw_path: str, dates: Sequence[dt.date]) -> dict[str, int]:
+    """Replace the given source dates with what arrived for them; returns accepted rows by date.
+
+    ``rows`` are those of the landing folder, rejected ones included. Rows are sorted by time inside
+    each file, so scans by time skip row groups.
     """
-    wanted = F.col("date").isin(list(dates))
-    replace_partitions(accepted(landing.where(wanted)), raw_path, "_source_date", dates, "txn_timestamp")
-    bad = rejects(landing.where(wanted))
-    if landing_rejects is not None:
-        more = landing_rejects.where(wanted).select(
-            *CANONICAL_COLUMNS, F.col("date").cast("date").alias("_source_date"), F.col("source").alias("_source"), "reject_reason")
-        bad = bad.select(*[F.col(c).cast("string").alias(c) if c in CANONICAL_COLUMNS else F.col(c) for c in bad.columns]).unionByName(more)
-    replace_partitions(bad, rejects_path, "_source_date", dates)
-    return partition_rows(landing.sparkSession, raw_path, "_source_date", dates)
+    replace_partitions(sorted_out(rows), raw_path, "_source_date", dates, "txn_timestamp", split=("verdict", (ACCEPTED, REJECTED)))
+    return partition_rows(read_raw(rows.sparkSession, raw_path), "_source_date", dates)
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
-    return spark.read.parquet(raw_path)
+    return _accepted(spark.read.parquet(raw_path))
+
+
+def read_rejects(spark: SparkSession, raw_path: str) -> DataFrame:
+    return _rejected(spark.read.parquet(raw_path))

@@ -4,26 +4,31 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+import re
 from collections import defaultdict
+from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from paylake.config import Run
 from paylake.fixed import CANONICAL_COLUMNS, DEFAULT_CURRENCY, HEADER_ALIASES, NULL_SPELLINGS
 from paylake.operators.latest import first_per_key
-from paylake.sources.landing import land
+from paylake.sources.landing import land_dates
+from paylake.sources.ledger import PROFILE, record
 
 _PLACE = ("_file", "_block", "_row")
 _SPARE, _FAULT = "_spare", "_fault"
+_DATE = r"\d{4}-\d{2}-\d{2}"
+_NAME = r"([^/]*\.csv)(?:/[^/]*)?$"  # a file, or a folder of parts that a writer named so
 
 
-def statement_files(spark: SparkSession, folder: str, date: dt.date) -> list[str]:
+def statement_files(spark: SparkSession, folder: str, dates: Sequence[dt.date]) -> list[str]:
     """Files named ``*<date>*.csv``, sorted. Only names are read, not contents."""
     try:
-        found = spark.read.format("binaryFile").load(f"{folder}/*{date}*.csv").select("path")
+        found = spark.read.format("binaryFile").load(f"{folder}/*{{{','.join(map(str, dates))}}}*.csv").select("path")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -44,6 +49,17 @@ def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], l
     return groups
 
 
+def _names(header: tuple[str, ...]) -> list[str]:
+    """Canonical or own names of the columns of a header."""
+    return [HEADER_ALIASES.get(n, n) for n in (raw_name.strip().lower() for raw_name in header)]
+
+
+def _dated(path: Column, dates: Sequence[dt.date]) -> Column:
+    """The wanted dates that the name of a file, or of the folder it is a part of, holds."""
+    name = F.regexp_extract(path, _NAME, 1)
+    return F.array_intersect(F.regexp_extract_all(name, F.lit(f"({_DATE})"), F.lit(1)), F.array(*[F.lit(str(d)) for d in dates])).cast("array<date>")
+
+
 def _read_layout(spark: SparkSession, header: tuple[str, ...], files: list[str], multi_line: bool) -> DataFrame:
     """Files of one header as canonical text columns plus the place and the fault of each row.
 
@@ -54,10 +70,8 @@ def _read_layout(spark: SparkSession, header: tuple[str, ...], files: list[str],
     rows = spark.read.schema(schema).options(header=True, escape='"', multiLine=multi_line, enforceSchema=True).csv(files)
 
     by_name: dict[str, list] = defaultdict(list)
-    for place, raw_name in zip(places, header):
-        name = raw_name.strip().lower()
-        value = F.when(~F.col(place).isin(list(NULL_SPELLINGS)), F.col(place))
-        by_name[HEADER_ALIASES.get(name, name)].append(value)
+    for place, name in zip(places, _names(header)):
+        by_name[name].append(F.when(~F.col(place).isin(list(NULL_SPELLINGS)), F.col(place)))
     # The currency default needs the column to be there; staging fills what is left.
     if "currency" in by_name:
         by_name["currency"].append(F.lit(DEFAULT_CURRENCY))
@@ -70,36 +84,50 @@ def _read_layout(spark: SparkSession, header: tuple[str, ...], files: list[str],
     return rows.select(*columns, fault, *[p.alias(n) for p, n in zip(place, _PLACE)])
 
 
-def _lines(spark: SparkSession, folder: str, run: Run, multi_line: bool) -> DataFrame:
-    """All lines of the run date's files. There is one scan per distinct header, not per file."""
-    groups = _by_header(spark, statement_files(spark, folder, run.run_date))
+def read_lines(spark: SparkSession, folder: str, dates: Sequence[dt.date], multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """All lines of the files of some dates, with their ``date``, and the column profile of each file.
+
+    Headers are read once, then there is one scan per distinct header, whatever the number of files
+    and dates. A file whose name holds several of the dates belongs to each.
+    """
+    groups = _by_header(spark, statement_files(spark, folder, dates))
+    wanted = {str(d): d for d in dates}
+    profiles = [
+        (wanted[day], path, sorted(set(_names(header)))) for header, files in groups.items() for path in files
+        for day in sorted(wanted.keys() & set(re.findall(_DATE, re.search(_NAME, path)[1])))]
     parts = [_read_layout(spark, header, files, multi_line) for header, files in sorted(groups.items())]
-    if not parts:
+    if parts:
+        lines = reduce(DataFrame.unionByName, parts)
+    else:
         kinds = dict.fromkeys([*CANONICAL_COLUMNS, _FAULT, _PLACE[0]], "string") | dict.fromkeys(_PLACE[1:], "bigint")
-        return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in kinds.items()))
-    return reduce(DataFrame.unionByName, parts)
+        lines = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in kinds.items()))
+    return lines.withColumn("date", F.explode(_dated(F.col(_PLACE[0]), dates))), spark.createDataFrame(profiles, PROFILE)
+
 
+def first_lines(lines: DataFrame, run: Run) -> DataFrame:
+    """First line of each transaction id and date, by file name, then by place in the file.
 
-def _stamped(rows: DataFrame, run: Run) -> DataFrame:
-    return rows.drop(*_PLACE).withColumn("ingested_at", F.lit(run.run_ts.strftime("%Y-%m-%d %H:%M:%S")))
+    Lines that could not be read stay, each with its ``reject_reason``, and are not counted as copies.
+    """
+    own = F.when(F.col(_FAULT).isNotNull(), F.struct(*_PLACE))
+    first = first_per_key(lines.withColumn("_own", own), ["date", "txn_id", "_own"], [F.col(p) for p in _PLACE])
+    stamped = first.withColumn("ingested_at", F.lit(run.run_ts.strftime("%Y-%m-%d %H:%M:%S")))
+    return stamped.withColumnRenamed(_FAULT, "reject_reason").drop(*_PLACE, "_own")
 
 
 def read_statements(spark: SparkSession, folder: str, run: Run, multi_line: bool = False) -> DataFrame:
     """Rows of all statement files of the run date, first row of each transaction id kept.
 
-    "First" is by file name, then by place in the file. Lines with more fields than their header
-    are left out here; ``rejected_statements`` has them. Quoted line breaks need ``multi_line``,
-    which gives up splitting large files.
+    Lines with more fields than their header are left out here; landing keeps them with their reason.
+    Quoted line breaks need ``multi_line``, which gives up splitting large files.
     """
-    rows = _lines(spark, folder, run, multi_line).where(F.col(_FAULT).isNull()).drop(_FAULT)
-    return _stamped(first_per_key(rows, ["txn_id"], [F.col(p) for p in _PLACE]), run)
-
-
-def rejected_statements(spark: SparkSession, folder: str, run: Run, multi_line: bool = False) -> DataFrame:
-    """Lines with more fields than their header, as far as they can be read, with ``reject_reason``."""
-    rows = _lines(spark, folder, run, multi_line).where(F.col(_FAULT).isNotNull())
-    return _stamped(rows, run).withColumnRenamed(_FAULT, "reject_reason")
+    lines, _ = read_lines(spark, folder, [run.run_date], multi_line)
+    return first_lines(lines, run).where("reject_reason is null").drop("reject_reason", "date")
 
 
-def land_statements(spark: SparkSession, folder: str, root: str, run: Run) -> str:
-    return land(read_statements(spark, folder, run), root, "csv", run.run_date, rejected_statements(spark, folder, run))
+def land_statements(spark: SparkSession, folder: str, root: str, run: Run, dates: Sequence[dt.date] | None = None) -> None:
+    """Land the run date, or all of ``dates`` at once, and record which columns each file had."""
+    dates = [run.run_date] if dates is None else list(dates)
+    lines, profiles = read_lines(spark, folder, dates)
+    record(profiles, root, "csv", dates)
+    land_dates(first_lines(lines, run), root, "csv", dates)

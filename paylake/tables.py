@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paylake.config import Run, namespace
 from paylake.functions.audit import with_audit
-from paylake.operators.partitions import by_partition
+from paylake.operators import versioned
+from paylake.operators.partitions import by_partition, table_exists
+from paylake.sources import raw
 
 # Schema folder of every table; None stands for the default schema.
 SCHEMAS = {
     "raw_upi_transactions": "raw_layer",
-    "raw_rejects": "raw_layer",
     "stg_upi_transactions": "staging",
     "int_customers_current": "intermediate",
     "snp_customers": "snapshots",
@@ -28,6 +29,8 @@ SCHEMAS = {
 }
 # Raw tables and the customer history keep one name in every target.
 _FIXED = ("raw_layer", "snapshots")
+# Rejected rows lie in a partition of the raw table.
+_STORED_IN = {"raw_rejects": "raw_upi_transactions"}
 
 
 @dataclass(frozen=True)
@@ -42,14 +45,31 @@ class Tables:
         folder = schema if schema in _FIXED else namespace(schema, self.run.target, self.default_schema)
         return f"{self.root}/{folder}/{table}"
 
+    def folder(self, table: str) -> str:
+        """Where the rows of a table lie now: its current version, or the folder itself."""
+        return versioned.current(self.spark, self.path(table)) or self.path(table)
+
+    def exists(self, table: str) -> bool:
+        return table_exists(self.spark, self.folder(_STORED_IN.get(table, table)))
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        if table == "raw_upi_transactions":
+            return raw.read_raw(self.spark, self.path(table))
+        if table == "raw_rejects":
+            return raw.read_rejects(self.spark, self.path(_STORED_IN[table]))
+        return self.spark.read.parquet(self.folder(table))
 
     def replace(self, df: DataFrame, table: str, day: str | None = None) -> None:
-        """Replace the whole table, by day if it has one, with audit columns."""
-        df = with_audit(df, self.run, table)
-        if day:
-            by_partition(df, day).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-                .partitionBy(day).parquet(self.path(table))
-        else:
-            df.write.mode("overwrite").parquet(self.path(table))
+        """Replace the whole table, by day if it has one, with audit columns.
+
+        Readers see the old table until the new one is complete.
+        """
+        rows = with_audit(df, self.run, table)
+
+        def write(folder: str) -> None:
+            if day:
+                by_partition(rows, day).write.partitionBy(day).parquet(folder)
+            else:
+                rows.write.parquet(folder)
+
+        versioned.replace(self.spark, self.path(table), write)

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from paylake import daily
 from paylake.config import Run
 from paylake.fixed import CANONICAL_COLUMNS
+from paylake.operators.pages import PageDirectory, page_after
 from paylake.operators.versions import ClockWentBack
 from paylake.quality.evaluate import QualityError, enforce, evaluate
 from paylake.quality.freshness import freshness
 from paylake.quality.rules import RULES, Rule
-from paylake.sources import landing, manifest, pages, raw as raw_table, statements
+from paylake.sources import landing, ledger, manifest, pages, raw as raw_table, statements
 from paylake.sources.pages import IncompletePull
 
 DAY = dt.date(2024, 1, 5)
@@ -57,14 +58,52 @@ def test_every_line_lands_or_is_rejected(spark, tmp_path):
         "4,1,,soon,\n5,1,,2024-01-05 10:00:00,,6,7\n6,,,2024-01-05 10:00:00,9\n")
     root = str(tmp_path / "landing")
     statements.land_statements(spark, str(tmp_path), root, RUN)
-    good = {r.txn_id: (r.amount, r.txn_timestamp) for r in landing.read_landing_date(spark, root, DAY).collect()}
+    arrived = landing.read_landing(spark, root, [DAY])
+    good = {r.txn_id: (r.amount, r.txn_timestamp) for r in landing.landed(arrived).collect()}
     assert good == {"1": (7.0, "2024-01-05 10:00:00"), "2": (5.0, "2024-01-05 10:00:01"), "6": (9.0, "2024-01-05 10:00:00")}
-    bad = {r.txn_id: r.reject_reason for r in landing.read_landing_date(spark, landing.rejects_root(root), DAY).collect()}
+    bad = {r.txn_id: r.reject_reason for r in landing.rejected(arrived).collect()}
     assert bad == {"3": "amount cannot be read: x", "4": "txn_timestamp cannot be read: soon", "5": "more than 5 fields"}
-    raw, rejected = str(tmp_path / "raw"), str(tmp_path / "raw_rejects")
-    rows = landing.read_landing_date(spark, root, DAY)
-    assert raw_table.load(rows, raw, rejected, [DAY], landing.read_landing_date(spark, landing.rejects_root(root), DAY)) == {str(DAY): 3}
-    assert spark.read.parquet(rejected).count() == 3
+    raw = str(tmp_path / "raw")
+    assert raw_table.load(arrived, raw, [DAY]) == {str(DAY): 3}
+    kept = {r.txn_id: (r.amount, r.reject_reason) for r in raw_table.read_rejects(spark, raw).collect()}
+    assert kept == {"3": ("x", "amount cannot be read: x"), "4": ("1", "txn_timestamp cannot be read: soon"), "5": ("1", "more than 5 fields")}
+
+
+def counted_runs(spark, work):
+    """How often a source of rows is computed while ``work`` runs."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(x):
+        seen.add(1)
+        return x
+
+    work(passed)
+    return seen.value
+
+
+def test_rows_are_judged_in_one_run_of_their_plan(spark, tmp_path):
+    """Ten rows, good and bad, reach the landing folder and the raw table; the input runs once for each."""
+    rows = [record(i, amount="x" if i % 3 == 0 else "1.5", status="S" * 21 if i % 5 == 0 else "SUCCESS") for i in range(10)]
+    df = spark.createDataFrame([tuple(map(str, r.values())) for r in rows], ", ".join(f"{c} string" for c in CANONICAL_COLUMNS))
+    root, raw = str(tmp_path / "landing"), str(tmp_path / "raw")
+    assert counted_runs(spark, lambda f: landing.land(df.withColumn("city", f("city")), root, "csv", DAY)) == 10
+    arrived = landing.read_landing(spark, root, [DAY])
+    assert (landing.landed(arrived).count(), landing.rejected(arrived).count()) == (6, 4)
+    assert counted_runs(spark, lambda f: raw_table.load(arrived.withColumn("city", f("city")), raw, [DAY])) == 10
+    assert (raw_table.read_raw(spark, raw).count(), raw_table.read_rejects(spark, raw).count()) == (5, 5)
+
+
+def test_a_date_without_rejects_clears_the_old_ones(spark, tmp_path):
+    bad = spark.createDataFrame([tuple(map(str, record(1, amount="x").values()))], ", ".join(f"{c} string" for c in CANONICAL_COLUMNS))
+    good = bad.withColumn("amount", F.lit("2"))
+    root, raw = str(tmp_path / "landing"), str(tmp_path / "raw")
+    for df, want in ((bad, (0, 1)), (good, (1, 0)), (good.limit(0), (0, 0)), (bad, (0, 1))):
+        landing.land(df, root, "csv", DAY)
+        arrived = landing.read_landing(spark, root, [DAY])
+        assert (landing.landed(arrived).count(), landing.rejected(arrived).count()) == want
+        raw_table.load(arrived, raw, [DAY])
+        assert (raw_table.read_raw(spark, raw).count(), raw_table.read_rejects(spark, raw).count()) == want
 
 
 def test_headers_take_one_job_for_any_number_of_files(spark, tmp_path):
@@ -98,16 +137,54 @@ def test_amounts_as_text_and_whole_file_pages(spark, tmp_path):
         pages.read_feed(spark, str(tmp_path / "none"), DAY, DAY)
 
 
-def test_drift_stops_only_its_own_date(spark, tmp_path):
-    root, good = str(tmp_path / "landing"), dt.date(2024, 1, 4)
-    rows = spark.createDataFrame([tuple(record(1).values())], ", ".join(f"{c} {'double' if c == 'amount' else 'string'}" for c in record(1)))
-    for source in ("csv", "api"):
-        landing.land(rows, root, source, good)
-        landing.land(rows, root, source, DAY)
-    rows.drop("city").withColumn("extra", F.lit(1)).write.mode("overwrite").parquet(f"{root}/source=csv/date={DAY}")
-    assert manifest.save_manifest(spark, root, str(tmp_path / "m"), good)["ready"]
-    with pytest.raises(manifest.NotReady, match="csv:-city,csv:\\+extra"):
-        manifest.save_manifest(spark, root, str(tmp_path / "m"), DAY)
+def deliver(tmp_path, day, header, line, **extra):
+    """A statement of one line, and a page with one record."""
+    (tmp_path / f"bank_{day}.csv").write_text(f"{header}\n{line}\n")
+    write_pages(tmp_path / "feed" / str(day), [record(1, day) | extra])
+
+
+@pytest.mark.parametrize("at_once", [False, True])
+def test_a_missing_required_column_stops_only_its_own_date(spark, tmp_path, at_once):
+    root, days = str(tmp_path / "landing"), [dt.date(2024, 1, d) for d in (3, 4, 5)]
+    deliver(tmp_path, days[0], "txn_id,sender_vpa,receiver_vpa,amount,txn_timestamp", "1,a@x,b@y,5,2024-01-03 10:00:00")
+    deliver(tmp_path, days[1], "Transaction_ID,from_vpa,to_vpa,TXN_AMOUNT,timestamp", "1,a@x,b@y,5,2024-01-04 10:00:00", channel="app")
+    deliver(tmp_path, days[2], "txn_id,sender_vpa,receiver_vpa,amount_inr,txn_timestamp", "1,a@x,b@y,5,2024-01-05 10:00:00")
+    for some in [days] if at_once else [[d] for d in days]:
+        statements.land_statements(spark, str(tmp_path), root, RUN, some)
+        pages.land_feed(spark, str(tmp_path / "feed"), root, RUN, dates=some)
+    found = [manifest.save_manifest(spark, root, str(tmp_path / "m"), d) for d in days[:2]]
+    assert all(m["ready"] and m["csv_rows"] == m["api_rows"] == 1 for m in found)
+    assert "csv:-status" in found[0]["schema_drift"] and "amount" not in found[0]["schema_drift"]
+    assert "api:+channel" in found[1]["schema_drift"]
+    with pytest.raises(manifest.NotReady, match="csv:\\+amount_inr,csv:-amount"):
+        manifest.save_manifest(spark, root, str(tmp_path / "m"), days[2])
+    entries = {(r.source, str(r.date)): (r.missing, r.extra) for r in ledger.read_ledger(spark, root).collect()}
+    assert len(entries) == 6 and entries["api", "2024-01-04"] == ([], ["channel"]) and entries["csv", "2024-01-05"][1] == ["amount_inr"]
+
+
+def test_the_ledger_has_a_row_for_each_file(spark, tmp_path):
+    (tmp_path / f"a_{DAY}.csv").write_text("txn_id,amount\n1,2\n")
+    (tmp_path / f"b_{DAY}.csv").write_text("txn_id,sender_vpa\n")  # a header alone
+    statements.land_statements(spark, str(tmp_path), str(tmp_path / "landing"), RUN)
+    got = {r.file.rsplit("/", 1)[1][0]: r.missing for r in ledger.read_ledger(spark, str(tmp_path / "landing"), [DAY]).collect()}
+    assert "amount" not in got["a"] and "amount" in got["b"] and "sender_vpa" in got["a"]
+    assert ledger.read_ledger(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_dates_landed_together_equal_dates_landed_one_by_one(spark, tmp_path, inputs):
+    days = [DAY, dt.date(2024, 1, 6)]
+    (tmp_path / "statements" / "both_2024-01-05_2024-01-06.csv").write_text("txn_id,amount,txn_timestamp\nB1,5,2024-01-05 10:00:00\nC5-1,x,\n")
+
+    def landed(root):
+        return sorted(map(repr, landing.read_landing(spark, root).collect())), sorted(map(repr, ledger.read_ledger(spark, root).collect()))
+
+    one, other = str(tmp_path / "one"), str(tmp_path / "other")
+    statements.land_statements(spark, inputs.statements, one, RUN, days)
+    pages.land_feed(spark, inputs.feed, one, RUN, dates=days)
+    for day in days:
+        statements.land_statements(spark, inputs.statements, other, dataclasses.replace(RUN, run_date=day))
+        pages.land_feed(spark, inputs.feed, other, dataclasses.replace(RUN, run_date=day))
+    assert landed(one) == landed(other) and landing.read_landing(spark, one).where("txn_id = 'B1'").count() == 2
 
 
 def test_no_statements(spark, tmp_path):
@@ -138,12 +215,12 @@ def test_pages(spark, tmp_path):
     df = pages.read_feed(spark, str(tmp_path / "whole"), DAY, DAY)
     assert (df.count(), df.select("txn_id").distinct().count()) == (450, 450)
     assert pages.lookup(df, "P7").first().amount == "17.5"
-    page = pages.one_page(df.withColumn("amount", F.col("amount").cast("double")), ["amount"], offset=400, limit=200).collect()
-    assert [r.txn_id for r in page] == [f"P{i}" for i in range(400, 450)]
     numbers = df.select("txn_id", F.col("amount").cast("double").alias("amount"))
-    assert [r.txn_id for r in pages.page_after(numbers, ["amount", "txn_id"], (page[0].amount, "P400"), 3).collect()] == ["P401", "P402", "P403"]
+    page = PageDirectory.build(numbers, ["amount"]).page(400).collect()
+    assert [r.txn_id for r in page] == [f"P{i}" for i in range(400, 450)]
+    assert [r.txn_id for r in page_after(numbers, ["amount", "txn_id"], (page[0].amount, "P400"), 3).collect()] == ["P401", "P402", "P403"]
     with pytest.raises(ValueError):
-        pages.one_page(df, ["amount"], limit=501)
+        page_after(numbers, ["amount"], (1.0,), limit=501)
 
 
 def test_missing_page_fails(spark, tmp_path):
