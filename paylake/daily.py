@@ -18,14 +18,16 @@ from paylake.fixed import TRACKED_CUSTOMER_COLUMNS
 from paylake.functions.audit import AUDIT_COLUMNS, with_audit
 from paylake.operators import versions
 from paylake.operators.scratch import stored_for
+from paylake.operators.timeline import COUNTS
 from paylake.operators.upsert import upsert
-from paylake.plans import customers, enriched, fraud, staging, transactions
+from paylake.plans import continued, customers, enriched, fraud, staging, transactions
 from paylake.quality.evaluate import enforce, evaluate
 from paylake.sources import manifest, raw as raw_table
 from paylake.sources.landing import read_landing
 from paylake.sources.pages import land_feed
 from paylake.sources.statements import land_statements
 from paylake.tables import Tables
+from paylake.touched import Touched
 
 STAGES = ("ingest", "load", "prep", "snapshot", "marts", "quality")
 SESSION = {"spark.sql.session.timeZone": "UTC", "spark.ui.enabled": SparkConf().get("spark.ui.enabled", "false")}
@@ -66,13 +68,14 @@ def build_staging(tables: Tables, full_refresh: bool = False) -> None:
     of order is left out until a ``full_refresh``.
     """
     raw = tables.read("raw_upi_transactions")
-    run, table = tables.run, "stg_upi_transactions"
+    run, table, touched = tables.run, "stg_upi_transactions", Touched(tables.spark, tables.root)
     if full_refresh or not tables.exists(table):
+        touched.note(MARTS, None)
         tables.replace(staging.stage(raw, run), table, "txn_date")
         return
     high_water = tables.read(table).agg(F.max("txn_date")).first()[0]
     rows = staging.stage(staging.new_rows(raw, high_water), run)
-    upsert(with_audit(rows, run, table), tables.folder(table), "txn_id", "txn_date")
+    upsert(with_audit(rows, run, table), tables.folder(table), "txn_id", "txn_date", note=lambda days: touched.note(MARTS, days))
 
 
 def _staged(tables: Tables) -> DataFrame:
@@ -94,26 +97,83 @@ def dim_customers(tables: Tables) -> DataFrame:
     return customers.dim_customers(versions.read_versions(tables.spark, tables.path("snp_customers")))
 
 
-def build_marts(tables: Tables, only: Iterable[str] = MARTS) -> None:
-    """Rebuild the chosen marts. Enriched rows are written once and read by all of them."""
-    run, only = tables.run, set(only)
-    stg = _staged(tables)
-    if only & {"fct_transactions", "fct_daily_summary", "fct_customer_activity", "fct_fraud_signals"}:
-        with stored_for(enriched.features(stg, run, enriched.hot_senders(stg, run)), "enriched") as rows:
-            if "fct_transactions" in only:
-                tables.replace(transactions.fct_transactions(rows, dim_customers(tables)), "fct_transactions", "txn_date")
-            if "fct_daily_summary" in only:
-                tables.replace(transactions.fct_daily_summary(rows), "fct_daily_summary")
-            if "fct_customer_activity" in only:
-                tables.replace(transactions.fct_customer_activity(rows), "fct_customer_activity")
-            if "fct_fraud_signals" in only:
-                tables.replace(fraud.fct_fraud_signals(rows, run), "fct_fraud_signals", "txn_date")
-    if only & {"fct_fraud_scores", "fct_fraud_summary"}:
-        signals = tables.read("fct_fraud_signals").drop(*AUDIT_COLUMNS)
-        if "fct_fraud_scores" in only:
-            tables.replace(fraud.fct_fraud_scores(signals), "fct_fraud_scores")
-        if "fct_fraud_summary" in only:
-            tables.replace(fraud.fct_fraud_summary(signals, stg), "fct_fraud_summary")
+def _day_local(tables: Tables, stg: DataFrame, features: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """The marts of which a day follows from its own transactions alone."""
+    def signals() -> DataFrame:
+        return fraud.fct_fraud_signals(features, tables.run)
+
+    def scores() -> DataFrame:
+        return fraud.fct_fraud_scores(signals()).withColumn("txn_date", F.to_date("txn_timestamp"))
+
+    return {
+        "fct_daily_summary": lambda: transactions.fct_daily_summary(features),
+        "fct_customer_activity": lambda: transactions.fct_customer_activity(features),
+        "fct_fraud_signals": signals,
+        "fct_fraud_scores": scores,
+        "fct_fraud_summary": lambda: fraud.fct_fraud_summary(signals(), stg),
+    }
+
+
+def _versions_shown(tables: Tables) -> DataFrame:
+    open_rows = versions.read_versions(tables.spark, tables.path("snp_customers")).where("dbt_valid_to is null")
+    return open_rows.select("sender_vpa", "dbt_scd_id")
+
+
+def _build_whole(tables: Tables, only: list[str]) -> None:
+    """Marts from all of staging. Enriched rows are written once and read by all of them."""
+    run, stg = tables.run, _staged(tables)
+    with stored_for(enriched.features(stg, run, enriched.hot_senders(stg, run)), "enriched") as rows:
+        for mart, build in _day_local(tables, stg, rows).items():
+            if mart in only:
+                tables.replace(build(), mart, "txn_date")
+        if "fct_transactions" in only:
+            shown = _versions_shown(tables)
+            tables.replace(transactions.fct_transactions(rows.drop(*COUNTS), dim_customers(tables)), "fct_transactions", "txn_date")
+            tables.replace(continued.counts_by_day(rows), "sender_days", "txn_date")
+            tables.replace(shown, "fact_versions")
+
+
+def _build_days(tables: Tables, only: dict[str, tuple[dt.date, ...]]) -> None:
+    """Marts of touched days, by mart. Ranks go on from the stored counts of senders by day."""
+    run, stg = tables.run, _staged(tables)
+    local = {m: d for m, d in only.items() if m != "fct_transactions" and d}
+    if local:
+        days = sorted({d for some in local.values() for d in some})
+        part = stg.where(F.col("txn_date").isin(days))
+        with stored_for(enriched.features(part, run, enriched.hot_senders(part, run)), "enriched") as rows:
+            for mart, build in _day_local(tables, part, rows).items():
+                if mart in local:
+                    tables.replace_days(build(), mart, "txn_date", local[mart])
+    if "fct_transactions" in only:
+        touched, before = list(only["fct_transactions"]), tables.read("sender_days").select("sender_vpa", "txn_date", "n")
+        fresh = continued.counts_by_day(stg.where(F.col("txn_date").isin(touched)))
+        with stored_for(before.where(~F.col("txn_date").isin(touched)).unionByName(fresh), "counts") as now, \
+                stored_for(_versions_shown(tables), "versions") as shown:
+            days = continued.days_to_build(touched, before, now, tables.read("fact_versions"), shown)
+            if days:
+                rows = continued.enriched_of_days(stg, now, days, run)
+                tables.replace_days(transactions.fct_transactions(rows, dim_customers(tables)), "fct_transactions", "txn_date", days)
+            # What the facts go on from changes after them: a run that stops here builds the same days again.
+            if touched:
+                tables.replace_days(now, "sender_days", "txn_date", touched)
+            tables.replace(shown, "fact_versions")
+
+
+def build_marts(tables: Tables, only: Iterable[str] = MARTS) -> dict[str, tuple[dt.date, ...] | None]:
+    """Bring the chosen marts up to staging; returns the touched days of each, None for all.
+
+    A mart that exists and knows all days that changed since it was built gets these days alone.
+    """
+    touched, chosen = Touched(tables.spark, tables.root), [m for m in MARTS if m in set(only)]
+    notes = {m: touched.open_notes(m) for m in chosen}
+    kept = {m: [m, "sender_days", "fact_versions"] if m == "fct_transactions" else [m] for m in chosen}
+    whole = [m for m in chosen if notes[m].days is None or not all(map(tables.exists, kept[m]))]
+    if whole:
+        _build_whole(tables, whole)
+    _build_days(tables, {m: notes[m].days for m in chosen if m not in whole})
+    for m in chosen:
+        touched.done(m, notes[m])
+    return {m: None if m in whole else notes[m].days for m in chosen}
 
 
 def check_quality(tables: Tables) -> DataFrame:

@@ -306,16 +306,46 @@ CHECKS = {
 }
 
 
-def rule_counts(tables: dict[str, str]) -> str:
-    from paylake.quality.rules import RULES
+# The declared checks, written down apart from the engine's list: relation, severity, check, columns, values.
+DECLARED = (
+    ("raw_upi_transactions", "error", "not_null", "txn_id txn_timestamp", ""),
+    ("raw_upi_transactions", "error", "unique", "txn_id", ""),
+    ("raw_upi_transactions", "warn", "accepted_values", "status", "SUCCESS FAILED PENDING REVERSED"),
+    ("stg_upi_transactions", "error", "not_null", "txn_id amount_inr status sender_vpa receiver_vpa txn_date sender_bank receiver_bank", ""),
+    ("stg_upi_transactions", "error", "unique", "txn_id", ""),
+    ("stg_upi_transactions", "error", "accepted_values", "status", "SUCCESS FAILED PENDING REVERSED UNKNOWN"),
+    ("stg_upi_transactions", "error", "no_negative", "amount_inr", ""),
+    ("stg_upi_transactions", "error", "no_future", "txn_timestamp", ""),
+    ("fct_transactions", "error", "not_null", "txn_id sender_vpa receiver_vpa txn_date", ""),
+    ("fct_transactions", "error", "unique", "txn_id", ""),
+    ("fct_transactions", "error", "assert_positive", "amount_inr", ""),
+    ("fct_transactions", "error", "accepted_values", "status", "SUCCESS FAILED PENDING REVERSED UNKNOWN"),
+    ("fct_transactions", "error", "accepted_values", "txn_size_bucket", "MICRO SMALL MEDIUM LARGE HIGH_VALUE"),
+    ("fct_daily_summary", "error", "not_null", "txn_date", ""),
+    ("fct_daily_summary", "error", "assert_positive", "txn_count", ""),
+    ("dim_customers", "error", "not_null", "customer_vpa primary_bank first_txn_date last_txn_date", ""),
+    ("dim_customers", "error", "unique", "customer_vpa", ""),
+    ("dim_customers", "error", "assert_positive", "total_txns", ""),
+    ("dim_customers", "error", "accepted_values", "customer_tier", "BRONZE SILVER GOLD PLATINUM"),
+    ("fct_customer_activity", "error", "not_null", "sender_vpa txn_date", ""),
+    ("fct_customer_activity", "error", "assert_positive", "daily_txn_count", ""),
+    ("fct_fraud_signals", "error", "not_null", "txn_id signal_type signal_reason sender_vpa txn_date", ""),
+    ("fct_fraud_signals", "error", "accepted_values", "signal_type",
+     "HIGH_VALUE_OFF_HOURS RAPID_REPEAT_SENDER ALWAYS_FAILED_SENDER HIGH_VALUE_REVERSAL CROSS_BANK_HIGH_VALUE"),
+    ("fct_fraud_summary", "error", "not_null", "txn_date signal_type", ""),
+    ("fct_fraud_summary", "error", "assert_positive", "flagged_txn_count", ""),
+)
+
 
+def rule_counts(tables: dict[str, str]) -> str:
     rows = []
-    for r in RULES:
-        values = ", ".join(f"'{v}'" for v in r.values)
-        count = CHECKS[r.check].format(c=r.column, t=tables[r.relation], values=values)
-        rows.append(f"select '{r.relation}' as relation, '{r.column}' as column_name, '{r.check}' as check_name, "
-                    f"'{r.severity}' as severity, {'any_value' if r.check == 'unique' else ''}({count})::bigint as failures "
-                    f"from {tables[r.relation]}")
+    for relation, severity, check, columns, values in DECLARED:
+        for column in columns.split():
+            listed = ", ".join(f"'{v}'" for v in values.split())
+            count = CHECKS[check].format(c=column, t=tables[relation], values=listed)
+            rows.append(f"select '{relation}' as relation, '{column}' as column_name, '{check}' as check_name, "
+                        f"'{severity}' as severity, {'any_value' if check == 'unique' else ''}({count})::bigint as failures "
+                        f"from {tables[relation]}")
     return "\nunion all ".join(rows)
 
 
@@ -356,12 +386,11 @@ judged as (
 
 
 def signal_queries() -> dict[str, str]:
-    from paylake.fixed import SIGNAL_TYPES
-
+    names = next(values for relation, _, check, columns, values in DECLARED if columns == "signal_type")
     return {
         f"signal_{name.lower()}": statement(*TO_SIGNALS, select=f"select * from signals where signal_type = '{name}'",
                                             double=SIGNAL_DOUBLES, text=("txn_date",))
-        for name in SIGNAL_TYPES
+        for name in names.split()
     }
 
 

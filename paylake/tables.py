@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paylake.config import Run, namespace
 from paylake.functions.audit import with_audit
 from paylake.operators import versioned
-from paylake.operators.partitions import by_partition, table_exists
+from paylake.operators.partitions import by_partition, replace_partitions, table_exists
 from paylake.sources import raw
 
 # Schema folder of every table; None stands for the default schema.
@@ -26,7 +27,12 @@ SCHEMAS = {
     "fct_fraud_summary": "mart_fraud",
     "dq_results": None,
     "run_metrics": None,
+    # What marts go on from: transactions by sender and day, and the customer versions that facts show.
+    "sender_days": "mart_transaction",
+    "fact_versions": "mart_transaction",
 }
+# The scores have no day of their own; they are stored by one.
+_HIDDEN = {"fct_fraud_scores": ("txn_date",)}
 # Raw tables and the customer history keep one name in every target.
 _FIXED = ("raw_layer", "snapshots")
 # Rejected rows lie in a partition of the raw table.
@@ -57,7 +63,11 @@ class Tables:
             return raw.read_raw(self.spark, self.path(table))
         if table == "raw_rejects":
             return raw.read_rejects(self.spark, self.path(_STORED_IN[table]))
-        return self.spark.read.parquet(self.folder(table))
+        return self.spark.read.parquet(self.folder(table)).drop(*_HIDDEN.get(table, ()))
+
+    def replace_days(self, df: DataFrame, table: str, day: str, days: Sequence) -> None:
+        """Make the rows the whole content of these days of the table's current version."""
+        replace_partitions(with_audit(df, self.run, table), self.folder(table), day, days)
 
     def replace(self, df: DataFrame, table: str, day: str | None = None) -> None:
         """Replace the whole table, by day if it has one, with audit columns.
@@ -69,6 +79,8 @@ class Tables:
         def write(folder: str) -> None:
             if day:
                 by_partition(rows, day).write.partitionBy(day).parquet(folder)
+                if not table_exists(self.spark, folder):  # a table without a row keeps its columns
+                    rows.drop(day).limit(0).write.parquet(f"{folder}/{day}={self.run.run_date}")
             else:
                 rows.write.parquet(folder)
 
