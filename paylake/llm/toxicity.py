@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake.llm import letters, linear
 from paylake.llm.batches import parts
+from paylake.llm.sampling import lowest
 from paylake.llm.workers import ship
 from paylake.operators.scratch import stored
 
@@ -154,19 +155,22 @@ def label_model(fires: np.ndarray, given: np.ndarray, rows: np.ndarray) -> np.nd
     return q
 
 
-def learn(labelled: DataFrame) -> Model:
-    """Voters, label model and classifier from rows with doc_id, text and toxic (0 or 1).
+def learn(documents: DataFrame, labels: DataFrame) -> Model:
+    """Voters, label model and classifier from documents (doc_id, text) and labels (doc_id, toxic 0 or 1).
 
     At most TOXIC_SAMPLE and CLEAN_SAMPLE documents count, those of lowest hash; they stand for all
-    labelled ones of their class.
+    labelled ones of their class. Null ids and other labels are left out. The documents are chosen by
+    their ids; no text moves but those that were chosen.
     """
-    ship(labelled.sparkSession)
-    ids = stored(labelled.select("doc_id", "toxic"), "labelled")
-    all_of = {int(r[0]): r[1] for r in ids.groupBy("toxic").count().collect()}
-    chosen = [ids.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for value, most in ((1, TOXIC_SAMPLE), (0, CLEAN_SAMPLE))]
-    chosen = stored(chosen[0].union(chosen[1]).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")).distinct(), "chosen")
-    sample = labelled.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("toxic") == F.col("label")))
-    sample = stored(sample.select("doc_id", "text", F.col("label").cast("int").alias("label")), "sample")
+    ship(documents.sparkSession)
+    known = labels.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("bigint").alias("id"), F.col("toxic").cast("int").alias("label")).distinct()
+    present = documents.select(F.col("doc_id").cast("bigint").alias("id")).where("id is not null")
+    ids = stored(present.join(known, "id"), "labelled")
+    all_of = {int(r[0]): r[1] for r in ids.groupBy("label").count().collect()}
+    different = ids.distinct()
+    chosen = stored(different.where(lowest(different, "id", "label", {1: TOXIC_SAMPLE, 0: CLEAN_SAMPLE})), "chosen")
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sample = stored(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "label"), "sample")
     hashes, stems, times = _voters(sample.where("label = 1"), sample.where("label = 0"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +215,5 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 def held_out_toxicity(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Learns from four fifths of the labelled documents and scores all."""
     fold = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
-    known = labels.where("doc_id is not null and toxic in (0, 1)").where(~fold).select("doc_id", "toxic").distinct()
-    train = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(known, "doc_id")
-    model = learn(train)
+    model = learn(documents, labels.where(~fold))
     return score(documents, model).select("doc_id", fold.alias("held_out"), "score", "predicted")
