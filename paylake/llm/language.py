@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paylake.llm import letters
 from paylake.llm.batches import parts
+from paylake.llm.sampling import lowest
 from paylake.llm.workers import ship
 from paylake.operators.scratch import stored
 
@@ -153,10 +154,8 @@ def learn(spark: SparkSession, labelled: DataFrame, path: str) -> tuple[list[str
     At most SAMPLE documents of each language count, those of lowest hash.
     """
     ship(spark)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = labelled.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= SAMPLE)
-    chosen = stored(chosen.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")).distinct(), "chosen")
-    texts = labelled.join(chosen, (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of"))).select("lang", "text")
+    different = stored(labelled.select("doc_id", "lang").distinct(), "labelled")
+    texts = labelled.where(lowest(different, "doc_id", "lang", SAMPLE)).select("lang", "text")
     counted = stored(_counted(texts), "counted")
     langs = sorted(r[0] for r in counted.select("lang").distinct().collect())
     if not langs:
@@ -199,7 +198,6 @@ def identify(documents: DataFrame, langs: list[str], p: np.ndarray, path: str) -
     """
     ship(documents.sparkSession)
 
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(path)
         for some, texts in parts(batches):
