@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from paylake.llm.pretokens import L, _scrambled, classes, groups
+from paylake.llm.pretokens import L, classes, groups, powers
 from paylake.llm.shingles import mixed
 
 GROUP = 1 << 20  # characters held at a time
@@ -22,22 +22,16 @@ def _numbers() -> np.ndarray:
     return mixed((np.arange(0x110000, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
 
 
-_powers = _scrambled(1)
-
-
 def running(cps: np.ndarray) -> np.ndarray:
     """Running sums from which every stretch of code points has its hash."""
-    global _powers
-    if len(_powers[0]) <= len(cps):
-        _powers = _scrambled(2 * len(cps))
     total = np.zeros(len(cps) + 1, np.uint64)
-    np.cumsum(_numbers()[cps] * _powers[0][:len(cps)], out=total[1:])
+    np.cumsum(_numbers()[cps] * powers(len(cps))[0][:len(cps)], out=total[1:])
     return total
 
 
 def between(total: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Hash of each stretch; equal stretches have equal hashes wherever they lie."""
-    return (total[stop] - total[begin]) * _powers[1][begin] + (stop - begin).astype(np.uint64)
+    return (total[stop] - total[begin]) * powers(len(total))[1][begin] + (stop - begin).astype(np.uint64)
 
 
 @dataclass

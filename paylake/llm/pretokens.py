@@ -179,6 +179,14 @@ def _scrambled(n: int) -> tuple[np.ndarray, np.ndarray]:
 _powers = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers and inverse powers, from one table for all kinds of hashes of a worker."""
+    global _powers
+    if len(_powers[0]) <= n:
+        _powers = _scrambled(max(n + n // 4, WINDOW + WINDOW // 4))
+    return _powers
+
+
 def distinct(texts: list[str], table: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct pre-tokens, the number of each pre-token's in text order, and the texts' ends.
 
@@ -186,12 +194,9 @@ def distinct(texts: list[str], table: np.ndarray) -> tuple[list[bytes], np.ndarr
     together again from the distinct ones and compared, so two pre-tokens of one hash are noticed;
     the pre-tokens are then cut out and compared themselves. A zero byte stands after each text.
     """
-    global _powers
     raw, at, last = cuts(texts, table)
     n = len(raw)
-    if len(_powers[0]) <= n:
-        _powers = _scrambled(max(n, 2 * WINDOW))
-    up, down = _powers
+    up, down = powers(n)
     byte = np.frombuffer(raw, np.uint8)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((byte.astype(np.uint64) + np.uint64(0x51ED270B)) * up[:n], out=total[1:])

@@ -1,10 +1,15 @@
 """Quality by co-training two views of a document.
 
 One classifier sees the text's content, the other the page: language, source, declared length and
-layout. Both start from the same labelled documents. In every round each labels the unlabelled
-documents it is sure of, and the other learns from those labels too. On labelled documents kept
-apart, each view's log-odds are calibrated and the two are combined; the result scores every
-document. Features are cut at quantiles, so a linear classifier can follow any shape of each.
+layout. Both start from the same labelled documents. In every round each view labels the unlabelled
+documents it is surest of, a growing share of all of them, and the other learns from those labels too.
+On labelled documents kept apart, each view's log-odds are calibrated and the two are combined; the
+result scores every document. Features are cut at quantiles, so a linear classifier can follow any
+shape of each.
+
+Labelled documents are a bounded sample on the driver. The unlabelled ones, all of them, stay in a
+table of small codes: a round counts how sure the views are of them, and each step of learning sums
+the slopes of the pseudo-labelled ones, so a few hundred sums reach the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from __future__ import annotations
 import functools
 import unicodedata
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,15 +25,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paylake.llm import letters, linear
+from paylake.llm.batches import release, stretches, texts_of
 from paylake.llm.pretokens import groups
+from paylake.llm.sampling import lowest
 from paylake.llm.workers import ship
 from paylake.operators.scratch import stored
 
 LABELLED = 8_000  # labelled documents that are learned from and calibrated on
-POOL = 8_000  # unlabelled documents that the views may label for each other
-ROUNDS = 4
-SURE = 0.97  # probability from which a view is sure of a label
-SHARE = 0.1  # of the pool that a view may label in a round, its surest first
+ROUNDS = 3
+STEPS = 4  # of learning in a round
+SURE = 2.2  # log-odds from which a view is sure of a label: nine tenths
+SHARE = 0.1  # of the unlabelled documents that each further round may label, the surest first
+TRUST = 0.5  # weight of all pseudo-labels, to that of the labels, at most
+STEP, STEPS_WIDE = 0.05, 800  # log-odds are counted in steps
+RIDGE = 2.0
 BINS = 10  # quantiles of a feature
 LANGS, SOURCES = 8, 32  # columns that languages and sources are hashed to
 COLUMNS = ("text", "lang", "source", "n_chars")
@@ -95,40 +106,48 @@ def features(texts: list[str], declared: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, len(CONTENT) + len(LAYOUT)))
 
 
-def _hashed(values: list[str | None], columns: int) -> np.ndarray:
-    out = np.zeros((len(values), columns))
-    out[np.arange(len(values)), [zlib.crc32((v or "").encode()) % columns for v in values]] = 1
-    return out
-
-
 @dataclass
-class Model:
+class Coding:
+    """Documents as codes: the column, of a view's one-hot matrix, that each feature falls in."""
+
     edges: list[np.ndarray]
-    content: np.ndarray
-    page: np.ndarray
-    calibration: tuple[np.ndarray, np.ndarray]
-    combination: np.ndarray
 
-    def views(self, x: np.ndarray, langs: list, sources: list) -> tuple[np.ndarray, np.ndarray]:
-        return _views(x, langs, sources, self.edges)
+    def widths(self) -> tuple[list[int], list[int]]:
+        sizes, k = [len(e) + 1 for e in self.edges], len(CONTENT)
+        return sizes[:k], [*sizes[k:], LANGS, SOURCES]
 
-    def scores(self, x: np.ndarray, langs: list, sources: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probability of good quality: combined, of the content and of the page."""
-        a, b = self.views(x, langs, sources)
-        odds = np.stack([linear.apply(linear.apply(v, w)[:, None], c) for v, w, c in ((a, self.content, self.calibration[0]), (b, self.page, self.calibration[1]))], 1)
-        return linear.sigmoid(linear.apply(odds, self.combination)), linear.sigmoid(odds[:, 0]), linear.sigmoid(odds[:, 1])
+    def codes(self, x: np.ndarray, langs: list, sources: list) -> list[np.ndarray]:
+        """Of the content and of the page: (documents, features)."""
+        bins = [np.searchsorted(e, c, "right") for e, c in zip(self.edges, x.T)]
+        hashed = [np.array([zlib.crc32((v or "").encode()) % n for v in values], np.int64) for values, n in ((langs, LANGS), (sources, SOURCES))]
+        k, out = len(CONTENT), []
+        for columns, sizes in zip((bins[:k], [*bins[k:], *hashed]), self.widths()):
+            begin = np.cumsum(sizes) - sizes
+            out.append(np.stack([c + b for c, b in zip(columns, begin)], 1).astype(np.int32))
+        return out
 
+    def one_hot(self, codes: np.ndarray, view: int) -> np.ndarray:
+        out = np.zeros((len(codes), sum(self.widths()[view])))
+        out[np.arange(len(codes))[:, None], codes] = 1
+        return out
 
-def _binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
-    columns = []
-    for i, e in enumerate(edges):
-        columns.append(np.eye(len(e) + 1)[np.searchsorted(e, x[:, i], "right")])
-    return np.hstack(columns)
 
+def odds(codes: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Log-odds of codes by weights, the bias last."""
+    return w[codes].sum(1) + w[-1]
 
-def _views(x: np.ndarray, langs: list, sources: list, edges: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k = len(CONTENT)
-    return _binned(x[:, :k], edges[:k]), np.hstack([_binned(x[:, k:], edges[k:]), _hashed(langs, LANGS), _hashed(sources, SOURCES)])
+
+@dataclass
+class Model:
+    coding: Coding
+    weights: list[np.ndarray]
+    calibration: list[np.ndarray]
+    combination: np.ndarray
+
+    def scores(self, x: np.ndarray, langs: list, sources: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probability of good quality: combined, of the content and of the page."""
+        each = [linear.apply(odds(c, w)[:, None], k) for c, w, k in zip(self.coding.codes(x, langs, sources), self.weights, self.calibration)]
+        return linear.sigmoid(linear.apply(np.stack(each, 1), self.combination)), linear.sigmoid(each[0]), linear.sigmoid(each[1])
 
 
 def _edges(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -137,41 +156,93 @@ def _edges(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return [np.unique(np.concatenate([np.quantile(c[y == v], steps) for v in (0, 1)] + [np.quantile(c, [0.005, 0.995])])) for c in x.T]
 
 
-def co_train(x: np.ndarray, langs: list, sources: list, y: np.ndarray) -> Model:
-    """From features of labelled (y 0 or 1) and unlabelled (y -1) documents, in a fixed order."""
-    known = np.flatnonzero(y >= 0)
-    held = known[np.arange(len(known)) % 4 == 3]
-    train = np.setdiff1d(known, held)
+#: A function that gives vectors by view for a part of the documents, and one that sums them over all,
+#: from the function and the vectors' lengths.
+Sums = Callable[[list[np.ndarray]], list[np.ndarray]]
+Gather = Callable[[Sums, list[int]], list[np.ndarray]]
+
+
+def _how_sure(weights: list[np.ndarray]) -> Sums:
+    """How many documents each view is how sure of, in steps of STEP."""
+    def count(codes: list[np.ndarray]) -> list[np.ndarray]:
+        return [np.bincount(np.minimum(np.abs(odds(c, w)) / STEP, STEPS_WIDE - 1).astype(np.int64), minlength=STEPS_WIDE).astype(float)
+                for c, w in zip(codes, weights)]
+
+    return count
+
+
+def _slopes(weights: list[np.ndarray], teachers: list[np.ndarray], least: list[float]) -> Sums:
+    """Slope of each view's loss on the documents that the other, as it was, is sure of."""
+    def add(codes: list[np.ndarray]) -> list[np.ndarray]:
+        out = []
+        for v, w in enumerate(weights):
+            said = odds(codes[1 - v], teachers[1 - v])
+            sure = np.abs(said) >= least[1 - v]
+            mine = codes[v][sure]
+            off = linear.sigmoid(odds(mine, w)) - (said[sure] > 0)
+            slope = np.bincount(mine.ravel(), np.repeat(off, mine.shape[1]), len(w))[: len(w)]
+            slope[-1] = off.sum()
+            out.append(slope)
+        return out
+
+    return add
+
+
+def _least_sure(counts: np.ndarray, share: float) -> tuple[float, float]:
+    """Log-odds that at most a share of the documents reach, SURE at least, and how many reach it."""
+    reach = np.cumsum(counts[::-1])[::-1]
+    first = max(int(np.ceil(SURE / STEP)), int(np.argmax(reach <= share * counts.sum())) if (reach <= share * counts.sum()).any() else STEPS_WIDE)
+    return (first * STEP, float(reach[first])) if first < STEPS_WIDE else (np.inf, 0.0)
+
+
+def teach(coding: Coding, codes: list[np.ndarray], y: np.ndarray, gather: Gather) -> list[np.ndarray]:
+    """Weights of both views from labelled documents and, round by round, from each other."""
+    x = [np.hstack([coding.one_hot(c, v), np.ones((len(c), 1))]) for v, c in enumerate(codes)]
+    weights = [linear.fit(v[:, :-1], y, ridge=RIDGE) for v in x]
+    for r in range(ROUNDS):
+        counts = gather(_how_sure(weights), [STEPS_WIDE] * 2)
+        least, taught = zip(*[_least_sure(c, SHARE * (r + 1)) for c in counts])
+        if not any(taught):
+            break
+        teachers = [w.copy() for w in weights]
+        for _ in range(STEPS):
+            slopes = gather(_slopes(weights, teachers, list(least)), list(map(len, weights)))
+            for v, w in enumerate(weights):
+                trust = min(1.0, TRUST * len(y) / max(taught[1 - v], 1.0))
+                penalty = np.full(len(w), RIDGE)
+                penalty[-1] = 1e-6
+                p = linear.sigmoid(x[v] @ w)
+                slope = x[v].T @ (p - y) + trust * slopes[v] + penalty * w
+                # The labelled documents' curvature stands for that of all; it is the larger one.
+                more = 1 + trust * taught[1 - v] / len(y)
+                bend = more * (x[v] * np.maximum(p * (1 - p), 1e-3)[:, None]).T @ x[v] + np.diag(penalty)
+                step = np.linalg.solve(bend, slope)
+                weights[v] = w - step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+    return weights
+
+
+def split(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the labelled documents that are learned from and of those that are kept apart, a quarter."""
+    places = np.arange(len(y))
+    held, train = places[places % 4 == 3], places[places % 4 != 3]
     if not len(held) or len(np.unique(y[held])) < 2 or len(np.unique(y[train])) < 2:
-        held = train = known
-    pool = np.flatnonzero(y < 0)
-    edges = _edges(x[train], y[train])
-    views = _views(x, langs, sources, edges)
-    label = [dict(zip(train.tolist(), y[train].tolist())) for _ in views]
-    weights = [np.zeros(0), np.zeros(0)]
-    for _ in range(ROUNDS + 1):
-        for v in (0, 1):
-            rows = np.fromiter(label[v], np.int64)
-            weights[v] = linear.fit(views[v][rows], np.fromiter(label[v].values(), float), ridge=2.0)
-        for v in (0, 1):
-            open_ = pool[[i not in label[1 - v] for i in pool.tolist()]]
-            if not len(open_):
-                continue
-            chance = linear.sigmoid(linear.apply(views[v][open_], weights[v]))
-            sure = np.maximum(chance, 1 - chance)
-            best = np.argsort(-sure, kind="stable")[: int(SHARE * len(pool))]
-            best = best[sure[best] >= SURE]
-            label[1 - v].update((int(i), float(c >= 0.5)) for i, c in zip(open_[best], chance[best]))
-    odds = [linear.apply(views[v][held], weights[v])[:, None] for v in (0, 1)]
-    calibration = tuple(linear.fit(o, y[held].astype(float)) for o in odds)
-    both = np.hstack([linear.apply(o, c)[:, None] for o, c in zip(odds, calibration)])
-    return Model(edges, weights[0], weights[1], calibration, linear.fit(both, y[held].astype(float)))
+        return places, places
+    return train, held
+
+
+def finished(coding: Coding, weights: list[np.ndarray], codes: list[np.ndarray], y: np.ndarray) -> Model:
+    """Calibrates and combines the views on labelled documents kept apart."""
+    each = [odds(c, w)[:, None] for c, w in zip(codes, weights)]
+    calibration = [linear.fit(o, y) for o in each]
+    both = np.hstack([linear.apply(o, c)[:, None] for o, c in zip(each, calibration)])
+    return Model(coding, weights, calibration, linear.fit(both, y))
 
 
 def _read(columns: tuple[pa.Array, ...]) -> tuple[np.ndarray, list, list]:
     text, lang, source, n_chars = columns
     declared = n_chars.cast(pa.float64()).fill_null(-1).to_numpy(zero_copy_only=False)
-    return features([t or "" for t in text.to_pylist()], declared), lang.to_pylist(), source.to_pylist()
+    found = [features(texts_of(text[a:b]), declared[a:b]) for a, b in stretches(text)]
+    return np.concatenate([np.zeros((0, len(CONTENT) + len(LAYOUT))), *found]), lang.to_pylist(), source.to_pylist()
 
 
 def _columns(df: DataFrame) -> list[Column]:
@@ -180,18 +251,52 @@ def _columns(df: DataFrame) -> list[Column]:
     return [F.col(c).cast(kinds.get(c, "string")) if c in df.columns else F.lit(None).cast(kinds.get(c, "string")) for c in COLUMNS]
 
 
+def _gatherer(coded: DataFrame) -> Gather:
+    """Sums over all rows of a table of codes; only the sums come to the driver."""
+    def gather(of: Sums, sizes: list[int]) -> list[np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                found = of([np.stack(batch.column(c).to_numpy(zero_copy_only=False)) for c in ("content", "page")])
+                total = found if total is None else [a + b for a, b in zip(total, found)]
+            for view, sums in enumerate(total or []):
+                at = np.flatnonzero(sums)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), view)), pa.array(at), pa.array(sums[at].astype(np.float64))], ["view", "at", "sum"])
+
+        rows = coded.select("content", "page").mapInArrow(run, "view bigint, at bigint, sum double").groupBy("view", "at").agg(F.sum("sum").alias("sum"))
+        out = [np.zeros(n) for n in sizes]
+        for view, own in rows.toPandas().groupby("view"):
+            out[view][own["at"]] = own["sum"]
+        return out
+
+    return gather
+
+
+def _codes(documents: DataFrame, coding: Coding) -> DataFrame:
+    """id and the codes of both views, of every document."""
+    @F.arrow_udf("struct<content: array<int>, page: array<int>>")
+    def udf(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            found = coding.codes(*_read(columns))
+            arrays = [pa.FixedSizeListArray.from_arrays(pa.array(c.ravel()), c.shape[1]).cast(pa.list_(pa.int32())) for c in found]
+            yield pa.StructArray.from_arrays(arrays, ["content", "page"])
+        release()
+
+    return documents.select(F.col("doc_id").cast("bigint").alias("id"), udf(*_columns(documents)).alias("c")).select("id", "c.*")
+
+
 def learn(documents: DataFrame, labels: DataFrame) -> Model | None:
     """Co-trains on labels (doc_id, quality 0 or 1); None where a class has no documents.
 
-    At most LABELLED labelled and POOL other documents count, those whose ids have the lowest hash.
-    Null ids and other labels are left out; of several labels of an id the largest holds.
+    At most LABELLED labelled documents count, those whose ids have the lowest hash, and all that have
+    no label. Null ids and other labels are left out; of several labels of an id the largest holds.
     """
     ship(documents.sparkSession)
-    known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
-    ids = documents.select("doc_id").where("doc_id is not null").join(known, "doc_id", "left")
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    some = ids.where("y is not null").orderBy(*order).limit(LABELLED).union(ids.where("y is null").orderBy(*order).limit(POOL))
-    chosen = stored(some.select(F.col("doc_id").alias("id"), F.coalesce("y", F.lit(-1)).alias("y")).distinct(), "chosen")
+    known = labels.where("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(F.max("quality").cast("int").alias("y"))
+    ids = stored(documents.select(F.col("doc_id").cast("bigint").alias("id")).join(known, "id").distinct().withColumn("all", F.lit(1)), "labelled")
+    chosen = stored(ids.where(lowest(ids, "id", "all", LABELLED)).select("id", "y"), "chosen")
 
     @F.arrow_udf("array<double>")
     def udf(text: pa.Array, n_chars: pa.Array) -> pa.Array:
@@ -200,13 +305,20 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model | None:
 
     text, lang, source, n_chars = _columns(documents)
     sample = documents.join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-    rows = sample.select("doc_id", "y", lang.alias("lang"), source.alias("source"), udf(text, n_chars).alias("x")).toPandas()
-    rows["order"] = [zlib.crc32(str(i).encode()) for i in rows["doc_id"]]
-    rows = rows.sort_values(["order", "doc_id", "source"], kind="stable")
-    y = rows["y"].to_numpy()
+    rows = sample.select("id", "y", lang.alias("lang"), source.alias("source"), udf(text, n_chars).alias("x")).toPandas()
+    rows["order"] = [zlib.crc32(str(i).encode()) for i in rows["id"]]
+    rows = rows.sort_values(["order", "id", "source"], kind="stable")
+    y = rows["y"].to_numpy().astype(float)
     if not {0, 1} <= set(y.tolist()):
         return None
-    return co_train(np.stack(rows["x"].to_list()), rows["lang"].tolist(), rows["source"].tolist(), y)
+    x, langs, sources = np.stack(rows["x"].to_list()), rows["lang"].tolist(), rows["source"].tolist()
+    train, held = split(y)
+    coding = Coding(_edges(x[train], y[train]))
+    codes = coding.codes(x, langs, sources)
+    coded = stored(_codes(documents, coding), "codes")  # a few dozen small numbers a document
+    open_ = stored(coded.join(ids.select("id"), "id", "left_anti"), "open")
+    weights = teach(coding, [c[train] for c in codes], y[train], _gatherer(open_))
+    return finished(coding, weights, [c[held] for c in codes], y[held])
 
 
 def score(documents: DataFrame, model: Model | None, into: str = "quality") -> DataFrame:
@@ -219,10 +331,12 @@ def score(documents: DataFrame, model: Model | None, into: str = "quality") -> D
     ship(documents.sparkSession)
 
     @F.arrow_udf("struct<combined: double, content: double, page: double>")
-    def udf(*columns: pa.Array) -> pa.Array:
-        x, langs, sources = _read(columns)
-        found = model.scores(x, langs, sources) if model else [np.ones(len(x))] * 3
-        return pa.StructArray.from_arrays([pa.array(c) for c in found], ["combined", "content", "page"])
+    def udf(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            x, langs, sources = _read(columns)
+            found = model.scores(x, langs, sources) if model else [np.ones(len(x))] * 3
+            yield pa.StructArray.from_arrays([pa.array(c) for c in found], ["combined", "content", "page"])
+        release()
 
     return documents.withColumn(into, udf(*_columns(documents)))
 

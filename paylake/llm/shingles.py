@@ -6,7 +6,7 @@ import functools
 
 import numpy as np
 
-from paylake.llm.pretokens import _scrambled, groups
+from paylake.llm.pretokens import groups, powers
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -27,18 +27,12 @@ def _letters() -> np.ndarray:
     return mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))[_LOWER]
 
 
-_powers = _scrambled(1)
-
-
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of the texts, A-Z in lower case, and where each text's words end."""
-    global _powers
     raw = [t.encode() for t in texts]
     byte = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     n = len(byte)
-    if len(_powers[0]) <= n:
-        _powers = _scrambled(2 * n)
-    up, down = _powers
+    up, down = powers(n)
     blank = _BLANK[byte]
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     if not blank[0]:

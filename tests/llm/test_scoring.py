@@ -147,17 +147,56 @@ def test_quality_of_odd_rows(spark, odd, empty):
     assert scored.columns[-1] == "quality" and set(odd.columns) - {"lang", "n_chars"} <= set(scored.columns)
 
 
+def made(n, seed):
+    """Labels, features in which both views tell something, and their codes."""
+    rng = np.random.default_rng(seed)
+    y = rng.integers(0, 2, n).astype(float)
+    x = rng.normal(size=(n, len(quality.CONTENT) + len(quality.LAYOUT))) + y[:, None] * 1.2
+    coding = quality.Coding(quality._edges(x, y))
+    return y, x, coding, coding.codes(x, [None] * n, ["a"] * n)
+
+
 def test_views_teach_each_other():
     """Few labels, many unlabelled rows: pseudo-labels reach the other view."""
-    rng = np.random.default_rng(4)
-    y = rng.integers(0, 2, 3_000)
-    k = len(quality.CONTENT) + len(quality.LAYOUT)
-    x = rng.normal(size=(3_000, k)) + y[:, None] * 0.9
-    known = np.where(np.arange(3_000) < 80, y, -1)
-    model = quality.co_train(x, [None] * 3_000, [None] * 3_000, known)
-    both, content, page = model.scores(x, [None] * 3_000, [None] * 3_000)
-    right = [((s >= 0.5) == y)[80:].mean() for s in (both, content, page)]
-    assert right[0] >= max(right[1:]) - 0.02 and right[0] > 0.8
+    y, x, coding, codes = made(3_000, 4)
+    few, rest = [c[:150] for c in codes], [c[200:] for c in codes]
+    alone = quality.teach(coding, few, y[:150], lambda of, sizes: [np.zeros(n) for n in sizes])
+    taught = quality.teach(coding, few, y[:150], lambda of, sizes: of(rest))
+    model = quality.finished(coding, taught, [c[:200] for c in codes], y[:200])
+    both, content, page = (((s >= 0.5) == y)[200:].mean() for s in model.scores(x, [None] * 3_000, ["a"] * 3_000))
+    plain = [((quality.odds(c, w) > 0) == y)[200:].mean() for c, w in zip(codes, alone)]
+    assert both >= max(content, page) - 0.02 and both > 0.8 and content + page > sum(plain) - 0.01
+    assert any(np.abs(a - b).max() > 0.05 for a, b in zip(alone, taught))
+
+
+def test_sums_over_a_table_are_those_over_all_rows(spark):
+    """No unlabelled document is left out of a round, however many there are: brute force over 20,000."""
+    y, _, coding, codes = made(20_000, 6)
+    rng = np.random.default_rng(7)
+    weights = [rng.normal(size=sum(w) + 1) for w in coding.widths()]
+    rows = spark.createDataFrame(list(zip(codes[0].tolist(), codes[1].tolist())), "content array<int>, page array<int>").repartition(7)
+    gather = quality._gatherer(rows)
+    for got, want in zip(gather(quality._how_sure(weights), [quality.STEPS_WIDE] * 2), quality._how_sure(weights)(codes)):
+        assert np.array_equal(got, want) and want.sum() == 20_000
+    slope = quality._slopes(weights, weights, [1.0, 2.0])
+    for v, (got, want) in enumerate(zip(gather(slope, list(map(len, weights))), slope(codes))):
+        assert np.allclose(got, want)
+        said = quality.odds(codes[1 - v], weights[1 - v])
+        brute = np.zeros(len(weights[v]))
+        for i in np.flatnonzero(np.abs(said) >= [1.0, 2.0][1 - v]):
+            off = linear.sigmoid(quality.odds(codes[v][i:i + 1], weights[v]))[0] - (said[i] > 0)
+            brute[codes[v][i]] += off
+            brute[-1] += off
+        assert np.allclose(got, brute)
+
+
+def test_documents_without_a_label_change_the_weights(spark, larger):
+    documents, labels = larger
+    some = labels.where("doc_id % 3 > 0")
+    one = quality.learn(documents, some)
+    other = quality.learn(documents.join(some.select("doc_id"), "doc_id"), some)
+    assert one.coding.edges[0].tolist() == other.coding.edges[0].tolist()
+    assert any(np.abs(a - b).max() > 1e-3 for a, b in zip(one.weights, other.weights))
 
 
 def test_logistic_regression():
