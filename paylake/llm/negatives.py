@@ -187,7 +187,7 @@ def _met(anchors: pd.DataFrame, rows: pd.DataFrame, k: int, same: bool) -> pd.Da
 
 
 def _blocks(n: Column) -> Column:
-    return F.greatest(F.ceil(n / MOST), F.least(F.lit(SPREAD), F.ceil(n / LEAST)))
+    return F.greatest(F.ceil(n / MOST), F.least(F.lit(SPREAD), F.ceil(n / LEAST)), F.lit(1))
 
 
 def search(anchors: DataFrame, rows: DataFrame, k: int, same: bool) -> DataFrame:
@@ -196,13 +196,19 @@ def search(anchors: DataFrame, rows: DataFrame, k: int, same: bool) -> DataFrame
     Anchors have ``lows`` and ``highs``, lists of equal length. Rows of the anchor's label are searched
     if ``same``, else those of other labels. Higher scores come first, then smaller ids and row numbers.
     """
-    group = F.col("label") if same else F.lit(0).cast("bigint")
-    sizes = rows.groupBy(group.alias("of")).agg(F.count("*").alias("n")).join(
-        anchors.groupBy(group.alias("of")).agg(F.count("*").alias("m")), "of").select("of", _blocks(F.col("n")).alias("n"), F.ceil(F.col("m") / MOST).alias("m"))
+    if same:
+        sizes = rows.groupBy(F.col("label").alias("of")).agg(F.count("*").alias("n")).join(
+            anchors.groupBy(F.col("label").alias("of")).agg(F.count("*").alias("m")), "of")
+        sizes = sizes.select("of", _blocks(F.col("n")).alias("n"), F.ceil(F.col("m") / MOST).alias("m"))
+    else:  # one group, whose sizes need no join
+        n, m = (F.lit(df.count()) for df in (rows, anchors))
 
     def dealt(df: DataFrame, own: str, other: str, seed: int) -> DataFrame:
         """Each row in its block, once for every block of the other side."""
-        placed = df.withColumn("of", group).join(sizes, "of")
+        if same:
+            placed = df.withColumn("of", F.col("label")).join(sizes, "of")
+        else:
+            placed = df.withColumns({"of": F.lit(0).cast("bigint"), "n": _blocks(n), "m": F.greatest(F.ceil(m / MOST), F.lit(1))})
         place = F.pmod(F.xxhash64("row", F.lit(seed)), F.col(own))
         return placed.select(*df.columns, "of", place.alias(f"_{own}"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(f"_{other}"))
 
