@@ -120,10 +120,11 @@ def pieces(texts: DataFrame, path: str) -> DataFrame:
 
 
 def _most_common(counted: DataFrame) -> dict[bytes, int]:
-    """Tokens of the pre-tokens above the least power of two of documents that at most HOT reach."""
-    level = F.floor(F.log2("docs"))
-    sizes = counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # at most 64 rows
-    total, least = 0, 64
+    """Tokens of the pre-tokens above the least number of documents, in sixteenths of powers of two,
+    that at most HOT reach."""
+    level = F.floor(F.log2("docs") * 16)
+    sizes = counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # at most 1,024 rows
+    total, least = 0, 1024
     for r in sizes:
         total += r["count"]
         if total > HOT:
