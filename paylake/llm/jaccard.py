@@ -3,12 +3,14 @@
 All n-grams have one global order, that of their 64-bit hashes, and every document is its ordered
 set. The order line is cut into stretches, and what a set has in a stretch is a path of that
 stretch's tree, known by a digest. Two similar sets differ in a bounded number of elements, so a
-known number of their paths at least are equal; documents meet where whole paths are, for sets of
-about one size.
+known number of their paths at least are equal, about half of them; documents meet where whole paths
+are, for sets of about one size.
 
 A path that more than a few documents have is common, as those of a passage that many documents
-share. A document with fewer common paths than it must share with any similar one shares a rarer
-path with each of them, and its common paths are left out; others meet on common paths as well.
+share. The others are counted for each pair of documents: a pair that cannot reach the number it
+must share, even if all its common paths were equal, is dropped. So a passage that two texts share
+does not bring them together. Documents that have so many common paths that they may share no other
+meet on these, on the first ones of their order that some similar document must share too.
 
 Documents that meet form clusters. Copies of one set are one member. The sets of a cluster go into a
 prefix tree (:mod:`paylake.llm.prefix_tree`), which finds the exact links; a cluster with many
@@ -32,6 +34,7 @@ from paylake.llm.workers import ship
 from paylake.operators.scratch import stored
 
 BLOCK = 1_500  # members of a cluster that a block holds
+ELEMENTS = 1_500_000  # n-grams of all of them, about
 COMMON = 3  # documents that may share a path which is not common
 _CODES = 1 << 20
 
@@ -51,7 +54,7 @@ class Similarity:
         """How many stretches the order line has in a class, and how many may differ."""
         most = _bound(space + 1) - 1
         differ = (100 - self.percent) * (most + 100 * most // self.percent) // (100 + self.percent)
-        return differ + 1 + (max(2, differ // 6) if differ else 0), differ
+        return differ + 1 + (max(2, differ) if differ else 0), differ
 
 
 def _bound(space: int) -> int:
@@ -86,7 +89,7 @@ def paths(elements: np.ndarray, like: Similarity) -> tuple[np.ndarray, np.ndarra
             empty = np.setdiff1d(np.arange(count, dtype=np.uint64), own)
             sums, own = np.concatenate([sums, np.zeros(len(empty), np.uint64)]), np.concatenate([own, empty])
         found.append(mixed(sums ^ mixed(own * np.uint64(1 << 16) + np.uint64(space + 1))))
-        codes.append(np.full(len(own), space * _CODES + max(0, spare)))
+        codes.append(np.full(len(own), space * _CODES + min(max(0, spare), _CODES - 1)))
     return np.concatenate(found), np.concatenate(codes)
 
 
@@ -98,6 +101,8 @@ def _digest(elements: np.ndarray) -> np.uint64:
 #: common paths (b the path, n minus the code, less one), of other paths (n the code), and marks of
 #: paths that are common already (a missing).
 MET = "key bigint, a bigint, b bigint, n bigint"
+#: The same of documents, links and common paths; a pair (a, b) with the codes n and m shares k rare paths.
+FOUND = "a bigint, b bigint, n bigint, m bigint, k bigint"
 
 
 def _rows(key, a=None, b=None, n=None) -> pa.RecordBatch:
@@ -160,26 +165,40 @@ def _run_lengths(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(length, length), begin
 
 
+def _shared(key: np.ndarray, doc: np.ndarray, code: np.ndarray) -> list[np.ndarray]:
+    """Pairs of documents within runs of equal keys of at most COMMON rows: both, their codes, and how often."""
+    found = []
+    for far in range(1, COMMON):
+        at = np.flatnonzero((key[far:] == key[:-far]) & (doc[far:] != doc[:-far]))
+        found.append(np.stack([doc[at], doc[at + far], code[at], code[at + far]]))
+    pairs = np.hstack(found)
+    turned = pairs[0] > pairs[1]
+    pairs[:, turned] = pairs[:, turned][[1, 0, 3, 2]]
+    pairs = pairs[:, np.lexsort(pairs)]
+    new = np.flatnonzero(np.concatenate([[True], (pairs[:, 1:] != pairs[:, :-1]).any(0)])[:pairs.shape[1]])
+    return [*pairs[:, new], np.diff(new, append=pairs.shape[1])]
+
+
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of paths in sorted order, the documents of rare ones become links, the others' are kept."""
+    """Of paths in sorted order, the documents of rare ones become pairs, the others' are kept."""
     held, hot_key = np.zeros((4, 0), np.int64), None
 
     def told(rows: np.ndarray, common: np.ndarray) -> pa.RecordBatch:
         key, doc, code, mark = rows
-        some = np.flatnonzero(~common & (mark == 0))
-        at = some[1:][key[some[1:]] == key[some[:-1]]]
-        links = np.stack([doc[at - 1], doc[at]], 1)
-        links = np.unique(links[links[:, 0] != links[:, 1]], axis=0)
+        some = ~common & (mark == 0)
+        pairs = _shared(key[some], doc[some], code[some])
         hot = common & (mark == 0)
+        none = pa.nulls(int(hot.sum()), pa.int64())
+        columns = [np.concatenate(c) for c in zip(pairs[:3], (doc[hot], key[hot], -code[hot] - 1))]
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([links[:, 0], doc[hot]])), pa.array(np.concatenate([links[:, 1], key[hot]])),
-             pa.concat_arrays([pa.nulls(len(links), pa.int64()), pa.array(-code[hot] - 1)])], ["a", "b", "n"])
+            [*map(pa.array, columns), *[pa.concat_arrays([pa.array(c.astype(np.int64)), none]) for c in pairs[3:]]], ["a", "b", "n", "m", "k"])
 
     for batch in batches:
         passing = batch.column("b").is_valid()
         through = batch.filter(passing)
         if len(through):
-            yield through.select(["a", "b", "n"])
+            none = pa.nulls(len(through), pa.int64())
+            yield pa.RecordBatch.from_arrays([*through.select(["a", "b", "n"]).columns, none, none], ["a", "b", "n", "m", "k"])
         path = batch.filter(pa.compute.invert(passing))
         if not len(path):
             continue
@@ -232,10 +251,31 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
+def _on_rare_paths(pairs: DataFrame, common: DataFrame) -> DataFrame:
+    """Pairs that share as many paths as similar ones must, or would if their common ones were equal."""
+    counted = pairs.groupBy("a", "b", "n", "m").agg(F.sum("k").alias("k")).withColumn(
+        "need", F.greatest(F.pmod("n", F.lit(_CODES)), F.pmod("m", F.lit(_CODES))))
+    counted = stored(counted, "pairs")
+    often = common.groupBy(F.col("a").alias("doc"), (-F.col("n") - 1).alias("code")).agg(F.count("*").alias("often"))
+    often = stored(often, "often")
+
+    def of(doc: str, code: str) -> DataFrame:
+        return often.select(F.col("doc").alias(doc), F.col("code").alias(code), F.col("often").alias(f"often_{doc}"))
+
+    open_ = counted.where("k < need").join(of("a", "n"), ["a", "n"]).join(of("b", "m"), ["b", "m"])
+    return counted.where("k >= need").select("a", "b").union(open_.where("k + least(often_a, often_b) >= need").select("a", "b")).distinct()
+
+
 def _on_common_paths(rows: DataFrame) -> DataFrame:
-    """Links between documents that have so many common paths that they may share no other."""
-    often = F.count("*").over(Window.partitionBy("a", "n"))  # a document's common paths of one class
-    heavy = rows.withColumn("often", often).where(F.col("often") >= F.pmod(-F.col("n") - 1, F.lit(_CODES))).select("a", F.col("b").alias("path"))
+    """Links between documents that have so many common paths that they may share no other.
+
+    Of ``often`` common paths two such documents share ``spare`` at least, so the first of these, in any
+    order, is among the first often - spare + 1 of both; the others need not be met on.
+    """
+    own = Window.partitionBy("a", "n")  # a document's common paths of one class
+    spare = F.pmod(-F.col("n") - 1, F.lit(_CODES))
+    ranked = rows.withColumns({"often": F.count("*").over(own), "nth": F.row_number().over(own.orderBy("b"))})
+    heavy = ranked.where((F.col("often") >= spare) & (F.col("nth") <= F.col("often") - F.greatest(spare, F.lit(1)) + 1)).select("a", F.col("b").alias("path"))
     heavy = stored(heavy, "common")
     first = heavy.groupBy(F.col("path").alias("p")).agg(F.min("a").alias("first"))
     return heavy.join(first, F.col("path") == F.col("p")).where("a <> first").select("a", "first").distinct()
@@ -252,17 +292,20 @@ def near_duplicates(documents: DataFrame, like: Similarity = Similarity()) -> Da
     ship(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = texts.mapInArrow(_meetings(like), MET).repartition("key").sortWithinPartitions("key", "a")
-    met = stored(rows.mapInArrow(_met, "a bigint, b bigint, n bigint"), "meetings")
-    docs = met.where("n >= 0").select(F.col("a").alias("doc_id"), F.col("b").alias("digest"), F.col("n").alias("n_shingles"))
-    clusters = components(met.where("n is null").select("a", "b").union(_on_common_paths(met.where("n < 0"))))
+    met = stored(rows.mapInArrow(_met, FOUND), "meetings")
+    alone = met.where("m is null")
+    docs = alone.where("n >= 0").select(F.col("a").alias("doc_id"), F.col("b").alias("digest"), F.col("n").alias("n_shingles"))
+    common = alone.where("n < 0").select("a", "b", "n")
+    meetings = _on_rare_paths(met.where("m is not null"), common).union(_on_common_paths(common))
+    clusters = components(alone.where("n is null").select("a", "b").union(meetings))
     clusters = stored(clusters.union(clusters.select("component", "component")).distinct(), "clusters")
     placed = docs.where("n_shingles > 0").join(clusters, F.col("doc_id") == F.col("node")).select("doc_id", "digest", "n_shingles", "component")
     same = ["component", "n_shingles", "digest"]
     first = placed.groupBy(*same).agg(F.min("doc_id").alias("first"))
-    copies = stored(placed.join(first, same).select("doc_id", "first", "component"), "copies")
-    members = copies.where("doc_id = first").select("doc_id", "component").distinct()
-    sizes = members.groupBy("component").agg(F.count("*").alias("members")).where("members > 1")
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("bigint")
+    copies = stored(placed.join(first, same).select("doc_id", "first", "component", "n_shingles"), "copies")
+    members = copies.where("doc_id = first").select("doc_id", "component", "n_shingles").distinct()
+    sizes = members.groupBy("component").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("elements")).where("members > 1")
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("elements") / ELEMENTS)).cast("bigint")
     mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
     dealt = (
         members.join(sizes.withColumn("blocks", blocks), "component").withColumn("mine", mine)
