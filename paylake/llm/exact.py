@@ -51,11 +51,14 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     carried along, and an empty table gives an empty one.
     """
     listed = stored(recipes(documents), "recipes")
-    failed = dictionary(listed).where(~F.col("verified")).select("chunk")
-    doubtful = listed.select("doc_id", "text_sha256", F.explode("recipe").alias("chunk")).join(failed, "chunk", "left_semi").select(
-        F.col("text_sha256").alias("doubt")).distinct()
-    marked = listed.select("doc_id", "text_sha256", "recipe").join(doubtful, F.col("text_sha256") == F.col("doubt"), "left")
-    marked = stored(marked, "marked")
+    failed = stored(dictionary(listed).where(~F.col("verified")).select("chunk"), "failed")
+    marked = listed.select("doc_id", "text_sha256", "recipe")
+    if failed.isEmpty():  # every identifier stands for one chunk
+        marked = marked.withColumn("doubt", F.lit(None).cast("string"))
+    else:
+        doubtful = listed.select("text_sha256", F.explode("recipe").alias("chunk")).join(failed, "chunk", "left_semi").select(
+            F.col("text_sha256").alias("doubt")).distinct()
+        marked = stored(marked.join(doubtful, F.col("text_sha256") == F.col("doubt"), "left"), "marked")
     groups = marked.groupBy("recipe", "doubt").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).select(
         F.col("recipe").alias("r"), F.col("doubt").alias("d"), "keep_id", "group_size")
     same = (F.col("recipe") == F.col("r")) & F.col("doubt").eqNullSafe(F.col("d"))
