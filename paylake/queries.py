@@ -147,7 +147,7 @@ def _delivered(spark: SparkSession, sf: str) -> str:
     named = rows.where("_source = 'csv'").withColumn("file", F.concat(F.lit("bank_"), F.col("_source_date").cast("string"), F.lit(".csv")))
     odd = F.dayofmonth("_source_date") == 13
     for part, amount in ((~odd, "amount"), (odd, "amount_inr")):
-        named.where(part).select(*[F.col(c).alias(amount if c == "amount" else c) for c in CANONICAL_COLUMNS if c != "ingested_at"], "file").write.mode("append") \
+        named.where(part).hint("rebalance", "file").select(*[F.col(c).alias(amount if c == "amount" else c) for c in CANONICAL_COLUMNS if c != "ingested_at"], "file").write.mode("append") \
             .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).partitionBy("file").csv(statement_folder)
 
     api = rows.where("_source = 'api'").withColumn("amount", F.when(F.col("status") == "REVERSED", "reversed").otherwise(F.col("amount")))
@@ -157,7 +157,7 @@ def _delivered(spark: SparkSession, sf: str) -> str:
         page = F.struct(F.col("_source_date"), F.pmod(F.xxhash64("txn_id", "remarks"), F.lit(3)).alias("page"))
         envelopes = some.select(page.alias("p"), F.struct(*names).alias("r")).groupBy("p").agg(F.collect_list("r").alias("records"), F.count("*").alias("count"))
         totals = some.groupBy("_source_date").agg(F.count("*").alias("total"))
-        envelopes.select("p.*", "records", "count").join(totals, "_source_date").write.mode("append").option("ignoreNullFields", False).partitionBy("_source_date").json(feed)
+        envelopes.select("p.*", "records", "count").join(totals, "_source_date").hint("rebalance", "_source_date").write.mode("append").option("ignoreNullFields", False).partitionBy("_source_date").json(feed)
     for day in days:  # the feed has a folder for each date
         _renamed(spark, f"{feed}/_source_date={day}", f"{feed}/{day}")
     statements.land_statements(spark, statement_folder, root, RUN, days)
