@@ -33,8 +33,8 @@ from paylake.llm.shingles import mixed, shingle_sets
 from paylake.llm.workers import ship
 from paylake.operators.scratch import stored
 
-BLOCK = 1_500  # members of a cluster that a block holds
-ELEMENTS = 1_500_000  # n-grams of all of them, about
+BLOCK = 1_000  # members of a cluster that a block holds
+ELEMENTS = 500_000  # n-grams of all of them, about
 COMMON = 3  # documents that may share a path which is not common
 _CODES = 1 << 20
 
@@ -219,12 +219,22 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told(held, np.zeros(held.shape[1], bool))
 
 
+def _rarest_first(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The sets as ascending numbers of their elements, those that fewer of the sets have first."""
+    if not sets:
+        return []
+    known, which, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.empty(len(known), np.int64)
+    number[np.lexsort((known, n))] = np.arange(len(known))
+    return [np.sort(part) for part in np.split(number[which], np.cumsum(list(map(len, sets)))[:-1])]
+
+
 def _joined(like: Similarity):
     """Exact links within each task's members; rows come sorted by task."""
 
     def links(docs: list[int], texts: list[str]) -> Iterator[tuple[int, int]]:
         tree, ids = PrefixTree(like.percent), []
-        for doc, elements in zip(docs, shingle_sets(texts, like.words)):
+        for doc, elements in zip(docs, _rarest_first(list(shingle_sets(texts, like.words)))):
             if len(elements):
                 ids.append(doc)
                 for other in tree.add(elements):

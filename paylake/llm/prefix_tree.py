@@ -1,7 +1,9 @@
 """Similarity join of ordered sets in a prefix tree.
 
-Sets are sorted by one global order and share the nodes of their common beginnings. A query walks
-the tree once: what it has in common with a shared beginning is counted once for all sets below,
+Sets are sorted by one global order and share the nodes of their common beginnings. Similar sets
+share one of their first elements, as many as may be missing in the other and one more; only the
+branches of sets that do are entered, so an order with rare elements first leaves few. A query walks
+them once: what it has in common with a shared beginning is counted once for all sets below,
 and a branch is left as soon as the elements that remain, on either side, cannot bring the overlap
 to the threshold. A branch whose sets are all connected with the query already is left as well, so
 the links found are enough for connected components, and a group of near copies costs little more
@@ -28,6 +30,13 @@ class PrefixTree:
         self.percent = percent
         self.root: _Node | None = None
         self.parent: list[int] = []
+        self.branches: dict[int, list[int]] = {}  # of a first element: first elements of the sets that have it
+
+    def _first(self, elements: np.ndarray) -> list[int]:
+        """Of these elements a set shares at least one with every similar set, whose own first ones have it."""
+        n = len(elements)
+        least = -(-self.percent * n // 100)  # elements that a similar set has too
+        return elements[: n - least + 1].tolist()
 
     def find(self, i: int) -> int:
         while self.parent[i] != i:
@@ -41,12 +50,18 @@ class PrefixTree:
         self.parent.append(me)
         found = self._similar(elements, me) if self.root else []
         self._insert(elements, me)
+        key = int(elements[0])
+        for e in self._first(elements):
+            self.branches.setdefault(e, []).append(key)
         return found
 
     def _similar(self, x: np.ndarray, me: int) -> list[int]:
         n, t, found = len(x), self.percent, []
-        stack = [(self.root, 0, 0)]
+        keys = set().union(*[self.branches[e] for e in self._first(x) if e in self.branches])
+        stack = [(self.root.kids[k], 0, 0) for k in keys]
         while stack:
+            if not self.root.mixed and self.find(self.root.some) == self.find(me):
+                break
             node, overlap, depth = stack.pop()
             if not node.mixed and self.find(node.some) == self.find(me):
                 continue
