@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from paylake.operators.scratch import file_system
 
 LISTINGS = 16  # folders that are listed at a time
+WRITERS = 8  # partitions that a task writes side by side; rows of further ones are sorted first
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -45,7 +48,8 @@ def replace_partitions(
     alone when no row falls in it. Which ones those are shows in the folders afterwards: a folder
     whose files all are older than the job is replaced by an empty file. So ``df`` runs once, and
     no job runs for an empty partition that was not there. Running again gives the same table.
-    ``sort`` orders rows inside each file. ``split`` names a second partition column and all its values,
+    ``sort`` orders rows inside each file; without it no task holds its rows to sort them by partition, but
+    has a file open for each of its few partitions. ``split`` names a second partition column and all its values,
     by which one write deals rows to the parts of a partition.
     """
     spark, values = df.sparkSession, sorted(set(values))
@@ -53,8 +57,10 @@ def replace_partitions(
     folders = ["/".join(f"{c}={v}" for c, v in zip(columns, pair)) for pair in product(values, *([split[1]] if split else []))]
     rows = df.where(F.col(column).isin(values))
     before = _files(spark, path, folders)
-    (rows.hint("rebalance", *columns).sortWithinPartitions(*columns, *sort).write.partitionBy(*columns).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    dealt = rows.hint("rebalance", *columns)
+    with _side_by_side(spark, 0 if sort else WRITERS):
+        ((dealt.sortWithinPartitions(*columns, *sort) if sort else dealt).write.partitionBy(*columns).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").parquet(path))
     after = _files(spark, path, folders)
     stale = [f for f in folders if before[f] and after[f] == before[f]]
     nothing = df.drop(*columns).limit(0)
@@ -64,6 +70,17 @@ def replace_partitions(
         nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
+@contextmanager
+def _side_by_side(spark: SparkSession, writers: int) -> Iterator[None]:
+    """Writes in the block have so many files open in a task at a time, or more if the session has more."""
+    before = spark.conf.get(_WRITERS)
+    spark.conf.set(_WRITERS, max(writers, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS, before)
+
+
 def _files(spark: SparkSession, path: str, folders: Sequence[str]) -> dict[str, frozenset[str]]:
     """Names of the data files of each partition; writers never use a name twice."""
     def names(folder: str) -> frozenset[str]:

@@ -1,9 +1,12 @@
 """Operators against brute force and over repeated runs."""
 
 import datetime as dt
+import json
 import os
 import random
 import statistics
+import subprocess
+import sys
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 
 from paylake.config import Run, Settings, SkewPolicy
 from paylake.operators.median import median_by
-from paylake.operators.partitions import partition_rows, replace_partitions
+from paylake.operators.partitions import WRITERS, partition_rows, replace_partitions
 from paylake.operators.scratch import shared_dir, stored, stored_for
 from paylake.operators.skew import flag_hot, hot_keys
 from paylake.operators.timeline import with_sender_timeline
@@ -69,6 +72,46 @@ def test_median_against_brute_force(spark, bound):
     assert got == pytest.approx(want)
 
 
+PEAK_OF_A_WRITE = """
+import datetime as dt, glob, json, sys
+from pyspark.sql import SparkSession, functions as F
+from paylake.operators.partitions import replace_partitions
+folder = sys.argv[1]
+spark = SparkSession.builder.master("local[2]").config(map={
+    "spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{folder}",
+    "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "8"}).getOrCreate()
+days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+rows = spark.range(0, 200_000, 1, 2).select(
+    "id", F.date_add(F.lit(days[0]), (F.col("id") % 2).cast("int")).alias("d"), F.when(F.col("id") % 10 < 2, "no").otherwise("yes").alias("v"))
+replace_partitions(rows, f"{folder}/t", "d", days, split=("v", ("yes", "no")))
+found = spark.read.parquet(f"{folder}/t").groupBy("v").agg(F.count("*"), F.sum("id")).collect()
+writers = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+spark.stop()
+ends = [e for f in glob.glob(f"{folder}/local-*") for e in map(json.loads, open(f)) if e["Event"] == "SparkListenerTaskEnd"]
+written = [e["Task Metrics"]["Peak Execution Memory"] for e in ends if e["Task Metrics"]["Output Metrics"]["Records Written"]]
+print(json.dumps([max(written), sorted(map(list, found)), writers]))
+"""
+
+
+def test_a_write_without_order_does_not_hold_the_rows_of_a_task(tmp_path):
+    """The event log of a session of its own has the execution memory of the tasks that write."""
+    done = subprocess.run([sys.executable, "-c", PEAK_OF_A_WRITE, str(tmp_path)], capture_output=True, text=True, timeout=300, cwd=os.path.dirname(os.path.dirname(__file__)))
+    assert done.returncode == 0, done.stderr[-2000:]
+    peak, found, writers = json.loads(done.stdout.splitlines()[-1])
+    sums = {v: [n for n in range(200_000) if (n % 10 < 2) == (v == "no")] for v in ("no", "yes")}
+    assert found == [[v, len(n), sum(n)] for v, n in sums.items()] and writers == "0"
+    assert peak < 2**20
+
+
+def test_a_task_with_more_partitions_than_open_files_writes_all_of_them(spark, tmp_path):
+    days, path = [dt.date(2024, 1, 1) + dt.timedelta(d) for d in range(4 * WRITERS)], str(tmp_path / "t")
+    rows = [(days[i % len(days)], "no" if i % 3 == 0 else "yes", i) for i in range(10 * len(days))]
+    df = spark.createDataFrame(rows, "d date, v string, i int").coalesce(1)
+    for _ in range(2):
+        replace_partitions(df, path, "d", days, split=("v", ("yes", "no")))
+        assert sorted(spark.read.parquet(path).select("d", "v", "i").collect()) == sorted(rows)
+
+
 def test_replace_partitions_clears_dates_without_rows(spark, tmp_path):
     path, days = str(tmp_path / "t"), [dt.date(2024, 1, d) for d in (1, 2, 3)]
     df = spark.createDataFrame([(i, days[i % 3]) for i in range(9)], "v int, d date")
