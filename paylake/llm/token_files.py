@@ -10,7 +10,6 @@ figures are wanted.
 from __future__ import annotations
 
 import functools
-import itertools
 import json
 import zlib
 from collections.abc import Iterator
@@ -22,11 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from paylake.llm import pretokens
 from paylake.llm.batches import parts
+from paylake.llm.known import Known
 from paylake.llm.workers import ship
 from paylake.operators.scratch import new_path
 
-CACHE = 250_000  # pre-tokens a worker keeps in each of two generations
-LONGEST = 200  # bytes of a pre-token that is kept
 SEPARATOR = "\n"  # no byte is called that
 SCHEMA = "doc_id bigint, part int, begin bigint, n_tokens bigint, tokens array<int>"
 
@@ -57,36 +55,20 @@ class _Library:
         for cp in (*range(0x801), *range(0x1000, 0xE000, 0x1000), 0xE000, 0xF000, 0x10000, 0x40000, 0x80000, 0xC0000, 0x100000):
             names.update(zip(chr(cp).encode(), spell.pre_tokenize_str(chr(cp))[0][0]))
         self.names = {i: names.get(i, SEPARATOR) for i in range(256)}  # bytes without a name never occur in UTF-8
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.known = Known(self.ids)
 
     def holds_added(self, text: str) -> bool:
         return any(t in text for t in self.added)
 
-    def ids(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        spelled = b"\xff".join(pieces).decode("latin-1").translate(self.names).split(SEPARATOR)
-        tokenize = self.model.tokenize
-        found = [[t.id for t in tokenize(s)] for s in spelled]
-        flat = np.fromiter(itertools.chain.from_iterable(found), "<i4").tobytes()
-        stops = [4 * n for n in itertools.accumulate(map(len, found))]
-        return {p: flat[a:b] for p, a, b in zip(pieces, [0, *stops], stops)}
-
-    def look_up(self, found: list[bytes]) -> list[bytes]:
-        """Id bytes of distinct pre-tokens. What was not met for long is forgotten first."""
-        out = list(map(self.known.get, found))
-        open_ = [i for i, x in enumerate(out) if x is None]
-        older = self.older.get
-        for i in open_:
-            out[i] = older(found[i])
-        new = [i for i in open_ if out[i] is None]
-        if new:
-            made = self.ids([found[i] for i in new])
-            for i in new:
-                out[i] = made[found[i]]
-        if len(self.known) + len(open_) > CACHE:
-            self.known, self.older = {}, self.known
-        self.known.update((found[i], out[i]) for i in open_ if len(found[i]) <= LONGEST)
-        return out
+    def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pre-tokens, one after the other, and how many each has."""
+        spelled = b"\xff".join(pieces).decode("latin-1").translate(self.names).split(SEPARATOR) if pieces else []
+        tokenize, flat, count = self.model.tokenize, [], []
+        for s in spelled:
+            some = tokenize(s)
+            flat += [t.id for t in some]
+            count.append(len(some))
+        return np.array(flat, np.int32), np.array(count, np.intp)
 
 
 @functools.cache
@@ -97,8 +79,7 @@ def _library(path: str) -> _Library:
 def _plain(texts: list[str], library: _Library) -> Iterator[bytes]:
     table = pretokens.classes()
     for run in pretokens.groups(texts):
-        found, which, last = pretokens.distinct(run, table)
-        yield from pretokens.spread(library.look_up(found), which, last)
+        yield from library.known.ids_of(*pretokens.cuts(run, table))
 
 
 def encode_texts(texts: list[str], path: str, end_id: int | None, added: bool = False) -> Iterator[bytes]:

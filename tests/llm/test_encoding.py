@@ -9,7 +9,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from paylake.llm import bpe, pretokens, token_files
+from paylake.llm import bpe, known, pretokens, token_files
 
 
 @pytest.fixture(scope="module")
@@ -92,6 +92,59 @@ def test_added_tokens_as_the_library_has_them(spark, tmp_path):
         start += len(own)
 
 
+class Counting:
+    """A tokenizer library's model that counts how often it is asked."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, 0
+
+    def tokenize(self, piece):
+        self.asked += 1
+        return self.model.tokenize(piece)
+
+
+def test_a_worker_asks_the_library_once_for_each_pre_token(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = token_files._Library(path)
+    library.model = Counting(library.model)
+    monkeypatch.setattr(token_files, "_library", lambda path: library)
+    letters = "abcdefghijklmnopqrst"
+    texts = [" ".join(["", *(a + b + c + d + e for c in letters for d in letters for e in "abcdefgh")]) for a in "bcdfghjklmnp" for b in letters[:15]]
+    first, asked = [], []
+    for _ in range(2):
+        run = [zlib.crc32(ids) for ids in token_files.encode_texts(texts, path, None)]
+        assert not first or run == first
+        first = run
+        asked.append(library.model.asked)
+    assert asked == [len(texts) * 20 * 20 * 8] * 2
+
+
+@pytest.mark.parametrize(("cache", "long"), [(1 << 20, 16 << 20), (64, 3_000), (8, 0)])
+def test_what_a_worker_keeps_does_not_change_the_ids(odd_texts, monkeypatch, cache, long):
+    monkeypatch.setattr(known, "CACHE", cache)
+    monkeypatch.setattr(known, "LONG_CACHE", long)
+    monkeypatch.setattr(pretokens, "WINDOW", 300)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), token_files._Library(path)
+    library.encode_special_tokens = True
+    bits = ["a\0", "\0", "\0\0", "a" * 7, "a" * 8, "a" * 15, "a" * 16, "a" * 14 + "b", "привет", "предложение", "-" * 15, "日本語日本語", "x" * 201]
+    texts = [t or "" for t in odd_texts if len(t or "") < 1_000] + [f"{a} {b}{a}" for a in bits for b in bits]
+    for some in (texts, texts[::-1], texts):
+        want = [np.array(library.encode(t, add_special_tokens=False).ids, "<i4").tobytes() for t in some]
+        assert list(token_files._plain(some, own)) == want
+
+
+def test_pre_tokens_whose_places_meet_are_told_apart(monkeypatch):
+    monkeypatch.setattr(known, "CACHE", 256)
+    monkeypatch.setattr(known.Known, "_place", lambda self, low, high: np.zeros(len(low), np.intp) + len(self.slot) - 3)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), token_files._Library(path)
+    texts = [" ".join(chr(97 + i % 26) * n for n in range(1, 13)) for i in range(60)]
+    for some in (texts[:30], texts[20:], texts):
+        want = [np.array(library.encode(t, add_special_tokens=False).ids, "<i4").tobytes() for t in some]
+        assert list(token_files._plain(some, own)) == want
+
+
 def test_files_allow_selective_reads(spark, corpus, tmp_path):
     import pyarrow.parquet as pq
 
