@@ -133,7 +133,7 @@ def test_pipeline_of_empty_table(spark, sf, empty):
 
 
 def test_registered():
-    assert len(queries.queries()) == 11 and set(queries.oracle_sql()) <= set(queries.queries()) <= set(contract.queries())
+    assert len(queries.queries()) == 14 and set(queries.oracle_sql()) <= set(queries.queries()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
